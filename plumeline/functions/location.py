@@ -110,9 +110,12 @@ def geocode(raw, mode: str = "as_written") -> Column:
 
 
 def with_location(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
-                  lon_out: str = "longitude") -> DataFrame:
-    """Add ``lat_out`` / ``lon_out`` geocoded from the location text column ``raw``."""
+                  lon_out: str = "longitude", located_only: bool = False) -> DataFrame:
+    """Add ``lat_out`` / ``lon_out`` geocoded from the location text column ``raw``;
+    ``located_only`` drops rows whose location does not resolve (one test on the struct)."""
     staged = df.withColumn("_loc_xy", geocode(F.col(raw), mode))
+    if located_only:
+        staged = staged.where(F.col("_loc_xy").isNotNull())
     return (staged.withColumn(lat_out, F.col("_loc_xy.latitude"))
                   .withColumn(lon_out, F.col("_loc_xy.longitude"))
                   .drop("_loc_xy"))

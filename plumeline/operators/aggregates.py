@@ -15,17 +15,18 @@ from plumeline.model import (CH4_MAX_VALID, CH4_MIN_VALID, FACILITY_BUFFER_M, GR
 from plumeline.operators.filters import ch4_in_range, not_null, positive_production, qa_at_least
 from plumeline.operators.spatial import distance_semi_join
 
-COUNT = F.count(F.lit(1))
+def _n():
+    return F.count(F.lit(1))
 
 
 def row_count(df: DataFrame) -> DataFrame:
     """A1."""
-    return df.agg(COUNT.alias("total_rows"))
+    return df.agg(_n().alias("total_rows"))
 
 
 def top_operators(fac: DataFrame, k: int = 10) -> DataFrame:
     """A2 + T1: rows per operator, top k; ties broken by operator name."""
-    return (not_null(fac, "operator").groupBy("operator").agg(COUNT.alias("facility_count"))
+    return (not_null(fac, "operator").groupBy("operator").agg(_n().alias("facility_count"))
             .orderBy(F.col("facility_count").desc(), F.col("operator").asc()).limit(k))
 
 
@@ -49,7 +50,7 @@ def monthly_production(fac: DataFrame) -> DataFrame:
     """A4 + F6 + T3. ``sum(flared + vented)`` skips a row where either is NULL; the ratio is
     NULL when production sums to 0."""
     g = positive_production(fac).groupBy("reporting_month").agg(
-        COUNT.alias("num_facilities"),
+        _n().alias("num_facilities"),
         F.sum("gas_prod_1000m3").alias("_prod"),
         F.sum("gas_flared_1000m3").alias("_flared"),
         F.sum("gas_vented_1000m3").alias("_vented"),
@@ -66,7 +67,7 @@ def monthly_production(fac: DataFrame) -> DataFrame:
 def pixel_coverage(pix: DataFrame) -> DataFrame:
     """A1 + A5 + X9."""
     return pix.agg(
-        COUNT.alias("total_rows"),
+        _n().alias("total_rows"),
         F.min("measurement_timestamp").alias("first_date"),
         F.max("measurement_timestamp").alias("last_date"),
         F.count_distinct(F.to_date("measurement_timestamp")).alias("unique_dates"),
@@ -77,7 +78,7 @@ def qa_summary(pix: DataFrame, high_qa: float = 0.3) -> DataFrame:
     """A6 + A7."""
     g = pix.agg(F.avg("qa_value").alias("_qa"),
                 F.count_if(F.col("qa_value") >= F.lit(high_qa)).alias("high_quality"),
-                COUNT.alias("total"),
+                _n().alias("total"),
                 F.avg("ch4_column").alias("_ch4"))
     return g.select(round_n("_qa", 3).alias("avg_qa"), "high_quality", "total",
                     round_n(F.col("high_quality") / F.nullif(F.col("total"), F.lit(0)) * F.lit(100.0), 2)
@@ -88,7 +89,7 @@ def qa_summary(pix: DataFrame, high_qa: float = 0.3) -> DataFrame:
 def null_audit(df: DataFrame, table: str, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """A point is missing when either coordinate is."""
     has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    return df.agg(COUNT.alias("total_rows"), F.count_if(has).alias("rows_with_location"),
+    return df.agg(_n().alias("total_rows"), F.count_if(has).alias("rows_with_location"),
                   F.count_if(~has).alias("rows_without_location")).select(
         F.lit(table).alias("table_name"), "*")
 
@@ -97,15 +98,22 @@ def duplicate_audit(pix: DataFrame, key_cols=("file_path", "scanline", "ground_p
     """``count(*) - count(distinct row_id)`` (NULL ids count as duplicates), plus the same on
     the natural key, which catches a reloaded file that got fresh ids."""
     return pix.agg(
-        COUNT.alias("total_rows"),
-        (COUNT - F.count_distinct("row_id")).alias("duplicate_row_ids"),
-        (COUNT - F.count_distinct(F.struct(*key_cols))).alias("duplicate_natural_keys"))
+        _n().alias("total_rows"),
+        (_n() - F.count_distinct("row_id")).alias("duplicate_row_ids"),
+        (_n() - F.count_distinct(F.struct(*key_cols))).alias("duplicate_natural_keys"))
 
 
 def pixel_centres(pix: DataFrame, step_digits: int = 1) -> DataFrame:
-    """A10: distinct pixel centres at 10^-digits degrees (rounded half away from zero)."""
-    return pix.select(round_n("latitude", step_digits).alias("lat_center"),
-                      round_n("longitude", step_digits).alias("lon_center")).distinct()
+    """A10: distinct pixel centres at 10^-digits degrees (rounded half away from zero), with the
+    number of pixels each one stands for.
+
+    The ``n_pixels > 0`` condition is always true; it keeps this aggregate below a following
+    semi-join. Without it Catalyst pushes a broadcastable semi-join beneath the aggregate, so
+    every pixel row (not every centre) would probe the facility cells.
+    """
+    return (pix.groupBy(round_n("latitude", step_digits).alias("lat_center"),
+                        round_n("longitude", step_digits).alias("lon_center"))
+            .agg(_n().alias("n_pixels")).where(F.col("n_pixels") > 0))
 
 
 def pixels_near_facilities(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
@@ -117,9 +125,9 @@ def pixels_near_facilities(pix: DataFrame, fac: DataFrame, radius_m: float = FAC
 def overlap_summary(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
     """Centres in total (before the semi-join), facility rows, centres near one, percent."""
     centres = pixel_centres(pix)
-    total = centres.agg(COUNT.alias("total_pixels"))
-    near = pixels_near_facilities(pix, fac, radius_m).agg(COUNT.alias("pixels_near_facilities"))
-    n_fac = fac.agg(COUNT.alias("total_facilities"))
+    total = centres.agg(_n().alias("total_pixels"))
+    near = pixels_near_facilities(pix, fac, radius_m).agg(_n().alias("pixels_near_facilities"))
+    n_fac = fac.agg(_n().alias("total_facilities"))
     return total.select(
         "total_pixels",
         n_fac.scalar().alias("total_facilities"),
@@ -132,19 +140,19 @@ def grid_mean_snap(pix: DataFrame, step: float = HEATMAP_GRID_DEG, qa_min: float
     """A11 + X7: half-to-even grid snap, mean CH4 per cell."""
     return (qa_at_least(pix, qa_min)
             .groupBy(grid_snap("latitude", step).alias("lat_grid"), grid_snap("longitude", step).alias("lon_grid"))
-            .agg(F.avg("ch4_column").alias("avg_ch4"), COUNT.alias("n_pixels")))
+            .agg(F.avg("ch4_column").alias("avg_ch4"), _n().alias("n_pixels")))
 
 
 def grid_mean_round(pix: DataFrame, digits: int = 1, qa_min: float = QA_SILVER) -> DataFrame:
     """Rounded coordinates (half away from zero), mean CH4 per cell."""
     return (qa_at_least(pix, qa_min)
             .groupBy(round_n("latitude", digits).alias("lat_grid"), round_n("longitude", digits).alias("lon_grid"))
-            .agg(F.avg("ch4_column").alias("avg_ch4"), COUNT.alias("n_pixels")))
+            .agg(F.avg("ch4_column").alias("avg_ch4"), _n().alias("n_pixels")))
 
 
 def qa_histogram(pix: DataFrame) -> DataFrame:
     """A13 + T3: pixel count per 0.1 QA bin, ordered."""
-    return (pix.groupBy(round_n("qa_value", 1).alias("qa_bin")).agg(COUNT.alias("count"))
+    return (pix.groupBy(round_n("qa_value", 1).alias("qa_bin")).agg(_n().alias("count"))
             .orderBy("qa_bin"))
 
 
@@ -162,7 +170,7 @@ def ch4_histogram(pix: DataFrame, bins: int = HIST_BINS, lo: float = CH4_MIN_VAL
     b_hi = F.when(mn == mx, mx + F.lit(0.5)).otherwise(mx)
     width = b_hi - b_lo
     bucket = F.least(F.floor((F.col("ch4_column") - b_lo) / width * F.lit(float(bins))) + F.lit(1), F.lit(bins))
-    counts = vals.groupBy(bucket.cast("int").alias("bin")).agg(COUNT.alias("pixel_count"))
+    counts = vals.groupBy(bucket.cast("int").alias("bin")).agg(_n().alias("pixel_count"))
     all_bins = (pix.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
                 .where(mn.isNotNull()))
     edges = all_bins.select(

@@ -16,7 +16,8 @@ from plumeline.model import (FACILITY_BUFFER_M, MIN_PIXELS_PER_CELL, QA_GOLD, QA
 from plumeline.operators.filters import ch4_in_range, qa_at_least
 from plumeline.operators.spatial import distance_inner_join
 
-COUNT = F.count(F.lit(1))
+def _n():
+    return F.count(F.lit(1))
 PIXEL_KEY = ("file_path", "scanline", "ground_pixel")
 
 
@@ -52,7 +53,7 @@ def facility_dim(fac: DataFrame) -> DataFrame:
     g = fac.groupBy("facility_id").agg(
         F.max(F.struct("reporting_month", "row_id", *attrs)).alias("_r"),
         F.min("reporting_month").alias("first_reporting_month"),
-        COUNT.alias("n_reports"))
+        _n().alias("n_reports"))
     return g.select("facility_id", *[F.col("_r." + a).alias(a) for a in attrs],
                     "first_reporting_month", F.col("_r.reporting_month").alias("last_reporting_month"),
                     "n_reports")
@@ -63,7 +64,7 @@ def battery_fact(fac: DataFrame) -> DataFrame:
     vols = ["oil_prod_m3", "gas_prod_1000m3", "gas_flared_1000m3", "gas_vented_1000m3", "water_prod_m3",
             "total_wells"]
     g = fac.groupBy("facility_id", "reporting_month").agg(
-        F.max(F.struct("ingestion_date", "row_id", *vols)).alias("_r"), COUNT.alias("n_rows"))
+        F.max(F.struct("ingestion_date", "row_id", *vols)).alias("_r"), _n().alias("n_rows"))
     return g.select("facility_id", "reporting_month", F.col("_r.row_id").alias("row_id"),
                     *[F.col("_r." + v).alias(v) for v in vols], "n_rows")
 
@@ -73,7 +74,7 @@ def facility_pixel_agg(pix: DataFrame, fac: DataFrame, radius_m: float = FACILIT
     ``radius_m`` of the centre and the nearest one (km). Pixels are aggregated before the join."""
     lat_c, lon_c = round_n("latitude", 1).alias("lat_center"), round_n("longitude", 1).alias("lon_center")
     month = F.to_date(F.date_trunc("month", "measurement_timestamp")).alias("month")
-    per_cm = pix.groupBy(lat_c, lon_c, month).agg(COUNT.alias("n_pixels"), F.sum("ch4_column").alias("_sum"))
+    per_cm = pix.groupBy(lat_c, lon_c, month).agg(_n().alias("n_pixels"), F.sum("ch4_column").alias("_sum"))
     centres = per_cm.select("lat_center", "lon_center").distinct()
     fac_pts = fac.select("facility_id", "latitude", "longitude").dropna().distinct()
     pairs = distance_inner_join(centres, fac_pts, radius_m, "lat_center", "lon_center", "latitude", "longitude")
@@ -91,7 +92,7 @@ def ch4_hotspots(pix: DataFrame, min_pixels: int = MIN_PIXELS_PER_CELL) -> DataF
     bronze pixels lie in the bbox, so there are at most 111 x 101 cells."""
     gold = gold_pixels(pix)
     cells = (gold.groupBy(round_n("latitude", 1).alias("lat_grid"), round_n("longitude", 1).alias("lon_grid"))
-             .agg(COUNT.alias("n_pixels"), F.avg("ch4_column").alias("avg_ch4"))
+             .agg(_n().alias("n_pixels"), F.avg("ch4_column").alias("avg_ch4"))
              .where(F.col("n_pixels") >= F.lit(min_pixels)))
     regional = gold.agg(F.avg("ch4_column")).scalar()
     ranked = cells.withColumn("enhancement", round_n(F.col("avg_ch4") - regional, 4))
@@ -103,7 +104,7 @@ def enhancement_vs_activity(pix: DataFrame, fac: DataFrame, radius_m: float = FA
     the regional mean) beside its reported activity (flared + vented and produced gas over all
     months of the fact table)."""
     per_centre = (pix.groupBy(round_n("latitude", 1).alias("lat_center"), round_n("longitude", 1).alias("lon_center"))
-                  .agg(COUNT.alias("n"), F.sum("ch4_column").alias("s")))
+                  .agg(_n().alias("n"), F.sum("ch4_column").alias("s")))
     fac_pts = fac.select("facility_id", "latitude", "longitude").dropna().distinct()
     pairs = distance_inner_join(fac_pts, per_centre, radius_m, "latitude", "longitude", "lat_center", "lon_center")
     pairs = pairs.select("facility_id", "r_lat_center", "r_lon_center", "r_n", "r_s").distinct()

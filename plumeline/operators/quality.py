@@ -16,7 +16,8 @@ from plumeline.model import (AUDIT_AVG_CH4_MAX, AUDIT_AVG_CH4_MIN, AUDIT_AVG_QA_
 from plumeline.operators.aggregates import pixels_near_facilities
 from plumeline.operators.spatial import within_radius
 
-COUNT = F.count(F.lit(1))
+def _n():
+    return F.count(F.lit(1))
 
 
 def _stack(metrics: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
@@ -34,15 +35,15 @@ def _inside(lo: Column, hi: Column, bound_lo: float, bound_hi: float) -> Column:
 def audit_pixels(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
     """G1-G8 on the bronze pixel table."""
     m = pix.agg(
-        COUNT.alias("n"),
+        _n().alias("n"),
         F.count_distinct("orbit_number").alias("orbits"),
         round_n(F.min("latitude"), 2).alias("min_lat"), round_n(F.max("latitude"), 2).alias("max_lat"),
         round_n(F.min("longitude"), 2).alias("min_lon"), round_n(F.max("longitude"), 2).alias("max_lon"),
         round_n(F.avg("qa_value"), 3).alias("avg_qa"),
         F.avg("ch4_column").alias("avg_ch4"),
         F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_loc"),
-        (COUNT - F.count_distinct("row_id")).alias("dups"))
-    near = pixels_near_facilities(pix, fac, radius_m).agg(COUNT.alias("near")).scalar()
+        (_n() - F.count_distinct("row_id")).alias("dups"))
+    near = pixels_near_facilities(pix, fac, radius_m).agg(_n().alias("near")).scalar()
     m = m.withColumn("near", near)
     n = F.col("n")
     bbox_ok = (_inside(F.col("min_lat"), F.col("max_lat"), BBOX["min_lat"], BBOX["max_lat"])
@@ -68,10 +69,10 @@ def audit_pixels(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFF
 def audit_facilities(fac: DataFrame) -> DataFrame:
     """G1, G3 (latitude only), G6 and G9 on the bronze facility table."""
     m = fac.agg(
-        COUNT.alias("n"),
+        _n().alias("n"),
         round_n(F.min("latitude"), 2).alias("min_lat"), round_n(F.max("latitude"), 2).alias("max_lat"),
         F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_loc"))
-    city = within_radius(fac, CITY_LAT, CITY_LON, CITY_RADIUS_M).agg(COUNT.alias("c")).scalar()
+    city = within_radius(fac, CITY_LAT, CITY_LON, CITY_RADIUS_M).agg(_n().alias("c")).scalar()
     m = m.withColumn("near_city", city)
     lat_ok = (F.col("min_lat") >= F.lit(BBOX["min_lat"])) & (F.col("max_lat") <= F.lit(BBOX["max_lat"]))
     return _stack(m, [

@@ -118,12 +118,11 @@ def with_source_file(bat: DataFrame) -> DataFrame:
                                                   F.lit(".csv")))
 
 
-def geocoded_facilities(bat: DataFrame, mode: str = "as_written") -> DataFrame:
+def geocoded_facilities(bat: DataFrame, mode: str = "as_written", located_only: bool = False) -> DataFrame:
     """Battery rows with latitude / longitude (NULL where the location does not parse)."""
-    return with_source_file(with_location(bat, "bty_location_raw", mode))
+    return with_source_file(with_location(bat, "bty_location_raw", mode, located_only=located_only))
 
 
 def bronze_facilities(bat: DataFrame, mode: str = "as_written") -> DataFrame:
     """Bronze facility content: located rows only, with an ingestion date."""
-    return (geocoded_facilities(bat, mode).dropna(subset=["latitude", "longitude"])
-            .withColumn("ingestion_date", F.current_date()))
+    return geocoded_facilities(bat, mode, located_only=True).withColumn("ingestion_date", F.current_date())

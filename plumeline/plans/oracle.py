@@ -78,10 +78,11 @@ bronze_pix as (
 {_geocode_cte('geo', 'as_written')},
 {_geocode_cte('geo_fixed', 'corrected')},
 fac as (select * from geo where latitude is not null and longitude is not null),
-centres as (select distinct round(latitude, 1) as lat_center, round(longitude, 1) as lon_center from bronze_pix),
+centres as (select round(latitude, 1) as lat_center, round(longitude, 1) as lon_center, count(*) as n_pixels
+            from bronze_pix group by 1, 2),
 fac_pts as (select distinct latitude, longitude from fac),
 near_centres as (
-  select lat_center, lon_center from centres c
+  select lat_center, lon_center, n_pixels from centres c
   where exists (select 1 from fac_pts f where {hav('c.lat_center', 'c.lon_center', 'f.latitude', 'f.longitude')} <= 10000.0e0)),
 bfact as (
   select * from (select *, row_number() over (partition by facility_id, reporting_month order by row_id desc) as rn,
@@ -203,7 +204,7 @@ from fac where {CITY} <= 50000.0e0
 order by distance_km, facility_id, row_id limit 10"""
 
 Q["pixels_near_facilities"] = """
-select lat_center, lon_center from near_centres"""
+select lat_center, lon_center, n_pixels from near_centres"""
 
 Q["overlap_summary"] = """
 select total_pixels, total_facilities, pixels_near_facilities,
