@@ -111,11 +111,33 @@ def geocode(raw, mode: str = "as_written") -> Column:
 
 def with_location(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
                   lon_out: str = "longitude", located_only: bool = False) -> DataFrame:
-    """Add ``lat_out`` / ``lon_out`` geocoded from the location text column ``raw``;
-    ``located_only`` drops rows whose location does not resolve (one test on the struct)."""
-    staged = df.withColumn("_loc_xy", geocode(F.col(raw), mode))
+    """Add ``lat_out`` / ``lon_out`` geocoded from the location text column ``raw``.
+
+    Each distinct location text is geocoded once and joined back: monthly reports repeat the
+    same locations, and the distinct step (partial aggregation, then a shuffle of the distinct
+    strings only) spreads the regex work over many tasks even when the input is one split. The
+    distinct-location table is bounded by the number of legal survey locations; AQE broadcasts
+    it when it is small and shuffles otherwise. ``located_only`` makes it an inner join, which
+    drops rows whose location does not resolve.
+    """
+    locs = (df.where(F.col(raw).isNotNull()).groupBy(F.col(raw).alias("_loc_raw"))
+            .agg(F.count(F.lit(1)).alias("_loc_rows")))
+    xy = locs.withColumn("_loc_xy", geocode(F.col("_loc_raw"), mode))
     if located_only:
-        staged = staged.where(F.col("_loc_xy").isNotNull())
+        # One predicate over the geocode and the row count (always >= 1): a test on the geocode
+        # alone only reads the grouping key, and Catalyst would push it below the aggregate,
+        # geocoding every input row instead of every distinct location.
+        xy = xy.where(F.col("_loc_xy").isNotNull().cast("long") * F.col("_loc_rows") > F.lit(0))
+    xy = xy.select("_loc_raw", F.col("_loc_xy.latitude").alias(lat_out), F.col("_loc_xy.longitude").alias(lon_out))
+    base = df.drop(lat_out, lon_out) if lat_out in df.columns or lon_out in df.columns else df
+    joined = base.join(xy, base[raw] == xy["_loc_raw"], "inner" if located_only else "left")
+    return joined.drop("_loc_raw")
+
+
+def with_location_rowwise(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
+                          lon_out: str = "longitude") -> DataFrame:
+    """Per-row variant (no shuffle), for inputs without repeated locations."""
+    staged = df.withColumn("_loc_xy", geocode(F.col(raw), mode))
     return (staged.withColumn(lat_out, F.col("_loc_xy.latitude"))
                   .withColumn(lon_out, F.col("_loc_xy.longitude"))
                   .drop("_loc_xy"))
