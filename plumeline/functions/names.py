@@ -20,8 +20,8 @@ def month_from_name(name) -> Column:
     """First day of the ``YYYY[_-]MM`` month in a file name; NULL when absent or not a month."""
     y = F.regexp_extract(_c(name), REPORT_MONTH_RE, 1)
     m = F.regexp_extract(_c(name), REPORT_MONTH_RE, 2)
-    ok = (y != "") & m.cast("int").between(1, 12) & (y.cast("int") >= 1)
-    return F.when(ok, F.make_date(y.cast("int"), m.cast("int"), F.lit(1)))
+    yi, mi = y.try_cast("int"), m.try_cast("int")
+    return F.when(mi.between(1, 12) & (yi >= 1), F.make_date(yi, mi, F.lit(1)))
 
 
 def orbit_from_name(name, fallback=None) -> Column:

@@ -54,7 +54,7 @@ def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -
     """Typed, normalized rows of one or more monthly CSV files.
 
     Adds ``source_file``, ``reporting_month`` (from the file name), ``ingestion_date`` and
-    ``_line_key`` (file order) for per-file row numbers. Raises if a file name carries no month
+    ``_line_block`` / ``_line_pos`` (file order) for per-file row numbers. Raises if a file name carries no month
     or the header lacks the location column.
     """
     files = _paths(paths)
@@ -100,9 +100,10 @@ def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -
         F.col("source_file"),
         month_from_name(F.col("source_file")).alias("reporting_month"),
         F.current_date().alias("ingestion_date"),
-        F.struct(F.col("_block"), F.col("_pos")).alias("_line_key"),
+        F.col("_block").alias("_line_block"),
+        F.col("_pos").alias("_line_pos"),
     )
-    return out if with_line_order else out.drop("_line_key")
+    return out if with_line_order else out.drop("_line_block", "_line_pos")
 
 
 def check_month_in_names(paths) -> None:
