@@ -51,5 +51,6 @@ def pixel_rows(granules: DataFrame, existing_rows: int = 0) -> DataFrame:
 
 def load_granules(spark: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS) -> dict:
     """Append granule pixels to the bronze pixel table, ids continuing after its row count."""
+    spark.catalog.refreshTable(table)
     existing = row_count(spark, table)
     return append_by_name(pixel_rows(granules, existing), table)
