@@ -3,6 +3,11 @@
 Two text forms are read: dashed ``LSD-SEC-TWP-RGE{W|E}MER`` and a 10-digit compact code. The
 position arithmetic follows the published approximation; ``mode="corrected"`` fixes three of its
 defects (compact field order, township/range counted from 1, serpentine LSD numbering).
+
+The expressions are written as Spark SQL text and handed over once with ``F.expr``: built from
+``pyspark.sql.functions`` they take thousands of driver-to-JVM calls. Intermediate values are
+bound once with ``transform(array(value), x -> body)[0]``, so optimizer rewrites that substitute
+expressions (predicate pushdown, projection collapsing) copy each value once, not per use.
 """
 
 from __future__ import annotations
@@ -10,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumeline.functions.numeric import round_n
 from plumeline.model import (COMPACT_LOCATION_RE, DASHED_LOCATION_RE, DEG2RAD, MERIDIAN_BASE_LON,
                              METERS_PER_DEG_LAT, MILE_M, SURVEY_BASE_LAT)
 
@@ -20,93 +24,102 @@ SECTION_M = 1 * MILE_M
 LSD_M = SECTION_M / 4
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _d(x: float) -> str:
+    """Double literal (a bare decimal is DECIMAL in Spark SQL and would change the arithmetic)."""
+    return repr(float(x)) + "D"
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a one-element ``transform``).
+def _s(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    Field references inside ``body`` are lambda variables, so optimizer rewrites that substitute
-    expressions (predicate pushdown, projection collapsing) copy ``value`` once, not per use.
-    """
-    return F.transform(F.array(value), body)[0]
 
+def _let(value: str, var: str, body: str) -> str:
+    return f"transform(array({value}), {var} -> {body})[0]"
 
-def normalized_location(raw) -> Column:
-    """upper(trim(text)); '' and 'NAN' are missing."""
-    return _let(F.upper(F.trim(_c(raw).cast("string"))),
-                lambda v: F.when(v.isin("", "NAN"), F.lit(None).cast("string")).otherwise(v))
 
+def _ref(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def _parse_normalized(v: Column, mode: str) -> Column:
-    dashed = v.rlike(DASHED_LOCATION_RE)
-    compact = v.rlike(COMPACT_LOCATION_RE)
 
-    def dash(i):
-        return F.regexp_extract(v, DASHED_LOCATION_RE, i)
+def normalized_sql(raw_sql: str) -> str:
+    """upper(trim(text)); '' and 'NAN' are missing."""
+    return _let(f"upper(trim(cast({raw_sql} as string)))", "u_", "CASE WHEN u_ IN ('', 'NAN') THEN NULL ELSE u_ END")
 
-    def sub(pos, length):
-        return F.substring(v, pos, length)
 
+def parse_sql(raw_sql: str, mode: str = "as_written") -> str:
+    """Struct<lsd,sec,twp,rng,dir,mer>; NULL when neither form matches."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    dashed, compact = _s(DASHED_LOCATION_RE), _s(COMPACT_LOCATION_RE)
     if mode == "as_written":   # meridian, township, range, section, lsd: 2 digits each
-        c_mer, c_twp, c_rng, c_sec, c_lsd = sub(1, 2), sub(3, 2), sub(5, 2), sub(7, 2), sub(9, 2)
+        pos = {"mer": (1, 2), "twp": (3, 2), "rng": (5, 2), "sec": (7, 2), "lsd": (9, 2)}
     else:                      # township(3) meridian(1) range(2) section(2) lsd(2)
-        c_twp, c_mer, c_rng, c_sec, c_lsd = sub(1, 3), sub(4, 1), sub(5, 2), sub(7, 2), sub(9, 2)
+        pos = {"twp": (1, 3), "mer": (4, 1), "rng": (5, 2), "sec": (7, 2), "lsd": (9, 2)}
+    group = {"lsd": 1, "sec": 2, "twp": 3, "rng": 4, "mer": 6}
+    fields = ", ".join(
+        f"'{k}', CAST(CASE WHEN m_.d THEN regexp_extract(m_.v, {dashed}, {group[k]}) "
+        f"ELSE substring(m_.v, {pos[k][0]}, {pos[k][1]}) END AS INT)" for k in ("lsd", "sec", "twp", "rng", "mer"))
+    fields += f", 'dir', CASE WHEN m_.d THEN regexp_extract(m_.v, {dashed}, 5) ELSE 'W' END"
+    body = f"CASE WHEN m_.d OR m_.c THEN named_struct({fields}) END"
+    matched = _let(normalized_sql(raw_sql), "v_",
+                   f"named_struct('v', v_, 'd', v_ rlike {dashed}, 'c', v_ rlike {compact})")
+    return _let(matched, "m_", body)
+
+
+def locate_sql(parts_sql: str, mode: str = "as_written") -> str:
+    """Struct<latitude,longitude> (6 dp) from a parsed location; NULL when out of range."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    q = "q_"
+    valid = (f"{q}.lsd BETWEEN 1 AND 16 AND {q}.sec BETWEEN 1 AND 36 AND {q}.twp BETWEEN 1 AND 126 "
+             f"AND {q}.rng BETWEEN 1 AND 34 AND {q}.mer IN ({', '.join(str(m) for m in MERIDIAN_BASE_LON)}) "
+             f"AND {q}.dir IN ('W', 'E')")
+    base = "CASE " + " ".join(f"WHEN {q}.mer = {m} THEN {_d(lon)}" for m, lon in MERIDIAN_BASE_LON.items()) + " END"
+    twp = f"{q}.twp" if mode == "as_written" else f"({q}.twp - 1)"
+    rng = f"{q}.rng" if mode == "as_written" else f"({q}.rng - 1)"
+    sec_row, sec_c = f"(({q}.sec - 1) div 6)", f"(({q}.sec - 1) % 6)"
+    lsd_row, lsd_c = f"(({q}.lsd - 1) div 4)", f"(({q}.lsd - 1) % 4)"
+    sec_col = f"(CASE WHEN {sec_row} % 2 = 1 THEN 5 - {sec_c} ELSE {sec_c} END)"
+    lsd_col = lsd_c if mode == "as_written" else f"(CASE WHEN {lsd_row} % 2 = 1 THEN 3 - {lsd_c} ELSE {lsd_c} END)"
+    T, S, L = _d(TOWNSHIP_M), _d(SECTION_M), _d(LSD_M)
+    # Same evaluation order as the published arithmetic, so doubles agree bit for bit.
+    north = f"{twp} * {T} + {sec_row} * {S} + {lsd_row} * {L}"
+    west = f"{rng} * {T} + {sec_col} * {S} + {lsd_col} * {L}"
+    g = "g_"
+    lat = f"{_d(SURVEY_BASE_LAT)} + {g}.north / {_d(METERS_PER_DEG_LAT)}"
+    h = "h_"
+    per_deg = f"({_d(METERS_PER_DEG_LAT)} * cos({h}.lat * {_d(DEG2RAD)}))"
+    lon = f"CASE WHEN {h}.dir = 'W' THEN {h}.base - {h}.west / {per_deg} ELSE {h}.base + {h}.west / {per_deg} END"
+    coords = _let(f"named_struct('lat', {lat}, 'west', {g}.west, 'base', {g}.base, 'dir', {g}.dir)", h,
+                  f"named_struct('latitude', round({h}.lat * 1000000.0D, 0) / 1000000.0D, "
+                  f"'longitude', round(({lon}) * 1000000.0D, 0) / 1000000.0D)")
+    body = (f"CASE WHEN {valid} THEN "
+            + _let(f"named_struct('north', {north}, 'west', {west}, 'base', {base}, 'dir', {q}.dir)", g, coords)
+            + " END")
+    return _let(parts_sql, q, body)
 
-    def pick(d, c):
-        return F.when(dashed, d).when(compact, c)
 
-    return F.when(dashed | compact, F.struct(
-        pick(dash(1), c_lsd).cast("int").alias("lsd"),
-        pick(dash(2), c_sec).cast("int").alias("sec"),
-        pick(dash(3), c_twp).cast("int").alias("twp"),
-        pick(dash(4), c_rng).cast("int").alias("rng"),
-        pick(dash(5), F.lit("W")).alias("dir"),
-        pick(dash(6), c_mer).cast("int").alias("mer"),
-    ))
+def geocode_sql(raw_sql: str, mode: str = "as_written") -> str:
+    return locate_sql(parse_sql(raw_sql, mode), mode)
 
 
-def parse_location(raw, mode: str = "as_written") -> Column:
-    """Struct<lsd,sec,twp,rng,dir,mer> (ints and a 'W'/'E' string); NULL when no form matches."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    return _let(normalized_location(raw), lambda v: _parse_normalized(v, mode))
+def normalized_location(raw: str) -> Column:
+    return F.expr(normalized_sql(_ref(raw)))
 
 
-def locate(parts, mode: str = "as_written") -> Column:
-    """Struct<latitude,longitude> (6 dp) from a parsed location struct; NULL when out of range."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    p = _c(parts)
-    lsd, sec, twp, rng, dirn, mer = (p[k] for k in ("lsd", "sec", "twp", "rng", "dir", "mer"))
-    valid = (lsd.between(1, 16) & sec.between(1, 36) & twp.between(1, 126) & rng.between(1, 34)
-             & mer.isin(*MERIDIAN_BASE_LON) & dirn.isin("W", "E"))
-    base_lon = F.lit(None).cast("double")
-    for m, lon0 in MERIDIAN_BASE_LON.items():
-        base_lon = F.when(mer == m, F.lit(lon0)).otherwise(base_lon)
-
-    twp_n = twp if mode == "as_written" else twp - 1
-    rng_n = rng if mode == "as_written" else rng - 1
-    sec_row = F.floor((sec - 1) / 6).cast("int")
-    sec_col0 = (sec - 1) % 6
-    sec_col = F.when(sec_row % 2 == 1, 5 - sec_col0).otherwise(sec_col0)
-    lsd_row = F.floor((lsd - 1) / 4).cast("int")
-    lsd_col0 = (lsd - 1) % 4
-    lsd_col = lsd_col0 if mode == "as_written" else F.when(lsd_row % 2 == 1, 3 - lsd_col0).otherwise(lsd_col0)
+def parse_location(raw: str, mode: str = "as_written") -> Column:
+    """Column of struct<lsd,sec,twp,rng,dir,mer> from the text column named ``raw``."""
+    return F.expr(parse_sql(_ref(raw), mode))
 
-    # Same evaluation order as the published arithmetic, so doubles agree bit for bit.
-    north = twp_n * F.lit(TOWNSHIP_M) + sec_row * F.lit(SECTION_M) + lsd_row * F.lit(LSD_M)
-    west = rng_n * F.lit(TOWNSHIP_M) + sec_col * F.lit(SECTION_M) + lsd_col * F.lit(LSD_M)
-    lat = F.lit(SURVEY_BASE_LAT) + north / F.lit(METERS_PER_DEG_LAT)
-    per_deg_lon = F.lit(METERS_PER_DEG_LAT) * F.cos(lat * F.lit(DEG2RAD))
-    lon = F.when(dirn == "W", base_lon - west / per_deg_lon).otherwise(base_lon + west / per_deg_lon)
-    return F.when(valid, F.struct(round_n(lat, 6).alias("latitude"), round_n(lon, 6).alias("longitude")))
+
+def locate(parts: str, mode: str = "as_written") -> Column:
+    """Column of struct<latitude,longitude> from the parsed-struct column named ``parts``."""
+    return F.expr(locate_sql(_ref(parts), mode))
 
 
-def geocode(raw, mode: str = "as_written") -> Column:
-    """Location text -> struct<latitude, longitude> or NULL."""
-    return _let(parse_location(raw, mode), lambda p: locate(p, mode))
+def geocode(raw: str, mode: str = "as_written") -> Column:
+    """Location text column name -> struct<latitude, longitude> or NULL."""
+    return F.expr(geocode_sql(_ref(raw), mode))
 
 
 def with_location(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
@@ -120,15 +133,21 @@ def with_location(df: DataFrame, raw: str, mode: str = "as_written", lat_out: st
     it when it is small and shuffles otherwise. ``located_only`` makes it an inner join, which
     drops rows whose location does not resolve.
     """
-    locs = (df.where(F.col(raw).isNotNull()).groupBy(F.col(raw).alias("_loc_raw"))
-            .agg(F.count(F.lit(1)).alias("_loc_rows")))
-    xy = locs.withColumn("_loc_xy", geocode(F.col("_loc_raw"), mode))
+    counted = (df.where(F.col(raw).isNotNull()).groupBy(F.col(raw).alias("_loc_raw"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    coded = counted.select("_loc_raw", "_n", geocode("_loc_raw", mode).alias("_loc_xy"))
+    # A second aggregate on the same key costs no shuffle (rows are already partitioned by
+    # location) but makes the coordinates aggregate outputs: filters on them (the located test, a
+    # later bounding box or distance test) stay above it and read plain values instead of being
+    # pushed down into copies of the geocode expression. Summing the per-location row count keeps
+    # the lower aggregate from being folded into this one, which would geocode every input row.
+    xy = coded.groupBy("_loc_raw").agg(F.max("_loc_xy.latitude").alias(lat_out),
+                                       F.max("_loc_xy.longitude").alias(lon_out),
+                                       F.sum("_n").alias("_rows"))
+    keep = F.col("_rows") > F.lit(0)
     if located_only:
-        # One predicate over the geocode and the row count (always >= 1): a test on the geocode
-        # alone only reads the grouping key, and Catalyst would push it below the aggregate,
-        # geocoding every input row instead of every distinct location.
-        xy = xy.where(F.col("_loc_xy").isNotNull().cast("long") * F.col("_loc_rows") > F.lit(0))
-    xy = xy.select("_loc_raw", F.col("_loc_xy.latitude").alias(lat_out), F.col("_loc_xy.longitude").alias(lon_out))
+        keep = keep & F.col(lat_out).isNotNull()
+    xy = xy.where(keep).select("_loc_raw", lat_out, lon_out)
     base = df.drop(lat_out, lon_out) if lat_out in df.columns or lon_out in df.columns else df
     joined = base.join(xy, base[raw] == xy["_loc_raw"], "inner" if located_only else "left")
     return joined.drop("_loc_raw")
@@ -137,7 +156,7 @@ def with_location(df: DataFrame, raw: str, mode: str = "as_written", lat_out: st
 def with_location_rowwise(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
                           lon_out: str = "longitude") -> DataFrame:
     """Per-row variant (no shuffle), for inputs without repeated locations."""
-    staged = df.withColumn("_loc_xy", geocode(F.col(raw), mode))
+    staged = df.withColumn("_loc_xy", geocode(raw, mode))
     return (staged.withColumn(lat_out, F.col("_loc_xy.latitude"))
                   .withColumn(lon_out, F.col("_loc_xy.longitude"))
                   .drop("_loc_xy"))
