@@ -107,13 +107,16 @@ def pixel_centres(pix: DataFrame, step_digits: int = 1) -> DataFrame:
     """A10: distinct pixel centres at 10^-digits degrees (rounded half away from zero), with the
     number of pixels each one stands for.
 
-    The ``n_pixels > 0`` condition is always true; it keeps this aggregate below a following
-    semi-join. Without it Catalyst pushes a broadcastable semi-join beneath the aggregate, so
-    every pixel row (not every centre) would probe the facility cells.
+    Rows without coordinates are dropped first, so the centre keys are declared non-null: a later
+    join then infers no extra null filters beneath this aggregate, and two uses of it stay
+    identical plans that share one shuffle. The ``n_pixels > 0`` condition is always true; it
+    keeps the aggregate below a following semi-join (Catalyst would otherwise push a broadcastable
+    semi-join beneath it, and every pixel row, not every centre, would probe the facility cells).
     """
-    return (pix.groupBy(round_n("latitude", step_digits).alias("lat_center"),
-                        round_n("longitude", step_digits).alias("lon_center"))
-            .agg(_n().alias("n_pixels")).where(F.col("n_pixels") > 0))
+    located = pix.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    lat_c = F.coalesce(round_n("latitude", step_digits), F.lit(0.0)).alias("lat_center")
+    lon_c = F.coalesce(round_n("longitude", step_digits), F.lit(0.0)).alias("lon_center")
+    return located.groupBy(lat_c, lon_c).agg(_n().alias("n_pixels")).where(F.col("n_pixels") > 0)
 
 
 def pixels_near_facilities(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
@@ -123,17 +126,21 @@ def pixels_near_facilities(pix: DataFrame, fac: DataFrame, radius_m: float = FAC
 
 
 def overlap_summary(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
-    """Centres in total (before the semi-join), facility rows, centres near one, percent."""
+    """Centres in total (before the semi-join), facility rows, centres near one, percent.
+
+    Both centre counts come from one aggregate: every centre is left-joined to the (small) set
+    of near centres, and the two identical centre aggregates share one shuffle (exchange reuse),
+    so the pixel table is read once.
+    """
     centres = pixel_centres(pix)
-    total = centres.agg(_n().alias("total_pixels"))
-    near = pixels_near_facilities(pix, fac, radius_m).agg(_n().alias("pixels_near_facilities"))
+    near = distance_semi_join(centres, fac, radius_m, "lat_center", "lon_center", "latitude", "longitude")
+    flagged = centres.join(near.select("lat_center", "lon_center", F.lit(1).alias("_near")),
+                           ["lat_center", "lon_center"], "left")
     n_fac = fac.agg(_n().alias("total_facilities"))
-    return total.select(
-        "total_pixels",
-        n_fac.scalar().alias("total_facilities"),
-        near.scalar().alias("pixels_near_facilities"),
-    ).select("*", round_n(F.col("pixels_near_facilities") / F.nullif(F.col("total_pixels"), F.lit(0))
-                          * F.lit(100.0), 2).alias("overlap_pct"))
+    return flagged.agg(_n().alias("total_pixels"), F.count("_near").alias("pixels_near_facilities")).select(
+        "total_pixels", n_fac.scalar().alias("total_facilities"), "pixels_near_facilities",
+        round_n(F.col("pixels_near_facilities") / F.nullif(F.col("total_pixels"), F.lit(0)) * F.lit(100.0), 2)
+        .alias("overlap_pct"))
 
 
 def grid_mean_snap(pix: DataFrame, step: float = HEATMAP_GRID_DEG, qa_min: float = QA_SILVER) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumeline.functions.numeric import round_n
 from plumeline.model import (FACILITY_BUFFER_M, MIN_PIXELS_PER_CELL, QA_GOLD, QA_SILVER, RETENTION_DAYS,
@@ -21,9 +22,22 @@ def _n():
 PIXEL_KEY = ("file_path", "scanline", "ground_pixel")
 
 
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def dedupe_keep_min(df: DataFrame, key: list, order_col: str) -> DataFrame:
-    """One row per ``key``: the row with the smallest ``order_col``."""
+    """One row per ``key``: the row with the smallest ``order_col`` (assumed unique per key).
+
+    When every carried column is fixed-width this is ``min_by(column, order_col)`` per column,
+    which Spark runs as a hash aggregate; otherwise ``min`` of a struct led by ``order_col``
+    (a sort-based aggregate). Both aggregate partially before the shuffle.
+    """
     rest = [c for c in df.columns if c not in key and c != order_col]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if all(isinstance(types[c], _FIXED_WIDTH) for c in rest):
+        aggs = [F.min(order_col).alias(order_col)] + [F.min_by(c, order_col).alias(c) for c in rest]
+        return df.groupBy(*key).agg(*aggs).select(*df.columns)
     agg = df.groupBy(*key).agg(F.min(F.struct(order_col, *rest)).alias("_r"))
     return agg.select(*key, *[F.col("_r." + c).alias(c) for c in [order_col] + rest]).select(*df.columns)
 
@@ -35,8 +49,8 @@ def silver_pixels(pix: DataFrame) -> DataFrame:
     cols = ["row_id", "measurement_timestamp", "ch4_column", "qa_value", "latitude", "longitude",
             "orbit_number", "file_path", "scanline", "ground_pixel"]
     s = ch4_in_range(qa_at_least(pix, QA_SILVER)).select(*cols)
+    newest = s.agg(F.max("measurement_timestamp")).scalar()      # same before and after the dedupe
     s = dedupe_keep_min(s, list(PIXEL_KEY), "row_id")
-    newest = s.agg(F.max("measurement_timestamp")).scalar()
     s = s.where(F.col("measurement_timestamp") >= newest - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
     month = F.month("measurement_timestamp")
     return s.withColumn("in_preferred_season", month.between(SEASON_FIRST_MONTH, SEASON_LAST_MONTH))

@@ -21,8 +21,15 @@ from plumeline.model import GRID_DEG
 _EPS_DEG = 1e-9
 
 
+_NO_CELL = -(2 ** 62)   # never produced by a real coordinate
+
+
 def _cells_of_point(lat: str, lon: str, cell_deg: float):
-    return cell_index(F.col(lat), cell_deg).alias("_ci"), cell_index(F.col(lon), cell_deg).alias("_cj")
+    # Non-null keys: a row without coordinates gets a cell no right point has (it could not pass
+    # the distance test anyway), so Catalyst infers no null filter beneath the left input and two
+    # uses of the same left input remain one shared plan.
+    return (F.coalesce(cell_index(F.col(lat), cell_deg), F.lit(_NO_CELL)).alias("_ci"),
+            F.coalesce(cell_index(F.col(lon), cell_deg), F.lit(_NO_CELL)).alias("_cj"))
 
 
 def explode_reach_cells(df: DataFrame, lat: str, lon: str, radius_m: float,
