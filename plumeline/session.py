@@ -37,13 +37,17 @@ def build_session(master: str | None = None, app: str = "plumeline",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder, taken from the session.
 
     On a cluster ``spark.checkpoint.dir`` must name shared storage and is used as given. Only a
-    local-mode session without one (tests) gets a fresh folder of its own.
+    local-mode session without one (tests) gets a fresh folder of its own. A Spark Connect
+    session has no driver-side context here; the server's setting applies.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: checkpointing is configured on the server
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
