@@ -133,3 +133,22 @@ def enhancement_vs_activity(pix: DataFrame, fac: DataFrame, radius_m: float = FA
     return near.join(activity, "facility_id", "inner").select(
         "facility_id", "n_centres", "n_pixels_near", round_n(mean_near, 3).alias("mean_ch4_near"),
         round_n(mean_near - regional, 3).alias("enhancement"), "n_months", "emitted_1000m3", "produced_1000m3")
+
+
+def write_silver(spark, source_table: str = "bronze.sentinel5p_raw",
+                 target_table: str = "silver.sentinel5p_ch4_cleaned") -> dict:
+    """Rebuild the silver pixel table from bronze, partitioned by measurement day."""
+    from plumeline.sources.tables import create_layers
+    create_layers(spark)
+    silver = silver_pixels(spark.table(source_table)).withColumn("day", F.to_date("measurement_timestamp"))
+    silver.write.mode("overwrite").format("parquet").partitionBy("day").saveAsTable(target_table)
+    return {"table": target_table, "rows": spark.table(target_table).count()}
+
+
+def write_hotspots(spark, source_table: str = "bronze.sentinel5p_raw",
+                   target_table: str = "gold.regional_ch4_hotspots") -> dict:
+    """Rebuild the gold hotspot table (one row per qualifying 0.1-degree cell)."""
+    from plumeline.sources.tables import create_layers
+    create_layers(spark)
+    ch4_hotspots(spark.table(source_table)).write.mode("overwrite").format("parquet").saveAsTable(target_table)
+    return {"table": target_table, "rows": spark.table(target_table).count()}
