@@ -29,8 +29,13 @@ def sequence_ids(df: DataFrame, order_cols: list, group_cols: list | None = None
     """
     group_cols = list(group_cols or [])
     keys = group_cols + list(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *keys)
+    # Without an explicit count AQE picks it: it starts from the cluster's initial partition
+    # number and merges adjacent ranges that are small, so partitions follow the data size.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    conf = df.sparkSession.conf
+    n = num_partitions or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                              or conf.get("spark.sql.shuffle.partitions"))
+    tagged = (ranged
                 .sortWithinPartitions(*keys)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = tagged.select("*", F.shiftright("_mid", _POS_BITS).alias("_pid"),
@@ -42,8 +47,7 @@ def sequence_ids(df: DataFrame, order_cols: list, group_cols: list | None = None
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.select(*chunk_keys, "_first",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # The offsets table has one row per (group, partition); its size is bounded by
-    # groups + partitions, so broadcast it when that bound is small.
+    # Without groups the offsets table has one row per partition (at most n): broadcast it.
     if not group_cols and n <= _BROADCAST_MAX_ROWS:
         offsets = F.broadcast(offsets)
     joined = tagged.join(offsets, chunk_keys, "inner")

@@ -58,7 +58,9 @@ def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -
     or the header lacks the location column.
     """
     files = _paths(paths)
-    lines = spark.read.text(files).select("value", F.col("_metadata.file_name").alias("f"))
+    # Headers sit in the first lines, so only each file's first split is read for them.
+    lines = (spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
+             .select("value", F.col("_metadata.file_name").alias("f")))
     headers = (lines.where(F.col("value").rlike(r'^\s*"?BATTERY"?\s*(,|$)'))
                .select("value").distinct().limit(64).collect())   # one header layout per file set
     if not headers:
