@@ -21,16 +21,46 @@ from plumeline.sources import swath
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_BASE: dict = {}
+
+
+def _base(spark, d, name, build):
+    """Base fixture frames, built once per (session, folder, name) and shared by the queries.
+
+    A DataFrame is an immutable logical plan, so sharing it is safe; it saves rebuilding the same
+    scans, fixture views and geocode join (thousands of driver-to-JVM calls) for every query.
+    """
+    key = (d, name)
+    hit = _BASE.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    _BASE[key] = (spark, df)
+    return df
+
+
 def _pix(spark, d):
-    return fx.bronze_pixels(fx.pixels(spark, d))
+    return _base(spark, d, "bronze_pix", lambda: fx.bronze_pixels(fx.pixels(spark, d)))
 
 
 def _fac(spark, d):
-    return fx.bronze_facilities(fx.batteries(spark, d))
+    return _base(spark, d, "bronze_fac", lambda: fx.bronze_facilities(fx.batteries(spark, d)))
+
+
+def _landing(spark, d):
+    return _base(spark, d, "pixels", lambda: fx.pixels(spark, d))
+
+
+def _bat(spark, d):
+    return _base(spark, d, "batteries", lambda: fx.batteries(spark, d))
+
+
+def _geo(spark, d):
+    return _base(spark, d, "batteries_geocoded", lambda: fx.geocoded_facilities(_bat(spark, d)))
 
 
 def geocode_batteries(spark, d, mode="as_written"):
-    g = fx.geocoded_facilities(fx.batteries(spark, d), mode)
+    g = _geo(spark, d) if mode == "as_written" else fx.geocoded_facilities(_bat(spark, d), mode)
     return not_null(g, "latitude", "longitude").select("row_id", "facility_id", "bty_location_raw",
                                                        "latitude", "longitude")
 
@@ -40,7 +70,7 @@ def geocode_batteries_corrected(spark, d):
 
 
 def numeric_coercion(spark, d):
-    b = fx.batteries(spark, d)
+    b = _bat(spark, d)
     return b.select("row_id", "gas_prod_text", lenient_double("gas_prod_text").alias("gas_prod_value"),
                     lenient_int("gas_prod_text").alias("gas_prod_int"))
 
@@ -73,8 +103,7 @@ def append_row_ids(spark, d):
 
 
 def file_row_numbers(spark, d):
-    g = fx.geocoded_facilities(fx.batteries(spark, d))
-    located = not_null(g, "latitude", "longitude").select("source_file", "row_id")
+    located = not_null(_geo(spark, d), "latitude", "longitude").select("source_file", "row_id")
     return sequence_ids(located, ["row_id"], group_cols=["source_file"], out="file_row")
 
 
@@ -103,8 +132,8 @@ def qa_summary(spark, d):
 
 
 def null_audit(spark, d):
-    landing = A.null_audit(fx.pixels(spark, d), "pixels_landing")
-    geocoded = A.null_audit(fx.geocoded_facilities(fx.batteries(spark, d)), "batteries_geocoded")
+    landing = A.null_audit(_landing(spark, d), "pixels_landing")
+    geocoded = A.null_audit(_geo(spark, d), "batteries_geocoded")
     return landing.unionByName(geocoded)
 
 
