@@ -17,8 +17,6 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import functions as F
-
 from plumeline.model import TABLE_FACILITIES, TABLE_PIXELS
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumeline.functions.numeric import grid_snap, round_n
-from plumeline.model import (CH4_MAX_VALID, CH4_MIN_VALID, FACILITY_BUFFER_M, GRID_DEG,
-                             HEATMAP_GRID_DEG, HIST_BINS, QA_SILVER)
+from plumeline.model import (CH4_MAX_VALID, CH4_MIN_VALID, FACILITY_BUFFER_M, HEATMAP_GRID_DEG, HIST_BINS,
+                             QA_SILVER)
 from plumeline.operators.filters import ch4_in_range, not_null, positive_production, qa_at_least
 from plumeline.operators.spatial import distance_semi_join
 

@@ -36,7 +36,7 @@ def explode_reach_cells(df: DataFrame, lat: str, lon: str, radius_m: float,
                         cell_deg: float = GRID_DEG) -> DataFrame:
     """Add ``_ci, _cj``: one row per grid cell within ``radius_m`` of the point."""
     dlat = lat_reach_deg(radius_m) + _EPS_DEG
-    dlon = lon_reach_deg(F.greatest(F.abs(F.col(lat)), F.lit(0.0)), radius_m) + F.lit(_EPS_DEG)
+    dlon = lon_reach_deg(F.col(lat), radius_m) + F.lit(_EPS_DEG)
     lat_lo = cell_index(F.col(lat) - F.lit(dlat), cell_deg)
     lat_hi = cell_index(F.col(lat) + F.lit(dlat), cell_deg)
     lon_lo = cell_index(F.col(lon) - dlon, cell_deg)

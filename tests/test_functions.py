@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from plumeline.functions import (grid_snap, haversine_m, lenient_double, lenient_int, month_from_name,
                                  orbit_from_name, round_n)

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from plumeline.model import FACILITY_SCHEMA, PIXEL_SCHEMA
 from plumeline.operators import aggregates as A
