@@ -42,6 +42,22 @@ COMPACT_LOCATION_RE = r"^(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$"
 REPORT_MONTH_RE = r"(\d{4})[_-](\d{2})"
 ORBIT_IN_NAME_RE = r"_(\d{8}T\d{6})_(\d{8}T\d{6})_(\d{5,6})_"
 REQUIRED_CSV_COLUMN = "BTY LOCATION EDIT"
+# Source CSV header names mapped to normalized column names; the second "BTY" column is the
+# facility description.
+BATTERY_CSV_COLUMNS = [
+    ("BATTERY", "facility_id"),
+    ("LICENCE", "licence"),
+    ("OPERATOR", "operator"),
+    ("BTY", "facility_type"),
+    ("BTY", "facility_description"),
+    ("BTY LOCATION EDIT", "bty_location_raw"),
+    ("OIL PROD", "oil_prod_m3"),
+    ("GAS PROD", "gas_prod_1000m3"),
+    ("GAS FLARED", "gas_flared_1000m3"),
+    ("GAS VENTED", "gas_vented_1000m3"),
+    ("WTR PROD", "water_prod_m3"),
+    ("TOTAL", "total_wells"),
+]
 # ---------------------------------------------------------------------------------------------
 
 # Our choices (not published by the reference).
@@ -104,20 +120,3 @@ SWATH_PIXEL_SCHEMA = T.StructType([
     T.StructField("orbit", T.IntegerType()),
     T.StructField("source_file", T.StringType()),
 ])
-
-# Source CSV header names in the order our reader expects them, mapped to normalized names.
-# The second "BTY" column is the facility description.
-BATTERY_CSV_COLUMNS = [
-    ("BATTERY", "facility_id"),
-    ("LICENCE", "licence"),
-    ("OPERATOR", "operator"),
-    ("BTY", "facility_type"),
-    ("BTY", "facility_description"),
-    ("BTY LOCATION EDIT", "bty_location_raw"),
-    ("OIL PROD", "oil_prod_m3"),
-    ("GAS PROD", "gas_prod_1000m3"),
-    ("GAS FLARED", "gas_flared_1000m3"),
-    ("GAS VENTED", "gas_vented_1000m3"),
-    ("WTR PROD", "water_prod_m3"),
-    ("TOTAL", "total_wells"),
-]

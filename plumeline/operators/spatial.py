@@ -70,16 +70,6 @@ def distance_semi_join(left: DataFrame, right: DataFrame, radius_m: float,
     return l_cells.join(r, cond, "left_semi").drop("_ci", "_cj")
 
 
-def distance_anti_join(left: DataFrame, right: DataFrame, radius_m: float,
-                       left_lat: str = "latitude", left_lon: str = "longitude",
-                       right_lat: str = "latitude", right_lon: str = "longitude",
-                       cell_deg: float = GRID_DEG) -> DataFrame:
-    """Rows of ``left`` with no ``right`` point within ``radius_m`` (NOT EXISTS)."""
-    right_pts = right.select(right_lat, right_lon).dropna().distinct()
-    l_cells, r, cond = _prep(left, right_pts, radius_m, left_lat, left_lon, right_lat, right_lon, cell_deg)
-    return l_cells.join(r, cond, "left_anti").drop("_ci", "_cj")
-
-
 def distance_inner_join(left: DataFrame, right: DataFrame, radius_m: float,
                         left_lat: str = "latitude", left_lon: str = "longitude",
                         right_lat: str = "latitude", right_lon: str = "longitude",
