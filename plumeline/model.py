@@ -106,8 +106,13 @@ PIXEL_SCHEMA = T.StructType([
     T.StructField("scanline", T.LongType()),
     T.StructField("ground_pixel", T.LongType()),
     T.StructField("ingestion_timestamp", T.TimestampType()),
+    T.StructField("measurement_date", T.DateType()),     # partition column (day of measurement)
 ])
 
+# Partition columns of the bronze tables (date filters prune whole folders).
+FACILITY_PARTITIONS = ["reporting_month"]
+PIXEL_PARTITIONS = ["measurement_date"]
+
 # Flattened swath rows (the interchange Parquet between granule decoding and the bronze load).
 SWATH_PIXEL_SCHEMA = T.StructType([
     T.StructField("time", T.TimestampNTZType()),

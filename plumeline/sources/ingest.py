@@ -45,7 +45,8 @@ def pixel_rows(granules: DataFrame, existing_rows: int = 0) -> DataFrame:
         F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
         F.col("orbit").alias("orbit_number"), F.lit(PROCESSING_LEVEL).alias("processing_level"),
         F.lit(PRODUCT_VERSION).alias("product_version"), F.col("source_file").alias("file_path"),
-        "scanline", "ground_pixel", F.current_timestamp().alias("ingestion_timestamp"))
+        "scanline", "ground_pixel", F.current_timestamp().alias("ingestion_timestamp"),
+        F.to_date(F.col("time")).alias("measurement_date"))
     return sequence_ids(pix, ["file_path", "scanline", "ground_pixel"], start=existing_rows, out="row_id")
 
 

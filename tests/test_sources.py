@@ -95,6 +95,12 @@ def test_bronze_tables_create_append_count_list(spark, scratch):
     from plumeline.operators.aggregates import duplicate_audit
     audit = duplicate_audit(spark.table(TABLE_PIXELS)).collect()[0]
     assert audit.duplicate_row_ids == 0 and audit.duplicate_natural_keys == first["rows_loaded"]
+    # Partitioned by measurement day: a date filter prunes folders.
+    one_day = spark.table(TABLE_PIXELS).where(F.col("measurement_date") == "2024-01-05").select("row_id")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(measurement_date" in plan
+    assert one_day.count() == spark.table(TABLE_PIXELS).where(
+        F.to_date("measurement_timestamp") == "2024-01-05").count() > 0
 
 
 def test_swath_round_trip_and_report(spark):
