@@ -108,11 +108,25 @@ def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -
     return out if with_line_order else out.drop("_line_block", "_line_pos")
 
 
-def check_month_in_names(paths) -> None:
-    """Fail before reading when a file name has no ``YYYY[_-]MM`` month."""
+def months_in_names(paths) -> list[str]:
+    """Reporting months (``YYYY-MM-01``) named by the files; raises when a name has none."""
     import re
 
     from plumeline.model import REPORT_MONTH_RE
-    bad = [p for p in _paths(paths) if "*" not in p and not re.search(REPORT_MONTH_RE, p.rsplit("/", 1)[-1])]
+    months, bad = set(), []
+    for p in _paths(paths):
+        if "*" in p:
+            continue
+        m = re.search(REPORT_MONTH_RE, p.rsplit("/", 1)[-1])
+        if m and 1 <= int(m.group(2)) <= 12:
+            months.add(f"{m.group(1)}-{m.group(2)}-01")
+        else:
+            bad.append(p)
     if bad:
         raise ValueError(f"Could not extract reporting month from file name(s): {bad}")
+    return sorted(months)
+
+
+def check_month_in_names(paths) -> None:
+    """Fail before reading when a file name has no ``YYYY[_-]MM`` month."""
+    months_in_names(paths)

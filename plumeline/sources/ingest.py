@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from plumeline.functions.location import with_location
 from plumeline.model import (PROCESSING_LEVEL, PRODUCT_VERSION, TABLE_FACILITIES, TABLE_PIXELS)
 from plumeline.operators.sequence import sequence_ids
-from plumeline.sources.battery_csv import check_month_in_names, read_battery_csv
+from plumeline.sources.battery_csv import check_month_in_names, months_in_names, read_battery_csv
 from plumeline.sources.swath import flatten_swath
-from plumeline.sources.tables import append_by_name, row_count
+from plumeline.sources.tables import append_by_name, row_count, rows_for_month
 
 
 def battery_rows(spark: SparkSession, paths, mode: str = "as_written") -> tuple[DataFrame, DataFrame]:
@@ -32,8 +32,12 @@ def battery_rows(spark: SparkSession, paths, mode: str = "as_written") -> tuple[
 
 def load_battery_files(spark: SparkSession, paths, table: str = TABLE_FACILITIES,
                        mode: str = "as_written") -> dict:
+    """Append located rows; report rows loaded and, per reporting month named by the files, the
+    table's rows for that month afterwards (a partition-pruned count)."""
     rows, _ = battery_rows(spark, paths, mode)
-    return append_by_name(rows, table)
+    res = append_by_name(rows, table)
+    res["rows_for_month"] = {m: rows_for_month(spark, table, m) for m in months_in_names(paths)}
+    return res
 
 
 def pixel_rows(granules: DataFrame, existing_rows: int = 0) -> DataFrame:
