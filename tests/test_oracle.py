@@ -23,3 +23,9 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and rows[0].pixels_near_facilities > 0
+
+
+def test_hotspots_at_larger_scale(spark):
+    # Empty at sf0.01 (too few gold pixels per cell); sf0.1 has qualifying cells.
+    res = compare(spark, "/root/testdata/sf0.1", ["ch4_hotspots"], verbose=False)["ch4_hotspots"]
+    assert res.startswith("OK") and not res.startswith("OK (0 rows"), res
