@@ -10,7 +10,7 @@ size is spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumeline.session import cut_lineage
@@ -20,7 +20,7 @@ _BROADCAST_MAX_ROWS = 2_000_000
 
 
 def sequence_ids(df: DataFrame, order_cols: list, group_cols: list | None = None,
-                 out: str = "row_id", start: int | F.Column = 0,
+                 out: str = "row_id", start: int | Column = 0,
                  num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = start + 1..n in ``order_cols`` order (per ``group_cols`` when given).
 
@@ -51,6 +51,6 @@ def sequence_ids(df: DataFrame, order_cols: list, group_cols: list | None = None
     if not group_cols and n <= _BROADCAST_MAX_ROWS:
         offsets = F.broadcast(offsets)
     joined = tagged.join(offsets, chunk_keys, "inner")
-    start_col = start if isinstance(start, F.Column) else F.lit(int(start))
+    start_col = start if isinstance(start, Column) else F.lit(int(start))
     rid = (start_col + F.col("_offset") + (F.col("_pos") - F.col("_first")) + F.lit(1)).cast("long")
     return joined.withColumn(out, rid).drop("_pid", "_pos", "_first", "_offset")

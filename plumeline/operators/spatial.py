@@ -6,7 +6,8 @@ one cell, and the equi-join on the cell carries the exact haversine test as a re
 plan is a hash join (broadcast when AQE finds one side small), never a nested loop. Pairs are
 met at most once, so an inner join needs no dedupe.
 
-Limits: no antimeridian wrap and no polar caps (cells are clamped, not wrapped).
+Limits: longitudes do not wrap at +-180 degrees (pairs across the antimeridian are not found), and
+a disc reaching a pole spans every longitude cell. The data here lie in -120..-110, 49..60.
 """
 
 from __future__ import annotations
@@ -19,8 +20,6 @@ from plumeline.functions.geo import (cell_index, haversine_m, lat_reach_deg, lon
 from plumeline.model import GRID_DEG
 
 _EPS_DEG = 1e-9
-
-
 _NO_CELL = -(2 ** 62)   # never produced by a real coordinate
 
 
