@@ -33,7 +33,8 @@ def build_session(master: str | None = None, app: str = "plumeline",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)      # on a cluster it is checked where a checkpoint is taken
     return spark
 
 
