@@ -16,6 +16,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
+    con.execute("SET enable_progress_bar=false")
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
     return con
