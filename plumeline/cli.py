@@ -33,7 +33,8 @@ def cmd_create_tables(spark, args):
 
 def cmd_load_batteries(spark, args):
     from plumeline.sources.ingest import load_battery_files
-    return load_battery_files(spark, args.paths, mode=args.mode)
+    return load_battery_files(spark, args.paths, mode=args.mode,
+                              skip_loaded_files=getattr(args, "skip_loaded", False))
 
 
 def cmd_load_granules(spark, args):
@@ -98,6 +99,7 @@ def main(argv=None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("create-tables"); s.add_argument("--keep", action="store_true")
     s = sub.add_parser("load-batteries"); s.add_argument("paths", nargs="+"); s.add_argument("--mode", default="as_written")
+    s.add_argument("--skip-loaded", action="store_true", help="skip files already in the table")
     s = sub.add_parser("load-granules"); s.add_argument("paths", nargs="+")
     sub.add_parser("validate-pixels")
     sub.add_parser("validate-facilities")

@@ -31,10 +31,18 @@ def battery_rows(spark: SparkSession, paths, mode: str = "as_written") -> tuple[
 
 
 def load_battery_files(spark: SparkSession, paths, table: str = TABLE_FACILITIES,
-                       mode: str = "as_written") -> dict:
+                       mode: str = "as_written", skip_loaded_files: bool = False) -> dict:
     """Append located rows; report rows loaded and, per reporting month named by the files, the
-    table's rows for that month afterwards (a partition-pruned count)."""
+    table's rows for that month afterwards (a partition-pruned count).
+
+    Like the original loader, a re-run appends the same file again. ``skip_loaded_files`` drops
+    rows of files whose name is already in the table (a left anti join on ``source_file``).
+    """
     rows, _ = battery_rows(spark, paths, mode)
+    if skip_loaded_files:
+        spark.catalog.refreshTable(table)
+        loaded = spark.table(table).select("source_file").distinct()
+        rows = rows.join(loaded, "source_file", "left_anti")
     res = append_by_name(rows, table)
     res["rows_for_month"] = {m: rows_for_month(spark, table, m) for m in months_in_names(paths)}
     return res

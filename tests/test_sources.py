@@ -81,6 +81,8 @@ def test_bronze_tables_create_append_count_list(spark, scratch):
     p = _write(scratch, "ST60_2024_06.csv", ["ABBT0000001,F1,OP A,T1,type 1,02-21-065-04W4,1.5,10,1,0.5,3,4"])
     res = ingest.load_battery_files(spark, [p])
     assert res["rows_loaded"] == 1 and res["rows_for_month"] == {"2024-06-01": 1}
+    again = ingest.load_battery_files(spark, [p], skip_loaded_files=True)
+    assert again["rows_loaded"] == 0 and again["rows_for_month"] == {"2024-06-01": 1}
     row = spark.table(TABLE_FACILITIES).collect()[0]
     # Written by name: operator, licence and facility_type land in their own columns.
     assert (row.licence, row.operator, row.facility_type) == ("F1", "OP A", "T1")
