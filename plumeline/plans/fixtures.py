@@ -89,7 +89,7 @@ union all select cast(null as int), 'no_orbit_anywhere.nc', cast(0 as long),
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
