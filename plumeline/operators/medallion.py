@@ -110,7 +110,7 @@ def ch4_hotspots(pix: DataFrame, min_pixels: int = MIN_PIXELS_PER_CELL) -> DataF
              .where(F.col("n_pixels") >= F.lit(min_pixels)))
     regional = gold.agg(F.avg("ch4_column")).scalar()
     ranked = cells.withColumn("enhancement", round_n(F.col("avg_ch4") - regional, 4))
-    return ranked.withColumn("hotspot_rank", F.rank().over(Window.orderBy(F.col("avg_ch4").desc())))
+    return ranked.withColumn("hotspot_rank", F.rank().over(Window.orderBy(F.col("avg_ch4").desc())).cast("long"))
 
 
 def enhancement_vs_activity(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:

@@ -29,3 +29,16 @@ def test_hotspots_at_larger_scale(spark):
     # Empty at sf0.01 (too few gold pixels per cell); sf0.1 has qualifying cells.
     res = compare(spark, "/root/testdata/sf0.1", ["ch4_hotspots"], verbose=False)["ch4_hotspots"]
     assert res.startswith("OK") and not res.startswith("OK (0 rows"), res
+
+
+def test_column_types_match_oracle(spark):
+    from tests.oracle_compare import duck
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    con = duck(SF_ORACLE)
+    sql = E.oracle_sql()
+    for name, q in E.queries().items():
+        got = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in q(spark, SF_ORACLE).schema.fields}
+        rel = con.sql(sql[name])
+        assert got == {c: str(t) for c, t in zip(rel.columns, rel.types)}, name
