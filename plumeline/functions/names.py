@@ -12,10 +12,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def base_name(path) -> Column:
-    return F.regexp_extract(_c(path), r"([^/\\]+)$", 1)
-
-
 def month_from_name(name) -> Column:
     """First day of the ``YYYY[_-]MM`` month in a file name; NULL when absent or not a month."""
     y = F.regexp_extract(_c(name), REPORT_MONTH_RE, 1)

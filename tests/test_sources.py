@@ -122,6 +122,8 @@ def test_swath_round_trip_and_report(spark):
     assert report["granule.nc"] == "no_orbit"
     assert report["missing_variable.nc"] == "missing_variable"
     assert sum(1 for s in report.values() if s == "loaded") == 16
+    rejects = {r.file_path for r in swath.rejected_granules(gran.unionByName(odd)).collect()}
+    assert rejects == {"granule.nc", "missing_variable.nc", "no_orbit_anywhere.nc"}
 
 
 def test_parquet_writer_partitions_and_pushdown(spark, scratch):
