@@ -81,3 +81,14 @@ def test_sequence_ids_hot_group_spreads_over_partitions(spark):
     out = sequence_ids(df, ["i"], group_cols=["g"], out="n", num_partitions=12)
     hot = sorted((r.n, r.i) for r in out.where(F.col("g") == "hot").collect())
     assert hot == list(zip(range(1, 1001), range(0, 3000, 3)))
+
+
+def test_within_radius_box_reaches_parquet_scan(spark, scratch):
+    import os
+    pts = _points(300, 5, lat=(50.0, 52.0), lon=(-115.0, -113.0))
+    path = os.path.join(scratch, "facilities")
+    spark.createDataFrame(pts, "id int, latitude double, longitude double").write.parquet(path)
+    near = within_radius(spark.read.parquet(path), 51.0447, -114.0719, 50000.0)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(latitude," in plan and "LessThanOrEqual(longitude," in plan   # PushedFilters
+    assert {r.id for r in near.collect()} == {i for i, a, b in pts if hav(a, b, 51.0447, -114.0719) <= 50000.0}
