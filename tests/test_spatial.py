@@ -88,7 +88,12 @@ def test_within_radius_box_reaches_parquet_scan(spark, scratch):
     pts = _points(300, 5, lat=(50.0, 52.0), lon=(-115.0, -113.0))
     path = os.path.join(scratch, "facilities")
     spark.createDataFrame(pts, "id int, latitude double, longitude double").write.parquet(path)
-    near = within_radius(spark.read.parquet(path), 51.0447, -114.0719, 50000.0)
-    plan = near._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")      # do not truncate PushedFilters
+    try:
+        near = within_radius(spark.read.parquet(path), 51.0447, -114.0719, 50000.0)
+        plan = near._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
     assert "GreaterThanOrEqual(latitude," in plan and "LessThanOrEqual(longitude," in plan   # PushedFilters
     assert {r.id for r in near.collect()} == {i for i, a, b in pts if hav(a, b, 51.0447, -114.0719) <= 50000.0}
