@@ -2,7 +2,9 @@
 
 A file-source stream over the landing folder hands each micro-batch the rows of files it has
 not seen; its checkpoint records which files were committed, so re-running a load never appends
-the same file twice (the batch loaders append blindly, as the original scripts do).
+the same file twice (the batch loaders append blindly, as the original scripts do). A micro-batch
+that is retried after a failure skips files whose rows are already in the table, so each file lands
+exactly once.
 ``trigger(availableNow=True)`` processes what is there and stops, so this runs as a scheduled job.
 
 Battery CSVs need their own preamble handling per file, so each micro-batch resolves the set of
@@ -28,6 +30,17 @@ def _run(spark: SparkSession, query, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def append_new_granules(session: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS) -> dict:
+    """Append pixels of granule files not yet in ``table`` (a left anti join on the file name,
+    before numbering), ids continuing after the table's row count. Running it again with the same
+    granules appends nothing, which makes a retried micro-batch harmless."""
+    session.catalog.refreshTable(table)
+    existing = row_count(session, table)
+    loaded = session.table(table).select(F.col("file_path")).distinct()
+    fresh = granules.join(loaded, "file_path", "left_anti")
+    return append_by_name(pixel_rows(fresh, existing), table)
+
+
 def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
                            table: str = TABLE_FACILITIES, pattern: str = "*.csv",
                            max_files_per_trigger: int = 64, mode: str = "as_written") -> list[dict]:
@@ -41,7 +54,8 @@ def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir
         paths = sorted(r.path for r in batch.select("path").distinct().collect())   # <= max_files_per_trigger
         if paths:
             results.append({"batch": batch_id, "files": len(paths),
-                            **load_battery_files(batch.sparkSession, paths, table=table, mode=mode)})
+                            **load_battery_files(batch.sparkSession, paths, table=table, mode=mode,
+                                                 skip_loaded_files=True)})
 
     q = (lines.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
@@ -58,11 +72,7 @@ def ingest_granule_landing(spark: SparkSession, landing_dir: str, checkpoint_dir
                 .option("ignoreCorruptFiles", "true").parquet(landing_dir))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        session.catalog.refreshTable(table)
-        existing = row_count(session, table)
-        res = append_by_name(pixel_rows(batch, existing), table)
-        results.append({"batch": batch_id, **res})
+        results.append({"batch": batch_id, **append_new_granules(batch.sparkSession, batch, table)})
 
     q = (granules.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())

@@ -42,3 +42,13 @@ def test_granule_landing_appends_with_continuing_ids(spark, scratch):
     assert n == fx.bronze_pixels(fx.pixels(spark, "/root/testdata/sf0.001")).count()
     ids = sorted(r.row_id for r in spark.table(TABLE_PIXELS).select("row_id").collect())
     assert ids == list(range(1, n + 1))
+
+
+def test_granule_append_is_idempotent_per_file(spark):
+    from plumeline.streaming.incremental import append_new_granules
+    tables.create_bronze_tables(spark)
+    gran = fx.granules(spark, "/root/testdata/sf0.001")
+    first = append_new_granules(spark, gran)
+    again = append_new_granules(spark, gran)
+    assert first["rows_loaded"] > 0 and again["rows_loaded"] == 0
+    assert spark.table(TABLE_PIXELS).count() == first["rows_loaded"]
