@@ -7,6 +7,7 @@
   python -m plumeline.cli build-silver | build-gold
   python -m plumeline.cli export-aggregates OUT_DIR                  (the plotted aggregates, as Parquet)
   python -m plumeline.cli ingest-landing LANDING_DIR CHECKPOINT_DIR  (only files not loaded before)
+  python -m plumeline.cli ingest-granule-landing LANDING_DIR CHECKPOINT_DIR
 
 Audits print (check, value, status) rows and exit 1 when a check FAILED.
 """
@@ -93,6 +94,12 @@ def cmd_ingest_landing(spark, args):
     return {"batches": ingest_battery_landing(spark, args.landing, args.checkpoint, mode=args.mode)}
 
 
+def cmd_ingest_granule_landing(spark, args):
+    from plumeline.model import GRANULE_SCHEMA
+    from plumeline.streaming.incremental import ingest_granule_landing
+    return {"batches": ingest_granule_landing(spark, args.landing, args.checkpoint, GRANULE_SCHEMA)}
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="plumeline")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
@@ -108,6 +115,7 @@ def main(argv=None) -> int:
     s = sub.add_parser("export-aggregates"); s.add_argument("out")
     s = sub.add_parser("ingest-landing"); s.add_argument("landing"); s.add_argument("checkpoint")
     s.add_argument("--mode", default="as_written")
+    s = sub.add_parser("ingest-granule-landing"); s.add_argument("landing"); s.add_argument("checkpoint")
     args = p.parse_args(argv)
     spark = _session(args)
     result = globals()["cmd_" + args.cmd.replace("-", "_")](spark, args)

@@ -113,6 +113,21 @@ PIXEL_SCHEMA = T.StructType([
 FACILITY_PARTITIONS = ["reporting_month"]
 PIXEL_PARTITIONS = ["measurement_date"]
 
+# Granule blocks: up to a fixed number of scanlines of one swath file per row, [scanline][ground_pixel].
+SWATH_POINT = T.StructType([
+    T.StructField("time", T.TimestampNTZType()),
+    T.StructField("lat", T.DoubleType()),
+    T.StructField("lon", T.DoubleType()),
+    T.StructField("ch4", T.DoubleType()),
+    T.StructField("qa", T.DoubleType()),
+])
+GRANULE_SCHEMA = T.StructType([
+    T.StructField("orbit_attr", T.IntegerType()),
+    T.StructField("file_path", T.StringType()),
+    T.StructField("first_scanline", T.LongType()),
+    T.StructField("swath", T.ArrayType(T.ArrayType(SWATH_POINT))),
+])
+
 # Flattened swath rows (the interchange Parquet between granule decoding and the bronze load).
 SWATH_PIXEL_SCHEMA = T.StructType([
     T.StructField("time", T.TimestampNTZType()),

@@ -35,3 +35,20 @@ def test_cli_workflow(spark, scratch, capsys):
                                        "qa_histogram"]
     printed = capsys.readouterr().out
     assert "row_count" in printed and "monthly production" in printed
+
+
+def test_cli_granule_landing(spark, scratch):
+    from plumeline.model import GRANULE_SCHEMA, TABLE_PIXELS
+    from plumeline.sources.tables import create_bronze_tables
+    create_bronze_tables(spark)
+    gran = fx.granules(spark, "/root/testdata/sf0.001")
+    assert gran.schema == GRANULE_SCHEMA
+    landing = os.path.join(scratch, "landing")
+    gran.write.parquet(os.path.join(landing, "day1"))
+
+    class A:
+        landing = os.path.join(scratch, "landing", "*")
+        checkpoint = os.path.join(scratch, "ckpt")
+
+    res = cli.cmd_ingest_granule_landing(spark, A())
+    assert sum(b["rows_loaded"] for b in res["batches"]) == spark.table(TABLE_PIXELS).count() > 0
