@@ -15,6 +15,7 @@ from plumeline.model import (CH4_MAX_VALID, CH4_MIN_VALID, FACILITY_BUFFER_M, HE
 from plumeline.operators.filters import ch4_in_range, not_null, positive_production, qa_at_least
 from plumeline.operators.spatial import distance_semi_join
 
+
 def _n():
     return F.count(F.lit(1))
 

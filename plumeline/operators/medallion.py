@@ -17,8 +17,11 @@ from plumeline.model import (FACILITY_BUFFER_M, MIN_PIXELS_PER_CELL, QA_GOLD, QA
 from plumeline.operators.filters import ch4_in_range, qa_at_least
 from plumeline.operators.spatial import distance_inner_join
 
+
 def _n():
     return F.count(F.lit(1))
+
+
 PIXEL_KEY = ("file_path", "scanline", "ground_pixel")
 
 

@@ -16,6 +16,7 @@ from plumeline.model import (AUDIT_AVG_CH4_MAX, AUDIT_AVG_CH4_MIN, AUDIT_AVG_QA_
 from plumeline.operators.aggregates import pixels_near_facilities
 from plumeline.operators.spatial import within_radius
 
+
 def _n():
     return F.count(F.lit(1))
 
