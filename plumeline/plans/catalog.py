@@ -30,7 +30,8 @@ def _base(spark, d, name, build):
     A DataFrame is an immutable logical plan, so sharing it is safe; it saves rebuilding the same
     scans, fixture views and geocode join (thousands of driver-to-JVM calls) for every query.
     """
-    key = (str(d).rstrip("/"), name)
+    conf = spark.conf      # settings fixed into a plan when it is analyzed
+    key = (str(d).rstrip("/"), name, conf.get("spark.sql.ansi.enabled"), conf.get("spark.sql.session.timeZone"))
     hit = _BASE.get(key)
     if hit is not None and hit[0] is spark:
         return hit[1]
