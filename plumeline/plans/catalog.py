@@ -91,16 +91,14 @@ def rejected_granules(spark, d):
 
 def append_row_ids(spark, d):
     """Two landing batches (days 1-15, then the rest of the month) appended in order; each batch
-    numbers its rows after the rows already loaded."""
+    numbers its rows after the rows already loaded. One range-partitioned pass numbers both
+    batches (ids restart per batch); the second batch is offset by the first batch's row count."""
     pix = _pix(spark, d).select("file_path", "scanline", "ground_pixel", "measurement_timestamp")
-    first = F.dayofmonth("measurement_timestamp") <= 15
-    b1, b2 = pix.where(first), pix.where(~first)
-    order = ["file_path", "scanline", "ground_pixel"]
-    ids1 = sequence_ids(b1, order, start=0).withColumn("load_batch", F.lit(1))
-    existing = b1.agg(F.count(F.lit(1))).scalar()
-    ids2 = sequence_ids(b2, order, start=existing).withColumn("load_batch", F.lit(2))
-    cols = ["row_id", "load_batch", "file_path", "scanline", "ground_pixel"]
-    return ids1.select(*cols).unionByName(ids2.select(*cols))
+    batched = pix.withColumn("load_batch", F.when(F.dayofmonth("measurement_timestamp") <= 15, 1).otherwise(2))
+    numbered = sequence_ids(batched, ["file_path", "scanline", "ground_pixel"], group_cols=["load_batch"], out="_n")
+    existing = batched.where(F.col("load_batch") == 1).agg(F.count(F.lit(1))).scalar()
+    row_id = (F.col("_n") + F.when(F.col("load_batch") == 2, existing).otherwise(F.lit(0))).cast("long")
+    return numbered.select(row_id.alias("row_id"), "load_batch", "file_path", "scanline", "ground_pixel")
 
 
 def file_row_numbers(spark, d):
