@@ -73,3 +73,25 @@ def test_distance_joins_match_brute_force(spark, left, right, radius):
     pairs = {(i, j) for i, (a, b) in enumerate(left) for j, (c, d) in enumerate(right) if hav(a, b, c, d) <= radius}
     assert {r.id for r in distance_semi_join(ldf, rdf, radius).collect()} == {i for i, _ in pairs}
     assert sorted((r.id, r.r_rid) for r in distance_inner_join(ldf, rdf, radius).collect()) == sorted(pairs)
+
+
+numeric_text = st.builds(
+    lambda pre, sign, a, dot, b, exp, junk, post: f"{pre}{sign}{a}{dot}{b}{exp}{junk}{post}",
+    st.sampled_from(["", " ", "  ", "\t"]), st.sampled_from(["", "+", "-", "--"]),
+    st.text("0123456789", max_size=4), st.sampled_from(["", ".", ".."]), st.text("0123456789", max_size=3),
+    st.sampled_from(["", "e3", "E-2", "e", "e+10"]), st.sampled_from(["", "", "", "d", ",", "x", "_1", " 1"]),
+    st.sampled_from(["", " ", "\n"]))
+
+
+@SETTINGS
+@given(st.lists(numeric_text | st.sampled_from(["inf", "-Infinity", "nan", "n/a", ""]), min_size=20, max_size=200))
+def test_lenient_double_matches_pandas_coercion(spark, texts):
+    import pandas as pd
+
+    from plumeline.functions.numeric import lenient_double
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", lenient_double("t").alias("v")).collect()}
+    want = pd.to_numeric(pd.Series(texts, dtype=object), errors="coerce")
+    for i, t in enumerate(texts):
+        w = None if pd.isna(want[i]) else float(want[i])
+        assert got[i] == w, (t, got[i], w)
