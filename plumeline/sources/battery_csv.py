@@ -58,7 +58,8 @@ def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -
     or the header lacks the location column.
     """
     files = _paths(paths)
-    # Headers sit in the first lines, so only each file's first split is read for them.
+    # Headers sit in the first lines: keep only rows of each file's first split (the other splits
+    # are still scanned, then dropped; monthly files are small) and collect the distinct header lines.
     lines = (spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
              .select("value", F.col("_metadata.file_name").alias("f")))
     headers = (lines.where(F.col("value").rlike(r'^\s*"?BATTERY"?\s*(,|$)'))
