@@ -1,8 +1,10 @@
 """Silver and gold tables (D1-D9). The reference only names these layers; the semantics here
 are our own and are documented per function.
 
-Deduplication is a ``min``/``max`` of a struct led by the ordering key, which aggregates partially
-on the map side; a key with millions of copies never meets in one task as rows.
+Deduplication keeps the row with the smallest (or largest) ordering key through ``min_by`` per
+column (a hash aggregate) or ``min``/``max`` of a struct led by the ordering key (a sort aggregate,
+used when a carried column is a string). Both aggregate partially on the map side, so a key with
+millions of copies never meets in one task as rows.
 """
 
 from __future__ import annotations
