@@ -97,3 +97,20 @@ if __name__ == "__main__":
     res = compare(spark, sf, names)
     bad = {k: v for k, v in res.items() if not v.startswith("OK")}
     print(f"{len(res) - len(bad)}/{len(res)} OK")
+
+
+def duck_geocode(texts, mode="as_written"):
+    """Geocode ``texts`` with the oracle's SQL statement in DuckDB: {index: (latitude, longitude)}."""
+    from plumeline.plans.oracle import _geocode_cte
+    con = duckdb.connect()
+    con.execute("create table src(i integer, loc varchar)")
+    con.executemany("insert into src values (?, ?)", [(i, t) for i, t in enumerate(texts)])
+    sql = f"""with batteries as (
+        select i as row_id, null::varchar as facility_id, null::varchar as licence, null::varchar as operator,
+          null::varchar as facility_type, null::varchar as facility_description, date '2024-01-01' as reporting_month,
+          loc as bty_location_raw, null::double as gas_prod_1000m3, null::double as gas_flared_1000m3,
+          null::double as gas_vented_1000m3, null::double as oil_prod_m3, null::double as water_prod_m3,
+          null::int as total_wells, null::varchar as gas_prod_text from src),
+      {_geocode_cte("g", mode)}
+      select row_id, latitude, longitude from g"""
+    return {r[0]: (r[1], r[2]) for r in con.execute(sql).fetchall()}

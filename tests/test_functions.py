@@ -4,36 +4,13 @@ import math
 
 import pytest
 
+from tests.oracle_compare import duck_geocode
+
 from plumeline.functions import (grid_snap, haversine_m, lenient_double, lenient_int, month_from_name,
                                  orbit_from_name, round_n)
 from plumeline.functions.location import with_location, with_location_rowwise
 
 
-def _py_locate(lsd, sec, twp, rng, dirn, mer, corrected=False):
-    """Plain-Python statement of the grid arithmetic, for comparison."""
-    if not (1 <= lsd <= 16 and 1 <= sec <= 36 and 1 <= twp <= 126 and 1 <= rng <= 34 and mer in (4, 5, 6)
-            and dirn in ("W", "E")):
-        return None
-    base = {4: -110.0, 5: -114.0, 6: -118.0}[mer]
-    t = 6 * 1609.344
-    north = (twp - 1 if corrected else twp) * t
-    west = (rng - 1 if corrected else rng) * t
-    sr, sc = (sec - 1) // 6, (sec - 1) % 6
-    if sr % 2 == 1:
-        sc = 5 - sc
-    north += sr * 1609.344
-    west += sc * 1609.344
-    lr, lc = (lsd - 1) // 4, (lsd - 1) % 4
-    if corrected and lr % 2 == 1:
-        lc = 3 - lc
-    north += lr * 402.336
-    west += lc * 402.336
-    lat = 49.0 + north / 111320
-    per = 111320 * math.cos(math.radians(lat))
-    lon = base - west / per if dirn == "W" else base + west / per
-    return lat, lon
-
-
 CASES = [
     ("02-21-065-04W4", (2, 21, 65, 4, "W", 4)),
     (" 02-21-065-04w4 ", (2, 21, 65, 4, "W", 4)),
@@ -52,11 +29,14 @@ def test_geocode_as_written(spark, rowwise):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, loc string")
     fn = with_location_rowwise if rowwise else with_location
     got = {r.i: (r.latitude, r.longitude) for r in fn(df, "loc").collect()}
-    for i, (_, parts) in enumerate(CASES):
-        lat, lon = _py_locate(*parts)
-        assert got[i][0] == pytest.approx(lat, abs=1e-6) and got[i][1] == pytest.approx(lon, abs=1e-6)
+    want = duck_geocode(texts)                      # the oracle's SQL statement, in DuckDB
+    for i in range(len(CASES)):
+        assert want[i][0] is not None, texts[i]
+        assert got[i][0] == pytest.approx(want[i][0], abs=1e-6) and got[i][1] == pytest.approx(want[i][1], abs=1e-6)
     for j in range(len(CASES), len(texts)):
-        assert got[j] == (None, None), texts[j]
+        assert got[j] == (None, None) and want[j] == (None, None), texts[j]
+    # Same place from the dashed and the padded / lower-case forms.
+    assert got[0] == got[1]
 
 
 def test_geocode_corrected_reads_compact_3_1_2_2_2(spark):
@@ -65,8 +45,11 @@ def test_geocode_corrected_reads_compact_3_1_2_2_2(spark):
     df = spark.createDataFrame([(0, "02-21-065-04W4"), (1, "0654042102")], "i int, loc string")
     got = {r.i: (r.latitude, r.longitude) for r in with_location(df, "loc", "corrected").collect()}
     assert got[0] == got[1]
-    lat, lon = _py_locate(2, 21, 65, 4, "W", 4, corrected=True)
-    assert got[0][0] == pytest.approx(lat, abs=1e-6) and got[0][1] == pytest.approx(lon, abs=1e-6)
+    want = duck_geocode(["02-21-065-04W4"], "corrected")[0]
+    assert got[0][0] == pytest.approx(want[0], abs=1e-6) and got[0][1] == pytest.approx(want[1], abs=1e-6)
+    # Township and range count from 1 in the corrected reading: one township further south-east.
+    as_written = duck_geocode(["02-21-065-04W4"])[0]
+    assert as_written[0] - got[0][0] == pytest.approx(6 * 1609.344 / 111320, abs=1e-5)
 
 
 def test_geocode_located_only_drops_unresolved(spark):
