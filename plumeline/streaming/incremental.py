@@ -46,9 +46,12 @@ def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir
                            max_files_per_trigger: int = 64, mode: str = "as_written") -> list[dict]:
     """Load every not-yet-loaded monthly CSV under ``landing_dir`` into ``table``."""
     results: list[dict] = []
-    lines = (spark.readStream.format("text").option("pathGlobFilter", pattern)
+    # One row per new file; the binaryFile source does not read file contents unless asked to.
+    lines = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length long, content binary")
+             .option("pathGlobFilter", pattern)
              .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir)
-             .select(F.col("_metadata.file_path").alias("path")))
+             .select("path"))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(r.path for r in batch.select("path").distinct().collect())   # <= max_files_per_trigger
