@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from plumeline.llm.runtime import table
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.simhash import NO_ID, near_duplicates
+
+    groups = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, max_bits=3)
+    return groups.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"),
+                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                         F.nullif("first_id", F.lit(NO_ID)).alias("component_id"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumeline.llm.decontam import benchmark_hits, contamination
 
@@ -24,6 +33,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
