@@ -19,6 +19,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.nullif("first_id", F.lit(NO_ID)).alias("component_id"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.substring import remove_repeats
+
+    done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return done.select("doc_id", F.col("repeats.n_words").alias("n_words"), F.col("repeats.n_removed").alias("n_removed"),
+                       F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumeline.llm.decontam import benchmark_hits, contamination
 
@@ -34,6 +43,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
