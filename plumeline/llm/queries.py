@@ -41,10 +41,19 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         rule["contaminated"].alias("contaminated"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.sharding import byte_shards
+
+    rows = byte_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return rows.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLE: dict[str, str] = {}
