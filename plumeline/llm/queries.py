@@ -28,6 +28,16 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from plumeline.llm.packing import pack_documents
+
+    pieces = pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumeline.llm.decontam import benchmark_hits, contamination
 
@@ -52,6 +62,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op7_packing": op7_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
 }
