@@ -19,6 +19,17 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.nullif("first_id", F.lit(NO_ID)).alias("component_id"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = fit(docs.where(~held_out), id_col="doc_id", text_col="text", label_col="lang")
+    scored = predict(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("language.lang_pred").alias("lang_pred"),
+                         F.col("language.score").alias("score"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumeline.llm.substring import remove_repeats
 
@@ -61,6 +72,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_packing": op7_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
