@@ -39,6 +39,20 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm import merkle as m
+
+    rows = m.with_next_text(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = rows.withColumn("edited", m.edited_text(F.col("text"), F.col("next_text")))
+    trees = rows.select("id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                        *[m.tree(F.col(c)).alias(f"{c}_tree") for c in ("text", "edited", "next_text")])
+    leaves = {c: m.leaf_digests(F.col(f"{c}_tree")) for c in ("text", "edited", "next_text")}
+    return trees.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", m.root(F.col("text_tree")).alias("fingerprint"),
+        m.root(F.col("edited_tree")).alias("edited_fingerprint"), m.likeness(leaves["text"], leaves["edited"]).alias("near_edited"),
+        m.likeness(leaves["text"], leaves["next_text"]).alias("near_next"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_packing": op7_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
