@@ -7,9 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumeline.llm.oracle import ORACLE  # noqa: F401 - read by the entry point
 from plumeline.llm.runtime import table
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm import chat
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(F.lit(-7).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+                                  F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    tree = chat.reply_chain(rows.unionByName(added), conv_col="conv_id", turn_col="turn", role_col="role", text_col="text")
+    done = chat.format_conversations(tree, conv_col="conv", node_col="node", parent_col="parent", role_col="role", text_col="text")
+    turns = F.array_join(F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.read_loss_text(F.col("formatted"), F.col("loss_spans"))
+    return done.select(F.col("conv").alias("conv_id"), F.size(chat.read_turns(F.col("formatted"))).cast("long").alias("n_turns"),
+                       F.sha2(turns, 256).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"),
+                       F.sha2(loss, 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumeline.llm.simhash import NO_ID, near_duplicates
 
@@ -85,6 +103,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
@@ -93,5 +112,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
 }
-
-ORACLE: dict[str, str] = {}
