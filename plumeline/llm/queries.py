@@ -57,6 +57,15 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.quality import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.round(1 - F.col("quality_scores.low"), 6).alias("quality_score"),
+                         F.round("quality_scores.toxic", 6).alias("toxic_score"), F.col("quality_scores.keep").alias("keep"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumeline.llm import merkle as m
 
@@ -107,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_packing": op7_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
