@@ -1,10 +1,45 @@
-"""Corpus pipeline: documents in, packed training sequences out, one operator per stage."""
+"""Corpus pipeline: documents in, packed training sequences out, one operator per stage.
+
+Stages, in order: the quality classifier drops documents judged low or toxic; SimHash near-dedup keeps one
+document of each group; substring dedup cuts passages that an earlier document has; benchmark
+decontamination drops contaminated documents; packing turns what is left into token sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns of
+``documents``. Null texts count as empty, extra columns pass through to the packing stage, and empty
+tables give empty tables; each operator's docstring has its own cases.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plumeline.llm.runtime import materialize, table
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the classifier rejects (low quality or toxic)."""
+    from plumeline.llm.quality import drop_rejected
+
+    return drop_rejected(docs, table(spark, sf_dir, "labels"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, the one with the smallest id, of each group of near duplicates."""
+    from plumeline.llm.simhash import drop_near_duplicates
 
-from plumeline.llm.runtime import table
+    return drop_near_duplicates(docs, shingle=3, max_bits=3)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut every passage of 13 words or more that a document with a smaller id has; no document is dropped."""
+    from plumeline.llm.substring import remove_repeats
+
+    cut = remove_repeats(docs, window=13)
+    if "n_chars" in docs.columns:                              # the column describes the text that is left
+        cut = cut.withColumn("n_chars", F.when(F.col("repeats.n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+                             .otherwise(F.col("n_chars")))
+    return cut.drop("repeats")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,14 +49,32 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), window=13)
 
 
-STAGES = [("benchmark decontamination", benchmark_decontamination)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of 1024: one row per piece, with its ids."""
+    import public_tokenizers
+
+    from plumeline.llm.packing import pack_documents
+
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("packing", packing),
+]
 
 #: Model fitting, fingerprints and tokenizers have no SQL form; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table; what a stage returns is written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = materialize(docs)
     return docs

@@ -111,6 +111,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.licenses import scan_licenses
+
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -121,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
+    "op10_license_scan": op10_license_scan,
 }
