@@ -116,10 +116,14 @@ def _table(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
                                       ["bucket", "payload"])
 
 
+def _key_and_id(batch: pa.RecordBatch, key_at: int, id_at: int) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column(key_at).to_numpy(), batch.column(id_at).cast(pa.int64()).fill_null(NO_ID).to_numpy()
+
+
 def _probe(batches, window: int, block: int, n_buckets: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
     """(key, id, text) -> packs of rolling block windows."""
     for seq, batch in enumerate(slices(batches, 2, slice_bytes)):
-        keys, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        keys, ids = _key_and_id(batch, 0, 1)
         *_, first, words = _words(batch.column(2))
         h = window_hashes(words, block)
         rows = rows_of(first)
@@ -183,13 +187,14 @@ def _positions(value) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, np.int32) for x in value]).astype(np.int64)
 
 
-def _extend(batches, window: int, block: int, n_buckets: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
-    """(key, id, text, hits) -> packs of the full windows around hits."""
-    for seq, batch in enumerate(slices(batches, 2, slice_bytes)):
-        keys, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        *_, first, words = _words(batch.column(2))
+def _extend(batches, id_at: int, text_at: int, n_columns: int, window: int, block: int, n_buckets: int,
+            slice_bytes: int) -> Iterator[pa.RecordBatch]:
+    """(columns, key, hits) -> packs of the full windows around hits."""
+    for seq, batch in enumerate(slices(batches, text_at, slice_bytes)):
+        keys, ids = _key_and_id(batch, n_columns, id_at)
+        *_, first, words = _words(batch.column(text_at))
         short, whole = window_hashes(words, block), window_hashes(words, window, seed=1)
-        step, hits = np.zeros(len(words) + window + 1, np.int64), batch.column(3).to_pylist()
+        step, hits = np.zeros(len(words) + window + 1, np.int64), batch.column(n_columns + 1).to_pylist()
         for r, value in enumerate(hits):
             lo, n = int(first[r]), int(first[r + 1] - first[r])
             p = _positions(value)
@@ -220,13 +225,13 @@ def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gone: np.ndarra
     return b"".join([*parts, data[at:].tobytes()])
 
 
-def _remove(batches, text_at: int, n_columns: int, window: int) -> Iterator[pa.RecordBatch]:
-    """(columns, id, repeats) -> columns with the new text, n_words, n_removed, removed spans."""
+def _remove(batches, id_at: int, text_at: int, n_columns: int, window: int) -> Iterator[pa.RecordBatch]:
+    """(columns, key, repeats) -> columns with the new text, n_words, n_removed, removed spans."""
     for batch in slices(batches, text_at):
         column = batch.column(text_at)
         data, offsets, starts, ends, first, words = _words(column)
         repeats = batch.column(n_columns + 1).to_pylist()
-        ids = batch.column(n_columns).to_pylist()
+        _, ids = _key_and_id(batch, n_columns, id_at)
         n, removed = np.diff(first), np.zeros(batch.num_rows, np.int64)
         spans_a, spans_b, texts = [[] for _ in repeats], [[] for _ in repeats], None
         for r, value in enumerate(repeats):
@@ -265,22 +270,23 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     id_at, text_at = columns.index(id_col), columns.index(text_col)
     n_buckets = max(-(-text_bytes(docs, text_col) // (6 * bucket_words)), shuffle_partitions(spark), 1)
     fields = list(rows.schema.fields)
-    rows = rows.withColumn("id", F.coalesce(F.col(f"c{id_at}").cast("long"), F.lit(NO_ID)))
-    rows = rows.withColumn("key", F.xxhash64("id", F.col(f"c{text_at}")).bitwiseAND(F.lit(_KEY)))
+    doc_id, text = F.col(f"c{id_at}"), F.col(f"c{text_at}")
+    rows = rows.withColumn("key", F.xxhash64(F.coalesce(doc_id.cast("long"), F.lit(NO_ID)), text).bitwiseAND(F.lit(_KEY)))
     placed = rows.repartition(shuffle_partitions(spark), "key")
-    text = F.col(f"c{text_at}").alias("text")
+    inner = [f"c{i}" for i in range(len(columns))]
 
     packs, found = "bucket int, payload binary", "key long, id long, pos binary"
-    probes = rows.select("key", "id", text).mapInArrow(lambda it: _probe(it, window, block, n_buckets, slice_bytes), packs)
+    probes = rows.select("key", doc_id.alias("id"), text.alias("text")).mapInArrow(
+        lambda it: _probe(it, window, block, n_buckets, slice_bytes), packs)
     hits = probes.groupBy("bucket").applyInArrow(_meet, found).groupBy("key").agg(F.collect_list("pos").alias("hits"))
-    near = placed.select("key", "id", text).join(hits, "key").select("key", "id", "text", "hits")
-    windows = near.mapInArrow(lambda it: _extend(it, window, block, n_buckets, slice_bytes), packs)
+    # Both joins read all columns of ``placed``, so that its one shuffle serves both.
+    near = placed.join(hits, "key").select(*inner, "key", "hits")
+    windows = near.mapInArrow(lambda it: _extend(it, id_at, text_at, len(inner), window, block, n_buckets, slice_bytes), packs)
     again = windows.groupBy("bucket").applyInArrow(_meet, found).groupBy("key").agg(F.collect_list(F.struct("id", "pos")).alias("found"))
-    inner = [f"c{i}" for i in range(len(columns))]
-    joined = placed.join(again, "key", "left").select(*inner, "id", "found")
+    joined = placed.join(again, "key", "left").select(*inner, "key", "found")
     longs = T.ArrayType(T.LongType())
     out = T.StructType(fields + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                                  T.StructField("span_starts", longs), T.StructField("span_ends", longs)])
-    done = joined.mapInArrow(lambda it: _remove(it, text_at, len(columns), window), out)
+    done = joined.mapInArrow(lambda it: _remove(it, id_at, text_at, len(columns), window), out)
     return done.select(*[F.col(c).alias(name) for c, name in zip(inner, columns)],
                        F.struct("n_words", "n_removed", "span_starts", "span_ends").alias("repeats"))
