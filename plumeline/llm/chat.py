@@ -74,11 +74,12 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     order = Window.partitionBy("conv").orderBy(F.desc("score"), F.desc("depth"), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
     path = chosen.select("conv", F.col("node").alias("leaf"), F.col("score").alias("path_score"), "rank", "node", F.lit(0).cast("long").alias("above"))
-    for k, jump in enumerate(jumps):
+    path = materialize(path)
+    for k, jump in enumerate(jumps):                          # written each round: the plan would double otherwise
         j = jump.select(F.col("conv").alias("jc"), F.col("node").alias("jn"), "up")
         higher = path.join(j, F.col("conv").eqNullSafe(F.col("jc")) & (F.col("node") == F.col("jn"))).select(
             "conv", "leaf", "path_score", "rank", F.col("up").alias("node"), (F.col("above") + 2 ** k).alias("above"))
-        path = path.unionByName(higher)
+        path = materialize(path.unionByName(higher))
     return path
 
 
