@@ -5,7 +5,7 @@ winnowing: of every ``window`` consecutive ``gram``-word hashes the smallest is
 equals). The inverted index maps a kept hash to (template, word position). A document is hashed at every
 word and each hash found in the index proposes (template, diagonal); hits of one template on nearby diagonals
 and close together form a candidate region. The region is aligned with the template word by word, inside a band
-of ``band`` words around its diagonal (match +2, mismatch and gap -1, local alignment). The result has
+of ``band`` words (a quarter of a short template) around its diagonal (match +2, mismatch and gap -1, local alignment). The result has
 one row per match that covers at least ``min_coverage`` of the template and ``min_words`` of its words: matched words, coverage, and the
 span in words and in characters.
 
@@ -168,13 +168,17 @@ def align(doc: np.ndarray, template: np.ndarray, diagonal: int, band: int) -> tu
     return best[1:] if best[0] else None
 
 
-def _regions(at: np.ndarray, template: np.ndarray, position: np.ndarray, band: int, reach: int) -> Iterator[tuple[int, int, int]]:
-    """(template, diagonal, hits) of groups of hits of one template that lie close together."""
+def _regions(at: np.ndarray, template: np.ndarray, position: np.ndarray, bands: np.ndarray, reach: int) -> Iterator[tuple[int, int, int]]:
+    """(template, diagonal, hits) of groups of hits of one template that lie close together.
+
+    ``bands``: band per template; a quarter of the template at most, so that two whole occurrences
+    of a short template never fall into one group.
+    """
     diagonal = at - position
     order = np.lexsort((at, diagonal, template))
     t, d, a = template[order], diagonal[order], at[order]
     # A new group starts with the template, beyond the band, or with a gap longer than the template.
-    new = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] - d[:-1] > band) | (np.abs(a[1:] - a[:-1]) > reach)])
+    new = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] - d[:-1] > bands[t[1:]]) | (np.abs(a[1:] - a[:-1]) > reach)])
     for g in np.split(np.arange(len(t)), np.flatnonzero(new)[1:]):
         yield int(t[g[0]]), int(np.median(d[g])), len(g)
 
@@ -182,6 +186,7 @@ def _regions(at: np.ndarray, template: np.ndarray, position: np.ndarray, band: i
 def _scan(batches, index: TemplateIndex, band: int, min_coverage: float, min_words: int) -> Iterator[pa.RecordBatch]:
     """(id, text) -> matches."""
     longest = max((len(w) for w in index.words), default=0)
+    bands = np.array([max(min(band, len(w) // 4), 1) for w in index.words], np.int64)
     for batch in slices(batches, 1):
         column = batch.column(1)
         data, offsets, starts, ends, first, words = _words(column)
@@ -194,8 +199,8 @@ def _scan(batches, index: TemplateIndex, band: int, min_coverage: float, min_wor
             own = order[cuts[r]:cuts[r + 1]]
             lo, hi = int(first[r]), int(first[r + 1])
             found: dict[int, list[tuple]] = {}
-            for t, diagonal, n in _regions(at[own] - lo, template[own], position[own], band, longest):
-                got = align(words[lo:hi], index.words[t], diagonal, band)
+            for t, diagonal, n in _regions(at[own] - lo, template[own], position[own], bands, longest):
+                got = align(words[lo:hi], index.words[t], diagonal, int(bands[t]))
                 if got and got[0] >= min_words and got[0] >= min_coverage * len(index.words[t]):
                     found.setdefault(t, []).append((*got, n))
             for t, matches in found.items():
