@@ -41,62 +41,85 @@ def _ref(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: All Unicode white space, which a text's ends are stripped of.
+WHITE_SPACE = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                       0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
 def normalized_sql(raw_sql: str) -> str:
-    """upper(trim(text)); '' and 'NAN' are missing."""
-    return _let(f"upper(trim(cast({raw_sql} as string)))", "u_", "CASE WHEN u_ IN ('', 'NAN') THEN NULL ELSE u_ END")
+    """Upper-case text without white space at its ends; '' and 'NAN' are missing."""
+    return f"nullif(nullif(upper(btrim(cast({raw_sql} as string), {_s(WHITE_SPACE)})), ''), 'NAN')"
 
 
-def parse_sql(raw_sql: str, mode: str = "as_written") -> str:
-    """Struct<lsd,sec,twp,rng,dir,mer>; NULL when neither form matches."""
+def _check(mode: str) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    dashed, compact = _s(DASHED_LOCATION_RE), _s(COMPACT_LOCATION_RE)
+
+
+def _field_sqls(v: str, d: str, c: str, mode: str) -> dict[str, str]:
+    """Each location field from the text ``v`` and the tests for the dashed (d) and compact (c) form."""
+    dashed = _s(DASHED_LOCATION_RE)
     if mode == "as_written":   # meridian, township, range, section, lsd: 2 digits each
         pos = {"mer": (1, 2), "twp": (3, 2), "rng": (5, 2), "sec": (7, 2), "lsd": (9, 2)}
     else:                      # township(3) meridian(1) range(2) section(2) lsd(2)
         pos = {"twp": (1, 3), "mer": (4, 1), "rng": (5, 2), "sec": (7, 2), "lsd": (9, 2)}
     group = {"lsd": 1, "sec": 2, "twp": 3, "rng": 4, "mer": 6}
-    fields = ", ".join(
-        f"'{k}', CAST(CASE WHEN m_.d THEN regexp_extract(m_.v, {dashed}, {group[k]}) "
-        f"ELSE substring(m_.v, {pos[k][0]}, {pos[k][1]}) END AS INT)" for k in ("lsd", "sec", "twp", "rng", "mer"))
-    fields += f", 'dir', CASE WHEN m_.d THEN regexp_extract(m_.v, {dashed}, 5) ELSE 'W' END"
-    body = f"CASE WHEN m_.d OR m_.c THEN named_struct({fields}) END"
+    out = {k: f"CAST(CASE WHEN {d} THEN regexp_extract({v}, {dashed}, {group[k]}) "
+              f"WHEN {c} THEN substring({v}, {pos[k][0]}, {pos[k][1]}) END AS INT)" for k in ("lsd", "sec", "twp", "rng", "mer")}
+    return out | {"dir": f"CASE WHEN {d} THEN regexp_extract({v}, {dashed}, 5) WHEN {c} THEN 'W' END"}
+
+
+def _grid_sqls(q: str, mode: str) -> dict[str, str]:
+    """Validity, base longitude and metres north and west of the base, from fields referred to as ``q`` + name."""
+    valid = (f"{q}lsd BETWEEN 1 AND 16 AND {q}sec BETWEEN 1 AND 36 AND {q}twp BETWEEN 1 AND 126 "
+             f"AND {q}rng BETWEEN 1 AND 34 AND {q}mer IN ({', '.join(str(m) for m in MERIDIAN_BASE_LON)}) "
+             f"AND {q}dir IN ('W', 'E')")
+    base = "CASE " + " ".join(f"WHEN {q}mer = {m} THEN {_d(lon)}" for m, lon in MERIDIAN_BASE_LON.items()) + " END"
+    twp = f"{q}twp" if mode == "as_written" else f"({q}twp - 1)"
+    rng = f"{q}rng" if mode == "as_written" else f"({q}rng - 1)"
+    sec_row, sec_c = f"(({q}sec - 1) div 6)", f"(({q}sec - 1) % 6)"
+    lsd_row, lsd_c = f"(({q}lsd - 1) div 4)", f"(({q}lsd - 1) % 4)"
+    sec_col = f"(CASE WHEN {sec_row} % 2 = 1 THEN 5 - {sec_c} ELSE {sec_c} END)"
+    lsd_col = lsd_c if mode == "as_written" else f"(CASE WHEN {lsd_row} % 2 = 1 THEN 3 - {lsd_c} ELSE {lsd_c} END)"
+    T, S, L = _d(TOWNSHIP_M), _d(SECTION_M), _d(LSD_M)
+    # Same evaluation order as the published arithmetic, so doubles agree bit for bit.
+    return {"valid": valid, "base": base, "north": f"{twp} * {T} + {sec_row} * {S} + {lsd_row} * {L}",
+            "west": f"{rng} * {T} + {sec_col} * {S} + {lsd_col} * {L}"}
+
+
+def _lat_sql(north: str) -> str:
+    return f"{_d(SURVEY_BASE_LAT)} + {north} / {_d(METERS_PER_DEG_LAT)}"
+
+
+def _lon_sql(lat: str, base: str, west: str, direction: str) -> str:
+    per_deg = f"({_d(METERS_PER_DEG_LAT)} * cos({lat} * {_d(DEG2RAD)}))"
+    return f"CASE WHEN {direction} = 'W' THEN {base} - {west} / {per_deg} ELSE {base} + {west} / {per_deg} END"
+
+
+def _round6(x: str) -> str:
+    return f"round(({x}) * 1000000.0D, 0) / 1000000.0D"
+
+
+def parse_sql(raw_sql: str, mode: str = "as_written") -> str:
+    """Struct<lsd,sec,twp,rng,mer,dir>; NULL when neither form matches."""
+    _check(mode)
+    fields = ", ".join(f"'{k}', {x}" for k, x in _field_sqls("m_.v", "m_.d", "m_.c", mode).items())
     matched = _let(normalized_sql(raw_sql), "v_",
-                   f"named_struct('v', v_, 'd', v_ rlike {dashed}, 'c', v_ rlike {compact})")
-    return _let(matched, "m_", body)
+                   f"named_struct('v', v_, 'd', v_ rlike {_s(DASHED_LOCATION_RE)}, 'c', v_ rlike {_s(COMPACT_LOCATION_RE)})")
+    return _let(matched, "m_", f"CASE WHEN m_.d OR m_.c THEN named_struct({fields}) END")
 
 
 def locate_sql(parts_sql: str, mode: str = "as_written") -> str:
     """Struct<latitude,longitude> (6 dp) from a parsed location; NULL when out of range."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    q = "q_"
-    valid = (f"{q}.lsd BETWEEN 1 AND 16 AND {q}.sec BETWEEN 1 AND 36 AND {q}.twp BETWEEN 1 AND 126 "
-             f"AND {q}.rng BETWEEN 1 AND 34 AND {q}.mer IN ({', '.join(str(m) for m in MERIDIAN_BASE_LON)}) "
-             f"AND {q}.dir IN ('W', 'E')")
-    base = "CASE " + " ".join(f"WHEN {q}.mer = {m} THEN {_d(lon)}" for m, lon in MERIDIAN_BASE_LON.items()) + " END"
-    twp = f"{q}.twp" if mode == "as_written" else f"({q}.twp - 1)"
-    rng = f"{q}.rng" if mode == "as_written" else f"({q}.rng - 1)"
-    sec_row, sec_c = f"(({q}.sec - 1) div 6)", f"(({q}.sec - 1) % 6)"
-    lsd_row, lsd_c = f"(({q}.lsd - 1) div 4)", f"(({q}.lsd - 1) % 4)"
-    sec_col = f"(CASE WHEN {sec_row} % 2 = 1 THEN 5 - {sec_c} ELSE {sec_c} END)"
-    lsd_col = lsd_c if mode == "as_written" else f"(CASE WHEN {lsd_row} % 2 = 1 THEN 3 - {lsd_c} ELSE {lsd_c} END)"
-    T, S, L = _d(TOWNSHIP_M), _d(SECTION_M), _d(LSD_M)
-    # Same evaluation order as the published arithmetic, so doubles agree bit for bit.
-    north = f"{twp} * {T} + {sec_row} * {S} + {lsd_row} * {L}"
-    west = f"{rng} * {T} + {sec_col} * {S} + {lsd_col} * {L}"
-    g = "g_"
-    lat = f"{_d(SURVEY_BASE_LAT)} + {g}.north / {_d(METERS_PER_DEG_LAT)}"
-    h = "h_"
-    per_deg = f"({_d(METERS_PER_DEG_LAT)} * cos({h}.lat * {_d(DEG2RAD)}))"
-    lon = f"CASE WHEN {h}.dir = 'W' THEN {h}.base - {h}.west / {per_deg} ELSE {h}.base + {h}.west / {per_deg} END"
-    coords = _let(f"named_struct('lat', {lat}, 'west', {g}.west, 'base', {g}.base, 'dir', {g}.dir)", h,
-                  f"named_struct('latitude', round({h}.lat * 1000000.0D, 0) / 1000000.0D, "
-                  f"'longitude', round(({lon}) * 1000000.0D, 0) / 1000000.0D)")
-    body = (f"CASE WHEN {valid} THEN "
-            + _let(f"named_struct('north', {north}, 'west', {west}, 'base', {base}, 'dir', {q}.dir)", g, coords)
+    _check(mode)
+    g = _grid_sqls("q_.", mode)
+    coords = _let(f"named_struct('lat', {_lat_sql('g_.north')}, 'west', g_.west, 'base', g_.base, 'dir', g_.dir)", "h_",
+                  f"named_struct('latitude', {_round6('h_.lat')}, "
+                  f"'longitude', {_round6(_lon_sql('h_.lat', 'h_.base', 'h_.west', 'h_.dir'))})")
+    body = (f"CASE WHEN {g['valid']} THEN "
+            + _let(f"named_struct('north', {g['north']}, 'west', {g['west']}, 'base', {g['base']}, 'dir', q_.dir)", "g_", coords)
             + " END")
-    return _let(parts_sql, q, body)
+    return _let(parts_sql, "q_", body)
 
 
 def geocode_sql(raw_sql: str, mode: str = "as_written") -> str:
@@ -124,39 +147,23 @@ def geocode(raw: str, mode: str = "as_written") -> Column:
 
 def with_location(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
                   lon_out: str = "longitude", located_only: bool = False) -> DataFrame:
-    """Add ``lat_out`` / ``lon_out`` geocoded from the location text column ``raw``.
-
-    Each distinct location text is geocoded once and joined back: monthly reports repeat the
-    same locations, and the distinct step (partial aggregation, then a shuffle of the distinct
-    strings only) spreads the regex work over many tasks even when the input is one split. The
-    distinct-location table is bounded by the number of legal survey locations; AQE broadcasts
-    it when it is small and shuffles otherwise. ``located_only`` makes it an inner join, which
-    drops rows whose location does not resolve.
+    """Add ``lat_out`` / ``lon_out`` geocoded from the location text column ``raw``, row by row.
+
+    No shuffle: each step is a plain generated-code column over the steps before it, and every value is computed
+    once. The coordinates leave through ``inline`` of a one-element array, which Catalyst does not push
+    predicates through, so a later filter on them reads the values instead of copies of the whole
+    expression. ``located_only`` drops rows whose location does not resolve.
     """
-    counted = (df.where(F.col(raw).isNotNull()).groupBy(F.col(raw).alias("_loc_raw"))
-               .agg(F.count(F.lit(1)).alias("_n")))
-    coded = counted.select("_loc_raw", "_n", geocode("_loc_raw", mode).alias("_loc_xy"))
-    # A second aggregate on the same key costs no shuffle (rows are already partitioned by
-    # location) but makes the coordinates aggregate outputs: filters on them (the located test, a
-    # later bounding box or distance test) stay above it and read plain values instead of being
-    # pushed down into copies of the geocode expression. Summing the per-location row count keeps
-    # the lower aggregate from being folded into this one, which would geocode every input row.
-    xy = coded.groupBy("_loc_raw").agg(F.max("_loc_xy.latitude").alias(lat_out),
-                                       F.max("_loc_xy.longitude").alias(lon_out),
-                                       F.sum("_n").alias("_rows"))
-    keep = F.col("_rows") > F.lit(0)
-    if located_only:
-        keep = keep & F.col(lat_out).isNotNull()
-    xy = xy.where(keep).select("_loc_raw", lat_out, lon_out)
-    base = df.drop(lat_out, lon_out) if lat_out in df.columns or lon_out in df.columns else df
-    joined = base.join(xy, base[raw] == xy["_loc_raw"], "inner" if located_only else "left")
-    return joined.drop("_loc_raw")
-
-
-def with_location_rowwise(df: DataFrame, raw: str, mode: str = "as_written", lat_out: str = "latitude",
-                          lon_out: str = "longitude") -> DataFrame:
-    """Per-row variant (no shuffle), for inputs without repeated locations."""
-    staged = df.withColumn("_loc_xy", geocode(raw, mode))
-    return (staged.withColumn(lat_out, F.col("_loc_xy.latitude"))
-                  .withColumn(lon_out, F.col("_loc_xy.longitude"))
-                  .drop("_loc_xy"))
+    _check(mode)
+    keep = [c for c in df.columns if c not in (lat_out, lon_out)]
+    q, step = "_loc_", df.select(*keep).withColumn("_loc_v", F.expr(normalized_sql(_ref(raw))))
+    step = step.withColumns({"_loc_d": F.expr(f"_loc_v rlike {_s(DASHED_LOCATION_RE)}"),
+                             "_loc_c": F.expr(f"_loc_v rlike {_s(COMPACT_LOCATION_RE)}")})
+    step = step.withColumns({q + k: F.expr(x) for k, x in _field_sqls("_loc_v", "_loc_d", "_loc_c", mode).items()})
+    grid = _grid_sqls(q, mode)
+    step = step.withColumns({"_loc_ok": F.expr(grid["valid"])} | {q + k: F.expr(grid[k]) for k in ("base", "north", "west")})
+    step = step.withColumn("_loc_lat", F.expr(f"CASE WHEN _loc_ok THEN {_lat_sql('_loc_north')} END"))
+    point = F.struct(F.expr(_round6("_loc_lat")).alias(lat_out),
+                     F.expr(_round6(_lon_sql("_loc_lat", "_loc_base", "_loc_west", "_loc_dir"))).alias(lon_out))
+    out = step.select(*keep, F.inline(F.array(point)))
+    return out.where(F.col(lat_out).isNotNull()) if located_only else out
