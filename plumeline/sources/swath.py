@@ -8,27 +8,47 @@ are chunked the same way, so a row never grows with the data. Decoding HDF5 byte
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumeline.functions.names import orbit_from_name
 from plumeline.functions.numeric import nan_to_null
+from plumeline.model import BBOX, QA_BRONZE
 from plumeline.operators.filters import in_bbox, valid_swath_pixels
 
 
 def read_granules(spark: SparkSession, paths, skip_corrupt: bool = True) -> DataFrame:
-    """Multi-file granule scan; unreadable files are skipped, as the per-file loop does."""
+    """Multi-file granule scan; unreadable files are skipped, as the per-file loop does.
+
+    ``unreadable_files`` names the files that such a scan leaves out.
+    """
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
     return reader.parquet(*([paths] if isinstance(paths, str) else list(paths)))
 
 
+def unreadable_files(spark: SparkSession, paths, granules: DataFrame) -> DataFrame:
+    """(path, reason) of the granule files under ``paths`` that gave no row: truncated, not Parquet, or empty.
+
+    The folder listing is a scan of file names (contents are not read), compared with the files the
+    rows of ``granules`` came from.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(
+        [paths] if isinstance(paths, str) else list(paths)).select("path")
+    read = granules.select(F.col("_metadata.file_path").alias("seen")).distinct()
+    return (listed.join(read, F.col("path") == F.col("seen"), "left_anti")
+            .select("path", F.lit("unreadable_or_empty").alias("reason")))
+
+
 def with_orbit(granules: DataFrame) -> DataFrame:
     return granules.withColumn("orbit", orbit_from_name(F.col("file_path"), F.col("orbit_attr")))
 
 
 def flatten_swath(granules: DataFrame, apply_filters: bool = True) -> DataFrame:
-    """One row per pixel with its scanline and ground_pixel; bbox and validity filters applied."""
-    g = with_orbit(granules).where(F.col("swath").isNotNull() & F.col("orbit").isNotNull())
+    """One row per pixel with its scanline and ground_pixel; bbox and validity filters applied.
+
+    Pixels of a granule without an orbit tag or attribute are kept with a NULL orbit.
+    """
+    g = with_orbit(granules).where(F.col("swath").isNotNull())
     lines = g.select("file_path", "orbit", "first_scanline",
                      F.posexplode("swath").alias("line_pos", "line"))
     pixels = lines.select(
@@ -51,28 +71,29 @@ def flatten_swath(granules: DataFrame, apply_filters: bool = True) -> DataFrame:
     return out
 
 
+def _kept_pixels(swath: str) -> Column:
+    """Pixels of one block that the flattening keeps (the same filters, on the array)."""
+    def kept(p: Column) -> Column:
+        lat, lon, ch4, qa = (nan_to_null(p[c]) for c in ("lat", "lon", "ch4", "qa"))
+        return (lat.between(BBOX["min_lat"], BBOX["max_lat"]) & lon.between(BBOX["min_lon"], BBOX["max_lon"])
+                & ch4.isNotNull() & (qa >= F.lit(QA_BRONZE)) & p["time"].isNotNull())
+    return F.aggregate(F.col(swath), F.lit(0).cast("long"), lambda n, line: n + F.size(F.filter(line, kept)))
+
+
 def granule_load_report(granules: DataFrame) -> DataFrame:
-    """Per file: orbit, blocks, pixels kept after filtering and a status.
+    """Per file: orbit, blocks, pixels kept after filtering, a status and a note.
 
-    status is ``missing_variable`` (no swath data), ``no_orbit`` (neither name nor attribute has
-    one), ``empty`` (nothing survives the filters) or ``loaded``. Pixel counts are summed per block
-    first, so a large file never meets in one task as rows.
+    status is ``missing_variable`` (no swath data), ``empty`` (nothing survives the filters) or
+    ``loaded``; the note is ``no_orbit`` if neither the name nor the attribute has one. One pass: kept
+    pixels are counted per block on the array, then summed per file.
     """
-    g = with_orbit(granules)
-    kept = (flatten_swath(granules)
-            .groupBy(F.col("source_file").alias("file_path"))
-            .agg(F.count(F.lit(1)).alias("pixels_kept")))
-    per_file = (g.groupBy("file_path")
-                .agg(F.max("orbit").alias("orbit"),
-                     F.count(F.lit(1)).alias("blocks"),
-                     F.count("swath").alias("blocks_with_data")))
-    rep = per_file.join(kept, "file_path", "left")
-    pixels_kept = F.coalesce(F.col("pixels_kept"), F.lit(0)).cast("long")
-    status = (F.when(F.col("blocks_with_data") == 0, F.lit("missing_variable"))
-              .when(F.col("orbit").isNull(), F.lit("no_orbit"))
-              .when(pixels_kept == 0, F.lit("empty"))
-              .otherwise(F.lit("loaded")))
-    return rep.select("file_path", "orbit", "blocks", pixels_kept.alias("pixels_kept"), status.alias("status"))
+    rep = with_orbit(granules).groupBy("file_path").agg(
+        F.max("orbit").alias("orbit"), F.count(F.lit(1)).alias("blocks"), F.count("swath").alias("_with_data"),
+        F.coalesce(F.sum(_kept_pixels("swath")), F.lit(0)).cast("long").alias("pixels_kept"))
+    status = (F.when(F.col("_with_data") == 0, F.lit("missing_variable"))
+              .when(F.col("pixels_kept") == 0, F.lit("empty")).otherwise(F.lit("loaded")))
+    return rep.select("file_path", "orbit", "blocks", "pixels_kept", status.alias("status"),
+                      F.when(F.col("orbit").isNull(), F.lit("no_orbit")).alias("note"))
 
 
 def rejected_granules(granules: DataFrame) -> DataFrame:
