@@ -48,19 +48,31 @@ def dedupe_keep_min(df: DataFrame, key: list, order_col: str) -> DataFrame:
 
 
 def silver_pixels(pix: DataFrame) -> DataFrame:
-    """D1 + D7 + D8: qa >= 0.5, CH4 in the valid range, one row per (file, scanline, ground_pixel)
-    keeping the lowest row_id, only the last 365 days before the newest measurement, and a flag
-    for the preferred June-August season."""
+    """D1 + D7 + D8: the last 365 days before the newest measurement of the input, qa >= 0.5, CH4 in the valid
+    range, one row per (file, scanline, ground_pixel) keeping the lowest row_id, and a flag for the
+    preferred June-August season.
+
+    Retention comes first: older rows are not deduplicated at all (of copies with different times only
+    those inside the window compete), and on a table partitioned by ``measurement_date`` it prunes folders.
+    """
     cols = ["row_id", "measurement_timestamp", "ch4_column", "qa_value", "latitude", "longitude",
             "orbit_number", "file_path", "scanline", "ground_pixel"]
-    s = ch4_in_range(qa_at_least(pix, QA_SILVER)).select(*cols)
-    newest = s.agg(F.max("measurement_timestamp")).scalar()      # same before and after the dedupe
-    s = dedupe_keep_min(s, list(PIXEL_KEY), "row_id")
-    s = s.where(F.col("measurement_timestamp") >= newest - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
+    recent = pix
+    if "measurement_date" in pix.columns:                        # the partition column of the bronze table
+        newest_day = pix.agg(F.max("measurement_date")).scalar()
+        recent = pix.where(F.col("measurement_date") >= F.date_sub(newest_day, RETENTION_DAYS))
+    newest = recent.agg(F.max("measurement_timestamp")).scalar()
+    recent = recent.where(F.col("measurement_timestamp") >= newest - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
+    s = dedupe_keep_min(ch4_in_range(qa_at_least(recent, QA_SILVER)).select(*cols), list(PIXEL_KEY), "row_id")
     month = F.month("measurement_timestamp")
     return s.withColumn("in_preferred_season", month.between(SEASON_FIRST_MONTH, SEASON_LAST_MONTH))
 
 
+def preferred_season(silver: DataFrame) -> DataFrame:
+    """D7 as a filter: pixels measured in the preferred June-August season."""
+    return silver.where(F.col("in_preferred_season"))
+
+
 def gold_pixels(pix: DataFrame) -> DataFrame:
     """Reporting quality (qa >= 0.7)."""
     return qa_at_least(pix, QA_GOLD)
@@ -119,25 +131,34 @@ def ch4_hotspots(pix: DataFrame, min_pixels: int = MIN_PIXELS_PER_CELL) -> DataF
 
 
 def enhancement_vs_activity(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
-    """Per facility, CH4 of the pixel centres within ``radius_m`` (mean and enhancement over
-    the regional mean) beside its reported activity (flared + vented and produced gas over all
-    months of the fact table)."""
-    per_centre = (pix.groupBy(round_n("latitude", 1).alias("lat_center"), round_n("longitude", 1).alias("lon_center"))
+    """Per facility and month, CH4 of the pixel centres within ``radius_m`` (mean, and enhancement over the
+    regional mean of the month) beside the activity reported for that month (flared + vented gas, produced gas
+    and their ratio)."""
+    month = F.to_date(F.date_trunc("month", "measurement_timestamp")).alias("month")
+    per_centre = (pix.groupBy(round_n("latitude", 1).alias("lat_center"), round_n("longitude", 1).alias("lon_center"), month)
                   .agg(_n().alias("n"), F.sum("ch4_column").alias("s")))
+    regional = per_centre.groupBy("month").agg((F.sum("s") / F.sum("n")).alias("regional_mean"))
+    centres = per_centre.select("lat_center", "lon_center").distinct()
     fac_pts = fac.select("facility_id", "latitude", "longitude").dropna().distinct()
-    pairs = distance_inner_join(fac_pts, per_centre, radius_m, "latitude", "longitude", "lat_center", "lon_center")
-    pairs = pairs.select("facility_id", "r_lat_center", "r_lon_center", "r_n", "r_s").distinct()
-    near = pairs.groupBy("facility_id").agg(F.count(F.lit(1)).alias("n_centres"),
-                                            F.sum("r_n").alias("n_pixels_near"), F.sum("r_s").alias("_s"))
-    activity = battery_fact(fac).groupBy("facility_id").agg(
-        F.count(F.lit(1)).alias("n_months"),
-        F.sum(F.col("gas_flared_1000m3") + F.col("gas_vented_1000m3")).alias("emitted_1000m3"),
-        F.sum("gas_prod_1000m3").alias("produced_1000m3"))
-    regional = pix.agg(F.avg("ch4_column")).scalar()
+    pairs = distance_inner_join(fac_pts, centres, radius_m, "latitude", "longitude", "lat_center", "lon_center")
+    pairs = pairs.select("facility_id", F.col("r_lat_center").alias("lat_center"), F.col("r_lon_center").alias("lon_center")).distinct()
+    near = pairs.join(per_centre, ["lat_center", "lon_center"]).groupBy("facility_id", "month").agg(
+        _n().alias("n_centres"), F.sum("n").alias("n_pixels_near"), F.sum("s").alias("_s"))
+    emitted = F.col("gas_flared_1000m3") + F.col("gas_vented_1000m3")
+    activity = battery_fact(fac).select("facility_id", F.col("reporting_month").alias("month"), emitted.alias("emitted_1000m3"),
+                                        F.col("gas_prod_1000m3").alias("produced_1000m3"))
     mean_near = F.col("_s") / F.col("n_pixels_near")
-    return near.join(activity, "facility_id", "inner").select(
-        "facility_id", "n_centres", "n_pixels_near", round_n(mean_near, 3).alias("mean_ch4_near"),
-        round_n(mean_near - regional, 3).alias("enhancement"), "n_months", "emitted_1000m3", "produced_1000m3")
+    return near.join(activity, ["facility_id", "month"]).join(regional, "month").select(
+        "facility_id", "month", "n_centres", "n_pixels_near", round_n(mean_near, 3).alias("mean_ch4_near"),
+        round_n(mean_near - F.col("regional_mean"), 3).alias("enhancement"), "emitted_1000m3", "produced_1000m3",
+        round_n(F.col("emitted_1000m3") / F.nullif(F.col("produced_1000m3"), F.lit(0.0)), 6).alias("emission_ratio"))
+
+
+def activity_correlation(pairs: DataFrame) -> DataFrame:
+    """Per month, facilities with both sides and the correlation of enhancement and emitted gas."""
+    return pairs.groupBy("month").agg(
+        F.count_if(F.col("enhancement").isNotNull() & F.col("emitted_1000m3").isNotNull()).alias("n_facilities"),
+        round_n(F.corr("enhancement", "emitted_1000m3"), 6).alias("correlation"))
 
 
 def write_silver(spark, source_table: str = "bronze.sentinel5p_raw",
@@ -146,10 +167,23 @@ def write_silver(spark, source_table: str = "bronze.sentinel5p_raw",
     from plumeline.sources.tables import create_layers
     create_layers(spark)
     silver = silver_pixels(spark.table(source_table)).withColumn("day", F.to_date("measurement_timestamp"))
-    silver.write.mode("overwrite").format("parquet").partitionBy("day").saveAsTable(target_table)
+    # One shuffle by day first: a task then writes few days, not every task a file per day.
+    silver.repartition("day").write.mode("overwrite").format("parquet").partitionBy("day").saveAsTable(target_table)
     return {"table": target_table, "rows": spark.table(target_table).count()}
 
 
+def write_facility_tables(spark, pixels: str = "bronze.sentinel5p_raw", facilities: str = "bronze.aer_battery_monthly") -> list[dict]:
+    """Rebuild the silver facility dimension, battery fact and facility-pixel aggregate from bronze."""
+    from plumeline.sources.tables import create_layers
+    create_layers(spark)
+    fac, out = spark.table(facilities), []
+    for name, df in (("silver.facility_dim", facility_dim(fac)), ("silver.battery_fact", battery_fact(fac)),
+                     ("silver.facility_pixel_agg", facility_pixel_agg(spark.table(pixels), fac))):
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        out.append({"table": name, "rows": spark.table(name).count()})
+    return out
+
+
 def write_hotspots(spark, source_table: str = "bronze.sentinel5p_raw",
                    target_table: str = "gold.regional_ch4_hotspots") -> dict:
     """Rebuild the gold hotspot table (one row per qualifying 0.1-degree cell)."""

@@ -7,57 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumeline.functions.names import month_from_name
 from plumeline.functions.numeric import lenient_double, lenient_int, round_n
-from plumeline.model import CITY_LAT, CITY_LON, CITY_RADIUS_M
+from plumeline.model import CITY_LAT, CITY_LON, CITY_RADIUS_M, PIXEL_SCHEMA
 from plumeline.operators import aggregates as A
 from plumeline.operators import medallion as M
 from plumeline.operators import quality as Q
 from plumeline.operators.filters import not_null
-from plumeline.operators.sequence import sequence_ids
+from plumeline.operators.sequence import id_block, sequence_ids
 from plumeline.operators.spatial import within_radius
 from plumeline.plans import fixtures as fx
 from plumeline.sources import swath
+from plumeline.sources.tables import conform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_BASE: dict = {}
-
-
-def _base(spark, d, name, build):
-    """Base fixture frames, built once per (session, folder, name) and shared by the queries.
-
-    A DataFrame is an immutable logical plan, so sharing it is safe; it saves rebuilding the same
-    scans, fixture views and geocode join (thousands of driver-to-JVM calls) for every query.
-    """
-    conf = spark.conf      # settings fixed into a plan when it is analyzed
-    key = (str(d).rstrip("/"), name, conf.get("spark.sql.ansi.enabled"), conf.get("spark.sql.session.timeZone"))
-    hit = _BASE.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = build()
-    _BASE[key] = (spark, df)
-    return df
-
-
 def _pix(spark, d):
-    return _base(spark, d, "bronze_pix", lambda: fx.bronze_pixels(fx.pixels(spark, d)))
+    return fx.bronze_pixels(fx.pixels(spark, d))
 
 
 def _fac(spark, d):
-    return _base(spark, d, "bronze_fac", lambda: fx.bronze_facilities(fx.batteries(spark, d)))
+    return fx.bronze_facilities(fx.batteries(spark, d))
 
 
 def _landing(spark, d):
-    return _base(spark, d, "pixels", lambda: fx.pixels(spark, d))
+    return fx.pixels(spark, d)
 
 
 def _bat(spark, d):
-    return _base(spark, d, "batteries", lambda: fx.batteries(spark, d))
+    return fx.batteries(spark, d)
 
 
 def _geo(spark, d):
-    return _base(spark, d, "batteries_geocoded", lambda: fx.geocoded_facilities(_bat(spark, d)))
+    return fx.geocoded_facilities(_bat(spark, d))
 
 
 def geocode_batteries(spark, d, mode="as_written"):
@@ -102,8 +85,29 @@ def append_row_ids(spark, d):
 
 
 def file_row_numbers(spark, d):
-    located = not_null(_geo(spark, d), "latitude", "longitude").select("source_file", "row_id")
-    return sequence_ids(located, ["row_id"], group_cols=["source_file"], out="file_row")
+    """Numbers restart per file; rows whose file is unknown (NULL) are a file of their own."""
+    located = not_null(_geo(spark, d), "latitude", "longitude").select(
+        F.when(F.col("row_id") % 97 != 0, F.col("source_file")).alias("source_file"), "row_id")
+    return sequence_ids(located, [id_block("row_id"), "row_id"], group_cols=["source_file"], out="file_row")
+
+
+def month_in_file_name(spark, d):
+    """Month of each battery file from its name, in the forms the files use."""
+    name = F.when(F.col("row_id") % 3 == 0, F.date_format("reporting_month", "'ST60_'yyyy'_'MM'.csv'")).when(
+        F.col("row_id") % 3 == 1, F.date_format("reporting_month", "'st60-'yyyy'-'MM'_v2.csv'")).otherwise(F.lit("no_month_13.csv"))
+    named = _bat(spark, d).select("row_id", name.alias("file_name"))
+    return named.select("row_id", "file_name", month_from_name("file_name").alias("reporting_month"))
+
+
+def typed_projection(spark, d):
+    """P3 + S8: landing pixels under the bronze schema, by name, as an append writes them."""
+    pix = _pix(spark, d).withColumn("measurement_date", F.to_date("measurement_timestamp"))
+    return conform(pix, PIXEL_SCHEMA).drop("ingestion_timestamp")
+
+
+def preferred_season_pixels(spark, d):
+    """D7 as a filter: silver pixels of June to August."""
+    return M.preferred_season(M.silver_pixels(_pix(spark, d))).select("row_id", "measurement_timestamp", "ch4_column")
 
 
 def top_operators(spark, d):
@@ -208,11 +212,16 @@ def enhancement_vs_activity(spark, d):
     return M.enhancement_vs_activity(_pix(spark, d), _fac(spark, d))
 
 
+def activity_correlation(spark, d):
+    return M.activity_correlation(M.enhancement_vs_activity(_pix(spark, d), _fac(spark, d)))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     geocode_batteries, geocode_batteries_corrected, numeric_coercion, pixel_filter_bronze, swath_flatten,
     rejected_granules, append_row_ids, file_row_numbers, top_operators, facility_extent, pixel_extent,
     monthly_production, pixel_coverage, qa_summary, null_audit, duplicate_audit, facilities_within_radius,
     pixels_near_facilities, overlap_summary, grid_mean_005, grid_mean_01, qa_histogram, ch4_histogram,
     facility_preview, audit_pixels, audit_facilities, silver_pixels, facility_dim, battery_fact,
-    facility_pixel_agg, ch4_hotspots, enhancement_vs_activity,
+    facility_pixel_agg, ch4_hotspots, enhancement_vs_activity, activity_correlation, month_in_file_name,
+    typed_projection, preferred_season_pixels,
 ]}

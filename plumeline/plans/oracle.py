@@ -6,13 +6,18 @@ dedupes), independent of the DataFrame code. Float literals carry ``e0`` so Duck
 
 from __future__ import annotations
 
-from plumeline.model import (COMPACT_LOCATION_RE, DASHED_LOCATION_RE, DEG2RAD, EARTH_RADIUS_M,
-                             METERS_PER_DEG_LAT)
+from plumeline.model import DEG2RAD, EARTH_RADIUS_M, METERS_PER_DEG_LAT
 from plumeline.functions.location import LSD_M, SECTION_M, TOWNSHIP_M
 from plumeline.functions.numeric import NUMERIC_TEXT_RE
 from plumeline.plans.fixtures import GRANULE_BLOCK, BATTERIES_SQL, PIXELS_SQL
 
 
+# Written from the published rules, not taken from the code under test.
+DASHED_LOCATION_RE = "^([0-9][0-9]?)-([0-9][0-9]?)-([0-9][0-9]?[0-9]?)-([0-9][0-9]?)([WE])([0-9])$"
+COMPACT_LOCATION_RE = "^[0-9]{10}$"
+BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(133) || chr(160) || chr(8195) || chr(12288)"
+
+
 def _f(x: float) -> str:
     return repr(float(x)) + "e0" if "e" not in repr(float(x)) else repr(float(x))
 
@@ -46,8 +51,7 @@ def _geocode_cte(name: str, mode: str) -> str:
       {fields},
       case when is_d then regexp_extract(v, '{DASHED_LOCATION_RE}', 5) when is_c then 'W' end as dir
   from (select *, regexp_matches(v, '{DASHED_LOCATION_RE}') as is_d, regexp_matches(v, '{COMPACT_LOCATION_RE}') as is_c
-        from (select *, case when upper(trim(bty_location_raw)) in ('', 'NAN') then null
-                             else upper(trim(bty_location_raw)) end as v from batteries) v0) v1),
+        from (select *, nullif(nullif(upper(trim(bty_location_raw, {BLANKS})), ''), 'NAN') as v from batteries) v0) v1),
 {name}_raw as (
   select *, 49.0e0 + north / {_f(METERS_PER_DEG_LAT)} as lat_raw from (
     select *,
@@ -114,24 +118,26 @@ select row_id, measurement_timestamp, ch4_column, qa_value, latitude, longitude,
 
 Q["swath_flatten"] = """
 select measurement_timestamp as time, latitude as lat, longitude as lon, ch4_column as ch4, qa_value as qa,
-  cast(scanline as bigint) as scanline, cast(ground_pixel as bigint) as ground_pixel, orbit_number as orbit,
-  case when orbit_number % 8 = 7 then 'granule_' || cast(orbit_number as varchar) || '.nc' else file_path end as source_file
+  cast(scanline as bigint) as scanline, cast(ground_pixel as bigint) as ground_pixel,
+  case when orbit_number % 8 <> 3 then orbit_number end as orbit,
+  case when orbit_number % 8 in (3, 7) then 'granule_' || cast(orbit_number as varchar) || '.nc' else file_path end as source_file
 from bronze_pix"""
 
 Q["rejected_granules"] = f"""
 , files as (
-  select case when orbit_number % 8 = 7 then 'granule_' || cast(orbit_number as varchar) || '.nc' else file_path end as file_path,
-    orbit_number as orbit, count(distinct floor(scanline / {GRANULE_BLOCK}e0)) as blocks
-  from pixels group by 1, 2),
+  select case when orbit_number % 8 in (3, 7) then 'granule_' || cast(orbit_number as varchar) || '.nc' else file_path end as file_path,
+    max(case when orbit_number % 8 <> 3 then orbit_number end) as orbit, count(distinct floor(scanline / {GRANULE_BLOCK}e0)) as blocks
+  from pixels group by 1),
 kept as (
-  select case when orbit_number % 8 = 7 then 'granule_' || cast(orbit_number as varchar) || '.nc' else file_path end as file_path,
+  select case when orbit_number % 8 in (3, 7) then 'granule_' || cast(orbit_number as varchar) || '.nc' else file_path end as file_path,
     count(*) as pixels_kept
   from bronze_pix group by 1)
 select f.file_path, f.orbit, f.blocks, coalesce(k.pixels_kept, 0) as pixels_kept,
-  case when coalesce(k.pixels_kept, 0) = 0 then 'empty' else 'loaded' end as status
+  case when coalesce(k.pixels_kept, 0) = 0 then 'empty' else 'loaded' end as status,
+  case when f.orbit is null then 'no_orbit' end as note
 from files f left join kept k using (file_path)
-union all select 'missing_variable.nc', 36100, 1, 0, 'missing_variable'
-union all select 'no_orbit_anywhere.nc', cast(null as int), 1, 0, 'missing_variable'"""
+union all select 'missing_variable.nc', 36100, 1, 0, 'missing_variable', null
+union all select 'no_orbit_anywhere.nc', cast(null as int), 1, 0, 'missing_variable', 'no_orbit'"""
 
 Q["append_row_ids"] = """
 , b as (select file_path, scanline, ground_pixel,
@@ -142,8 +148,23 @@ select row_number() over (partition by load_batch order by file_path, scanline,
 from b"""
 
 Q["file_row_numbers"] = """
-select source_file, row_id, row_number() over (partition by source_file order by row_id) as file_row
-from geo where latitude is not null and longitude is not null"""
+select f as source_file, row_id, row_number() over (partition by f order by row_id) as file_row
+from (select case when row_id % 97 <> 0 then source_file end as f, row_id from geo
+      where latitude is not null and longitude is not null) t"""
+
+Q["month_in_file_name"] = """
+select row_id, file_name,
+  case when file_name <> 'no_month_13.csv' then reporting_month end as reporting_month
+from (select row_id, reporting_month,
+        case row_id % 3 when 0 then 'ST60_' || strftime(reporting_month, '%Y_%m') || '.csv'
+             when 1 then 'st60-' || strftime(reporting_month, '%Y-%m') || '_v2.csv' else 'no_month_13.csv' end as file_name
+      from batteries) t"""
+
+Q["typed_projection"] = """
+select row_id, measurement_timestamp, ch4_column, ch4_column_precision, qa_value, latitude, longitude, orbit_number,
+  processing_level, product_version, file_path, cast(scanline as bigint) as scanline, cast(ground_pixel as bigint) as ground_pixel,
+  cast(measurement_timestamp as date) as measurement_date
+from bronze_pix"""
 
 Q["top_operators"] = """
 select operator, count(*) as facility_count from fac where operator is not null
@@ -274,15 +295,20 @@ union all select 'latitude_in_bbox', cast(cast(lat_ok as int) as double), case w
 union all select 'missing_location', cast(null_loc as double), case when null_loc = 0 then 'PASSED' else 'WARNING' end from k
 union all select 'facilities_near_city', cast(near_city as double), 'INFO' from k"""
 
-Q["silver_pixels"] = """
+_SILVER = """
 , s as (select row_id, measurement_timestamp, ch4_column, qa_value, latitude, longitude, orbit_number, file_path,
           scanline, ground_pixel
-        from bronze_pix where qa_value >= 0.5e0 and ch4_column between 1700.0e0 and 2100.0e0),
-d as (select * from (select *, row_number() over (partition by file_path, scanline, ground_pixel order by row_id) as rn
-                     from s) x where rn = 1)
-select row_id, measurement_timestamp, ch4_column, qa_value, latitude, longitude, orbit_number, file_path, scanline,
-  ground_pixel, month(measurement_timestamp) between 6 and 8 as in_preferred_season
-from d where measurement_timestamp >= (select max(measurement_timestamp) from d) - interval 365 day"""
+        from bronze_pix where qa_value >= 0.5e0 and ch4_column between 1700.0e0 and 2100.0e0
+          and measurement_timestamp >= (select max(measurement_timestamp) from bronze_pix) - interval 365 day),
+silver as (
+  select row_id, measurement_timestamp, ch4_column, qa_value, latitude, longitude, orbit_number, file_path, scanline,
+    ground_pixel, month(measurement_timestamp) between 6 and 8 as in_preferred_season
+  from (select *, row_number() over (partition by file_path, scanline, ground_pixel order by row_id) as rn from s) x where rn = 1)
+"""
+
+Q["silver_pixels"] = _SILVER + "select * from silver"
+
+Q["preferred_season_pixels"] = _SILVER + "select row_id, measurement_timestamp, ch4_column from silver where in_preferred_season"
 
 Q["facility_dim"] = """
 select facility_id, operator, licence, facility_type, facility_description, latitude, longitude,
@@ -318,20 +344,32 @@ select lat_grid, lon_grid, n_pixels, avg_ch4, round(avg_ch4 - (select avg(ch4_co
   rank() over (order by avg_ch4 desc) as hotspot_rank
 from cells"""
 
-Q["enhancement_vs_activity"] = f"""
-, pc as (select round(latitude, 1) as lat_center, round(longitude, 1) as lon_center, count(*) as n,
-           sum(ch4_column) as s from bronze_pix group by 1, 2),
+_ENHANCEMENT = f"""
+, pc as (select round(latitude, 1) as lat_center, round(longitude, 1) as lon_center,
+           cast(date_trunc('month', measurement_timestamp) as date) as month, count(*) as n, sum(ch4_column) as s
+         from bronze_pix group by 1, 2, 3),
+regional as (select month, sum(s) / sum(n) as regional_mean from pc group by 1),
+cen as (select distinct lat_center, lon_center from pc),
 fp as (select distinct facility_id, latitude, longitude from fac),
-pairs as (select distinct f.facility_id, c.lat_center, c.lon_center, c.n, c.s
-          from fp f join pc c on {hav('f.latitude', 'f.longitude', 'c.lat_center', 'c.lon_center')} <= 10000.0e0),
-near as (select facility_id, count(*) as n_centres, cast(sum(n) as bigint) as n_pixels_near, sum(s) as s
-         from pairs group by 1),
-act as (select facility_id, count(*) as n_months, sum(gas_flared_1000m3 + gas_vented_1000m3) as emitted_1000m3,
-          sum(gas_prod_1000m3) as produced_1000m3 from bfact group by 1)
-select near.facility_id, n_centres, n_pixels_near, round(s / n_pixels_near, 3) as mean_ch4_near,
-  round(s / n_pixels_near - (select avg(ch4_column) from bronze_pix), 3) as enhancement,
-  n_months, emitted_1000m3, produced_1000m3
-from near join act on near.facility_id = act.facility_id"""
+pairs as (select distinct f.facility_id, c.lat_center, c.lon_center
+          from fp f join cen c on {hav('f.latitude', 'f.longitude', 'c.lat_center', 'c.lon_center')} <= 10000.0e0),
+near as (select facility_id, month, count(*) as n_centres, cast(sum(n) as bigint) as n_pixels_near, sum(s) as s
+         from pairs join pc using (lat_center, lon_center) group by 1, 2),
+eva as (
+select near.facility_id, near.month, n_centres, n_pixels_near, round(s / n_pixels_near, 3) as mean_ch4_near,
+  round(s / n_pixels_near - regional_mean, 3) as enhancement,
+  gas_flared_1000m3 + gas_vented_1000m3 as emitted_1000m3, gas_prod_1000m3 as produced_1000m3,
+  round((gas_flared_1000m3 + gas_vented_1000m3) / nullif(gas_prod_1000m3, 0), 6) as emission_ratio
+from near join bfact on near.facility_id = bfact.facility_id and near.month = bfact.reporting_month
+join regional on near.month = regional.month)
+"""
+
+Q["enhancement_vs_activity"] = _ENHANCEMENT + "select * from eva"
+
+Q["activity_correlation"] = _ENHANCEMENT + """
+select month, count(*) filter (where enhancement is not null and emitted_1000m3 is not null) as n_facilities,
+  round(corr(enhancement, emitted_1000m3), 6) as correlation
+from eva group by month"""
 
 
 def oracle_sql() -> dict[str, str]:
