@@ -135,10 +135,36 @@ def _probe(batches, window: int, block: int, n_buckets: int, slice_bytes: int) -
             yield _table(list(_packs(h[at], at, rows, first, keys, ids, flags, n_buckets, seq)))
 
 
-def _answered(payloads) -> pa.Table:
-    keys, ids, counts, pos = (np.concatenate(x) for x in zip(*(unpack(p) for p in payloads)))
+def _replies(keys: np.ndarray, ids: np.ndarray, counts: np.ndarray, pos: np.ndarray, n_parts: int) -> pa.Table:
+    """Positions per text, packed for the part of the texts that holds its key."""
+    part = keys % n_parts
+    order = np.argsort(part, kind="stable")
     cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-    return pa.table({"key": pa.array(keys), "id": pa.array(ids), "pos": _binaries(pos, cuts)})
+    edges = np.searchsorted(part[order], np.arange(n_parts + 1))
+    out: list[tuple[int, bytes]] = []
+    for b in np.flatnonzero(np.diff(edges)).tolist():
+        texts = np.sort(order[edges[b]:edges[b + 1]])
+        n = (cuts[texts + 1] - cuts[texts])
+        at = np.repeat(cuts[texts], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out.append((b, pack(keys[texts], ids[texts], n.astype(np.uint32), pos[at].astype(np.int32))))
+    return pa.Table.from_batches([_table(out)])
+
+
+def _gather(found: pa.Table) -> pa.Table:
+    """One part: all positions of each text, as (key, array of (id, positions))."""
+    keys, ids, counts, pos = (np.concatenate(x) for x in zip(*(unpack(p) for p in found.column("payload").to_pylist())))
+    order = np.lexsort((ids, keys))
+    cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    k, i, n = keys[order], ids[order], counts[order].astype(np.int64)
+    at = np.repeat(cuts[order], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    same_id = np.concatenate([[True], (k[1:] != k[:-1]) | (i[1:] != i[:-1])])
+    texts = np.flatnonzero(same_id)                           # one run of positions per key and id
+    ends = np.concatenate([[0], np.cumsum(n)])
+    runs = _binaries(pos[at], np.append(ends[texts], ends[-1]))
+    lead = np.flatnonzero(np.concatenate([[True], k[texts][1:] != k[texts][:-1]]))
+    items = pa.StructArray.from_arrays([pa.array(i[texts]), runs], ["id", "pos"])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(lead, len(texts)).astype(np.int32)), items)
+    return pa.table({"key": pa.array(k[texts][lead]), "found": lists})
 
 
 def _entries(payloads):
@@ -161,17 +187,18 @@ def _entries(payloads):
     return cat(keys), cat(ids), cat(text), cat(pos), cat(values), cat(flags)
 
 
-def _meet(found: pa.Table) -> pa.Table:
-    """One bucket: which entries repeat, as (key, id, positions) per text."""
+def _meet(found: pa.Table, n_parts: int) -> pa.Table:
+    """One bucket: the positions of the entries that repeat, packed by part of the texts."""
     payloads = found.column("payload").to_pylist()
     if found.column("bucket")[0].as_py() < 0:
-        return _answered(payloads)
+        return _replies(*(np.concatenate(x) for x in zip(*(unpack(p) for p in payloads))), n_parts)
     keys, ids, text, pos, values, flags = _entries(payloads)
     order = np.argsort(values, kind="stable")
     v = values[order]
     lead = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
     size = np.diff(np.concatenate([lead, [len(v)]]))
     if flags is not None:                                     # probes and blocks of two slices or more
+        ids = np.zeros(len(keys), np.int64)
         hit = np.repeat((size > 1) & np.logical_or.reduceat(flags[order], lead), size)
     else:
         ident = ids[text[order]]
@@ -179,8 +206,7 @@ def _meet(found: pa.Table) -> pa.Table:
     chosen = np.sort(order[hit])
     cuts = _by_text(text[chosen])
     texts = text[chosen][cuts[:-1]] if len(chosen) else np.zeros(0, np.int64)
-    return pa.table({"key": pa.array(keys[texts]), "id": pa.array(ids[texts] if ids is not None else np.zeros(len(texts), np.int64)),
-                     "pos": _binaries(pos[chosen], cuts)})
+    return _replies(keys[texts], ids[texts], np.diff(cuts), pos[chosen], n_parts)
 
 
 def _positions(value) -> np.ndarray:
@@ -197,7 +223,7 @@ def _extend(batches, id_at: int, text_at: int, n_columns: int, window: int, bloc
         step, hits = np.zeros(len(words) + window + 1, np.int64), batch.column(n_columns + 1).to_pylist()
         for r, value in enumerate(hits):
             lo, n = int(first[r]), int(first[r + 1] - first[r])
-            p = _positions(value)
+            p = _positions([x["pos"] for x in value])
             own = short[lo:lo + max(n - block + 1, 0)]
             p = np.flatnonzero(np.isin(own, own[p[p < len(own)]]))        # the same block elsewhere in the text
             a, b = np.maximum(p - (window - block), 0), np.minimum(p, n - window)
@@ -275,15 +301,18 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     placed = rows.repartition(shuffle_partitions(spark), "key")
     inner = [f"c{i}" for i in range(len(columns))]
 
-    packs, found = "bucket int, payload binary", "key long, id long, pos binary"
+    packs, found, n_parts = "bucket int, payload binary", "key long, found array<struct<id:long,pos:binary>>", shuffle_partitions(spark)
+
+    def answers(entries: DataFrame) -> DataFrame:
+        replies = entries.groupBy("bucket").applyInArrow(lambda t: _meet(t, n_parts), packs)
+        return replies.groupBy("bucket").applyInArrow(_gather, found)
+
     probes = rows.select("key", doc_id.alias("id"), text.alias("text")).mapInArrow(
         lambda it: _probe(it, window, block, n_buckets, slice_bytes), packs)
-    hits = probes.groupBy("bucket").applyInArrow(_meet, found).groupBy("key").agg(F.collect_list("pos").alias("hits"))
     # Both joins read all columns of ``placed``, so that its one shuffle serves both.
-    near = placed.join(hits, "key").select(*inner, "key", "hits")
+    near = placed.join(answers(probes), "key").select(*inner, "key", "found")
     windows = near.mapInArrow(lambda it: _extend(it, id_at, text_at, len(inner), window, block, n_buckets, slice_bytes), packs)
-    again = windows.groupBy("bucket").applyInArrow(_meet, found).groupBy("key").agg(F.collect_list(F.struct("id", "pos")).alias("found"))
-    joined = placed.join(again, "key", "left").select(*inner, "key", "found")
+    joined = placed.join(answers(windows), "key", "left").select(*inner, "key", "found")
     longs = T.ArrayType(T.LongType())
     out = T.StructType(fields + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                                  T.StructField("span_starts", longs), T.StructField("span_ends", longs)])
