@@ -63,13 +63,15 @@ def cmd_validate_facilities(spark, args):
     for title, df in [("top operators", A.top_operators(fac)), ("extent", A.facility_extent(fac)),
                       ("monthly production", A.monthly_production(fac))]:
         print(f"-- {title}")
-        df.show(truncate=False)
+        print("\t".join(df.columns))
+        for r in df.toLocalIterator():                            # every row, e.g. every month
+            print("\t".join(str(v) for v in r))
     return _audit(audit_facilities(fac))
 
 
 def cmd_build_silver(spark, args):
-    from plumeline.operators.medallion import write_silver
-    return write_silver(spark)
+    from plumeline.operators.medallion import write_facility_tables, write_silver
+    return {**write_silver(spark), "facility_tables": write_facility_tables(spark)}
 
 
 def cmd_build_gold(spark, args):
@@ -85,7 +87,7 @@ def cmd_export_aggregates(spark, args):
                "qa_histogram": A.qa_histogram(pix), "ch4_histogram": A.ch4_histogram(pix),
                "facility_preview": A.facility_preview(fac)}
     for name, df in outputs.items():
-        write_parquet(df.coalesce(1), f"{args.out.rstrip('/')}/{name}")   # each result is small
+        write_parquet(df, f"{args.out.rstrip('/')}/{name}")         # AQE merges small partitions
     return {"written": sorted(outputs)}
 
 

@@ -7,51 +7,66 @@ from pyspark.sql import functions as F
 
 from plumeline.functions.location import with_location
 from plumeline.model import (PROCESSING_LEVEL, PRODUCT_VERSION, TABLE_FACILITIES, TABLE_PIXELS)
-from plumeline.operators.sequence import sequence_ids
-from plumeline.sources.battery_csv import check_month_in_names, months_in_names, read_battery_csv
+from plumeline.functions.names import month_from_name
+from plumeline.operators.sequence import id_block, sequence_ids
+from plumeline.sources.battery_csv import battery_files, read_battery_files
 from plumeline.sources.swath import flatten_swath
-from plumeline.sources.tables import append_by_name, row_count, rows_for_month
+from plumeline.sources.tables import append_by_name, row_count, rows_by_month
 
 
-def battery_rows(spark: SparkSession, paths, mode: str = "as_written") -> tuple[DataFrame, DataFrame]:
+def battery_rows(spark: SparkSession, paths, mode: str = "as_written", bad_files: str = "raise") -> tuple[DataFrame, DataFrame]:
     """Located, numbered battery rows ready for bronze, and rejected rows with a reason.
 
-    Per-file ``row_id`` runs 1..n in file line order after unlocated rows are dropped (W2).
+    Per-file ``row_id`` runs 1..n in file line order after unlocated rows are dropped (W2); a file is its full
+    path. ``bad_files``: "raise" for a file without the required columns or month, or "reject" to
+    report it as one reject row.
     """
-    check_month_in_names(paths)
-    raw = read_battery_csv(spark, paths)
+    raw, files = read_battery_files(spark, paths, bad_files)
     geo = with_location(raw, "bty_location_raw", mode)
     located = geo.where(F.col("latitude").isNotNull() & ~F.col("_fractional_total_wells"))
     rejects = geo.where(F.col("latitude").isNull() | F.col("_fractional_total_wells")).select(
-        "source_file", "facility_id", "bty_location_raw",
+        F.col("_path").alias("source_path"), "source_file", "facility_id", "bty_location_raw",
         F.when(F.col("latitude").isNull(), F.lit("location_not_resolved"))
          .otherwise(F.lit("fractional_total_wells")).alias("reason"))
-    numbered = sequence_ids(located, ["_line_block", "_line_pos"], group_cols=["source_file"], out="row_id")
-    return numbered.drop("_line_block", "_line_pos", "_fractional_total_wells"), rejects
+    none = F.lit(None).cast("string")
+    rejects = rejects.unionByName(files.where(F.col("reason").isNotNull()).select(
+        F.col("path").alias("source_path"), "source_file", none.alias("facility_id"), none.alias("bty_location_raw"), "reason"))
+    numbered = sequence_ids(located, ["_line_block", id_block("_line_pos"), "_line_pos"], group_cols=["_path"], out="row_id")
+    return numbered.drop("_path", "_line_block", "_line_pos", "_fractional_total_wells"), rejects
 
 
-def load_battery_files(spark: SparkSession, paths, table: str = TABLE_FACILITIES,
-                       mode: str = "as_written", skip_loaded_files: bool = False) -> dict:
-    """Append located rows; report rows loaded and, per reporting month named by the files, the
-    table's rows for that month afterwards (a partition-pruned count).
+def load_battery_files(spark: SparkSession, paths, table: str = TABLE_FACILITIES, mode: str = "as_written",
+                       skip_loaded_files: bool = False, bad_files: str = "raise", rejects_path: str | None = None) -> dict:
+    """Append located rows; report rows loaded, rows rejected by reason and, per reporting month named by the
+    files, the table's rows for that month afterwards (one partition-pruned count).
 
-    Like the original loader, a re-run appends the same file again. ``skip_loaded_files`` drops
-    rows of files whose name is already in the table (a left anti join on ``source_file``).
+    Like the original loader, a re-run appends the same file again. ``skip_loaded_files`` leaves out
+    files whose name is already in the table and names them under ``files_skipped``. ``rejects_path``
+    appends the rejected rows there as Parquet.
     """
-    rows, _ = battery_rows(spark, paths, mode)
+    rows, rejects = battery_rows(spark, paths, mode, bad_files)
+    skipped: list[str] = []
     if skip_loaded_files:
         spark.catalog.refreshTable(table)
         loaded = spark.table(table).select("source_file").distinct()
+        names = battery_files(spark, paths).select("source_file").distinct()
+        skipped = sorted(r[0] for r in names.join(loaded, "source_file", "left_semi").collect())     # names of this load
         rows = rows.join(loaded, "source_file", "left_anti")
+        rejects = rejects.join(loaded, "source_file", "left_anti")
     res = append_by_name(rows, table)
-    res["rows_for_month"] = {m: rows_for_month(spark, table, m) for m in months_in_names(paths)}
+    if rejects_path:
+        rejects.withColumn("rejected_at", F.current_timestamp()).write.mode("append").parquet(rejects_path)
+    res["rows_rejected"] = {r["reason"]: r["n"] for r in rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    res["files_skipped"] = skipped
+    months = battery_files(spark, paths).select(month_from_name("source_file").alias("m")).where("m is not null").distinct()
+    month_list = sorted(r["m"] for r in months.collect())
+    res["rows_for_month"] = rows_by_month(spark, table, month_list)
     return res
 
 
-def pixel_rows(granules: DataFrame, existing_rows: int = 0) -> DataFrame:
-    """Bronze pixel rows from granules: flatten, filter, tag, and number after ``existing_rows``
-    in (file, scanline, ground_pixel) order (W1)."""
-    pix = flatten_swath(granules).select(
+def bronze_pixel_columns(granules: DataFrame) -> DataFrame:
+    """Bronze pixel columns of granules: flattened, filtered and tagged, not yet numbered."""
+    return flatten_swath(granules).select(
         F.col("time").alias("measurement_timestamp"), F.col("ch4").alias("ch4_column"),
         F.lit(None).cast("double").alias("ch4_column_precision"), F.col("qa").alias("qa_value"),
         F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
@@ -59,7 +74,17 @@ def pixel_rows(granules: DataFrame, existing_rows: int = 0) -> DataFrame:
         F.lit(PRODUCT_VERSION).alias("product_version"), F.col("source_file").alias("file_path"),
         "scanline", "ground_pixel", F.current_timestamp().alias("ingestion_timestamp"),
         F.to_date(F.col("time")).alias("measurement_date"))
-    return sequence_ids(pix, ["file_path", "scanline", "ground_pixel"], start=existing_rows, out="row_id")
+
+
+def number_pixels(pixels: DataFrame, existing_rows: int = 0) -> DataFrame:
+    """Pixel rows numbered after ``existing_rows`` in (file, scanline, ground_pixel) order."""
+    return sequence_ids(pixels, ["file_path", "scanline", "ground_pixel"], start=existing_rows, out="row_id")
+
+
+def pixel_rows(granules: DataFrame, existing_rows: int = 0) -> DataFrame:
+    """Bronze pixel rows from granules: flatten, filter, tag, and number after ``existing_rows``
+    in (file, scanline, ground_pixel) order (W1)."""
+    return number_pixels(bronze_pixel_columns(granules), existing_rows)
 
 
 def load_granules(spark: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS) -> dict:

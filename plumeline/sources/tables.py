@@ -71,6 +71,15 @@ def rows_for_month(spark: SparkSession, table: str, month) -> int:
     return spark.table(table).where(F.col("reporting_month") == F.lit(month).cast("date")).count()
 
 
+def rows_by_month(spark: SparkSession, table: str, months: list) -> dict[str, int]:
+    """S10 for several months: one grouped, pruned count; months without rows count 0."""
+    found = {}
+    if months:
+        counts = spark.table(table).where(F.col("reporting_month").isin(months)).groupBy("reporting_month").count()
+        found = {str(r["reporting_month"]): r["count"] for r in counts.collect()}
+    return {str(m): found.get(str(m), 0) for m in months}
+
+
 def row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 

@@ -2,9 +2,10 @@
 
 A file-source stream over the landing folder hands each micro-batch the rows of files it has
 not seen; its checkpoint records which files were committed, so re-running a load never appends
-the same file twice (the batch loaders append blindly, as the original scripts do). A micro-batch
-that is retried after a failure skips files whose rows are already in the table, so each file lands
-exactly once.
+the same file twice (the batch loaders append blindly, as the original scripts do). A swath file's blocks
+may arrive in several landing files and micro-batches; a micro-batch that is retried after a failure skips
+the *pixels* (file, scanline, ground pixel) that are already in the table, so each pixel lands exactly once.
+That test reads only the partitions (days) the micro-batch has pixels for.
 ``trigger(availableNow=True)`` processes what is there and stops, so this runs as a scheduled job.
 
 Battery CSVs need their own preamble handling per file, so each micro-batch resolves the set of
@@ -14,11 +15,13 @@ those files. Granule Parquet is appended straight from the stream.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumeline.model import TABLE_FACILITIES, TABLE_PIXELS
-from plumeline.sources.ingest import load_battery_files, pixel_rows
+from plumeline.sources.ingest import bronze_pixel_columns, load_battery_files, number_pixels
 from plumeline.sources.tables import append_by_name, row_count
 
 
@@ -30,21 +33,31 @@ def _run(spark: SparkSession, query, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def append_new_granules(session: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS) -> dict:
-    """Append pixels of granule files not yet in ``table`` (a left anti join on the file name,
-    before numbering), ids continuing after the table's row count. Running it again with the same
-    granules appends nothing, which makes a retried micro-batch harmless."""
+def append_new_granules(session: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS,
+                        existing: int | None = None) -> dict:
+    """Append the pixels of ``granules`` that are not yet in ``table``, ids continuing after ``existing`` rows
+    (default: the table's row count). Running it again with the same granules appends nothing."""
     session.catalog.refreshTable(table)
-    existing = row_count(session, table)
-    loaded = session.table(table).select(F.col("file_path")).distinct()
-    fresh = granules.join(loaded, "file_path", "left_anti")
-    return append_by_name(pixel_rows(fresh, existing), table)
+    existing = row_count(session, table) if existing is None else existing
+    pixels = bronze_pixel_columns(granules)
+    days = [r.d for r in pixels.select(F.col("measurement_date").alias("d")).distinct().collect()]   # days of one micro-batch
+    if not days:
+        return {"table": table, "rows_loaded": 0}
+    key = ["file_path", "scanline", "ground_pixel"]
+    loaded = session.table(table).where(F.col("measurement_date").isin(days)).select(*[F.col(k).alias("_l_" + k) for k in key])
+    same = reduce(lambda a, b: a & b, [pixels[k].eqNullSafe(loaded["_l_" + k]) for k in key])
+    return append_by_name(number_pixels(pixels.join(loaded, same, "left_anti"), existing), table)
 
 
 def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
                            table: str = TABLE_FACILITIES, pattern: str = "*.csv",
-                           max_files_per_trigger: int = 64, mode: str = "as_written") -> list[dict]:
-    """Load every not-yet-loaded monthly CSV under ``landing_dir`` into ``table``."""
+                           max_files_per_trigger: int = 64, mode: str = "as_written",
+                           rejects_path: str | None = None) -> list[dict]:
+    """Load every not-yet-loaded monthly CSV under ``landing_dir`` into ``table``.
+
+    Files without the required columns or month do not stop the stream: they are counted per batch under
+    ``rows_rejected`` and, with the rejected rows, appended to ``rejects_path`` if one is given.
+    """
     results: list[dict] = []
     # One row per new file; the binaryFile source does not read file contents unless asked to.
     lines = (spark.readStream.format("binaryFile")
@@ -58,7 +71,8 @@ def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir
         if paths:
             results.append({"batch": batch_id, "files": len(paths),
                             **load_battery_files(batch.sparkSession, paths, table=table, mode=mode,
-                                                 skip_loaded_files=True)})
+                                                 skip_loaded_files=True, bad_files="reject",
+                                                 rejects_path=rejects_path)})
 
     q = (lines.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
@@ -74,8 +88,13 @@ def ingest_granule_landing(spark: SparkSession, landing_dir: str, checkpoint_dir
     granules = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
                 .option("ignoreCorruptFiles", "true").parquet(landing_dir))
 
+    rows = row_count(spark, table)                               # counted once; then carried from batch to batch
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        results.append({"batch": batch_id, **append_new_granules(batch.sparkSession, batch, table)})
+        nonlocal rows
+        res = append_new_granules(batch.sparkSession, batch, table, existing=rows)
+        rows += res["rows_loaded"]
+        results.append({"batch": batch_id, **res})
 
     q = (granules.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
