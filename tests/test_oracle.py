@@ -3,14 +3,17 @@
 import pytest
 
 import __spark_entry__ as E
+from plumeline.plans.catalog import QUERIES
+from plumeline.plans.oracle import oracle_sql
 from tests.conftest import SF_ORACLE
 from tests.oracle_compare import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(oracle_sql()) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -36,8 +39,8 @@ def test_column_types_match_oracle(spark):
     names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     con = duck(SF_ORACLE)
-    sql = E.oracle_sql()
-    for name, q in E.queries().items():
+    sql = oracle_sql()
+    for name, q in QUERIES.items():
         got = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
                for f in q(spark, SF_ORACLE).schema.fields}
         rel = con.sql(sql[name])

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumeline.operators.sequence import sequence_ids
+from plumeline.operators.sequence import id_block, sequence_ids
 from plumeline.operators.spatial import distance_inner_join, distance_semi_join, within_radius
 
 R = 6371000.0
@@ -63,11 +63,11 @@ def test_within_radius_equals_brute_force(spark):
 def test_sequence_ids_dense_and_ordered(spark):
     rows = [(f"f{i % 3}", (i * 7919) % 1000, i) for i in range(1000)]
     df = spark.createDataFrame(rows, "file string, line int, v int")
-    out = sequence_ids(df, ["file", "line"], start=10, num_partitions=7).collect()
+    out = sequence_ids(df, ["file", "line"], start=10).collect()
     order = sorted(rows, key=lambda r: (r[0], r[1]))
     assert sorted((r.row_id, r.v) for r in out) == [(10 + k + 1, r[2]) for k, r in enumerate(order)]
 
-    per = sequence_ids(df, ["line"], group_cols=["file"], out="n", num_partitions=5).collect()
+    per = sequence_ids(df, ["line"], group_cols=["file"], out="n").collect()
     for f in ("f0", "f1", "f2"):
         got = sorted((r.n, r.line) for r in per if r.file == f)
         lines = sorted(r[1] for r in rows if r[0] == f)
@@ -78,7 +78,7 @@ def test_sequence_ids_hot_group_spreads_over_partitions(spark):
     # A third of the rows in one group: the per-(group, partition) offsets keep it exact.
     rows = [("hot" if i % 3 == 0 else f"g{i % 17}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, i int")
-    out = sequence_ids(df, ["i"], group_cols=["g"], out="n", num_partitions=12)
+    out = sequence_ids(df, [id_block("i", 100), "i"], group_cols=["g"], out="n")
     hot = sorted((r.n, r.i) for r in out.where(F.col("g") == "hot").collect())
     assert hot == list(zip(range(1, 1001), range(0, 3000, 3)))
 
