@@ -23,6 +23,8 @@ zero. A null conversation id is a conversation. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,18 +51,21 @@ def _pointers(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     state = messages.alias("m").join(
         known.alias("p"), F.col("m.conv").eqNullSafe(F.col("p.conv")) & (F.col("m.parent") == F.col("p.node")), "left")
     state = materialize(state.select("m.conv", "m.node", F.col("p.node").alias("up"), "m.score", F.lit(1).cast("long").alias("depth")))
-    jumps, open_rows = [], state.where("up is not null").count()
+    # Only messages that have not reached a root are joined again; the finished ones stay as they were written.
+    done, still = [state.where("up is null")], state.where("up is not null")
+    jumps, open_rows = [], still.count()
     while open_rows:
-        jumps.append(state.where("up is not null").select("conv", "node", "up"))
-        a, b = state.alias("a"), state.alias("b")
+        jumps.append(still.select("conv", "node", "up"))
+        a, b = still.alias("a"), reduce(DataFrame.unionByName, [*done, still]).alias("b")
         state = materialize(a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.up") == F.col("b.node")), "left").select(
             "a.conv", "a.node", "b.up", (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"),
             (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth")))
-        now = state.where("up is not null").count()
-        if now == open_rows:                                  # only cycles are left
+        done.append(state.where("up is null"))
+        still, before = state.where("up is not null"), open_rows
+        open_rows = still.count()
+        if open_rows == before:                               # only cycles are left
             break
-        open_rows = now
-    return state.where("up is null").drop("up"), jumps
+    return reduce(DataFrame.unionByName, done).drop("up"), jumps
 
 
 def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
