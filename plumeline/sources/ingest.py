@@ -51,8 +51,8 @@ def load_battery_files(spark: SparkSession, paths, table: str = TABLE_FACILITIES
         loaded = spark.table(table).select("source_file").distinct()
         names = battery_files(spark, paths).select("source_file").distinct()
         skipped = sorted(r[0] for r in names.join(loaded, "source_file", "left_semi").collect())     # names of this load
-        rows = rows.join(loaded, "source_file", "left_anti")
-        rejects = rejects.join(loaded, "source_file", "left_anti")
+        # Named now: read lazily, the table would already hold this load's own files.
+        rows, rejects = (df.where(~F.col("source_file").isin(skipped)) for df in (rows, rejects))
     res = append_by_name(rows, table)
     if rejects_path:
         rejects.withColumn("rejected_at", F.current_timestamp()).write.mode("append").parquet(rejects_path)
