@@ -95,13 +95,32 @@ def null_audit(df: DataFrame, table: str, lat: str = "latitude", lon: str = "lon
         F.lit(table).alias("table_name"), "*")
 
 
+def duplicate_ids(df: DataFrame, col: str = "row_id") -> DataFrame:
+    """One row (n, dups): rows, and rows beyond the first of each id (NULL ids all count as duplicates)."""
+    extra = F.when(F.col(col).isNull(), F.col("n")).otherwise(F.col("n") - 1)
+    per_id = df.groupBy(col).agg(_n().alias("n"))
+    return per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(extra), F.lit(0)).alias("dups"))
+
+
+def duplicate_keys(df: DataFrame, keys) -> DataFrame:
+    """One row (dups): rows beyond the first of each key.
+
+    Rows are counted by a 64-bit hash of the key first; only rows of hashes that occur more than once are
+    grouped by the key itself, so a hash collision is not taken for a duplicate.
+    """
+    hashed = df.select(*keys).withColumn("_h", F.xxhash64(*keys))
+    several = hashed.groupBy("_h").agg(_n().alias("_n")).where("_n > 1").select("_h")
+    exact = hashed.join(several, "_h", "left_semi").groupBy(*keys).agg(_n().alias("n"))
+    return exact.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dups"))
+
+
 def duplicate_audit(pix: DataFrame, key_cols=("file_path", "scanline", "ground_pixel")) -> DataFrame:
     """``count(*) - count(distinct row_id)`` (NULL ids count as duplicates), plus the same on
-    the natural key, which catches a reloaded file that got fresh ids."""
-    return pix.agg(
-        _n().alias("total_rows"),
-        (_n() - F.count_distinct("row_id")).alias("duplicate_row_ids"),
-        (_n() - F.count_distinct(F.struct(*key_cols))).alias("duplicate_natural_keys"))
+    the natural key, which catches a reloaded file that got fresh ids. One plain aggregate per key,
+    no expansion of the rows."""
+    natural = duplicate_keys(pix, list(key_cols)).scalar()
+    return duplicate_ids(pix).select(F.col("n").alias("total_rows"), F.col("dups").alias("duplicate_row_ids"),
+                                     natural.alias("duplicate_natural_keys"))
 
 
 def pixel_centres(pix: DataFrame, step_digits: int = 1) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumeline.functions.numeric import round_n
 from plumeline.model import (AUDIT_AVG_CH4_MAX, AUDIT_AVG_CH4_MIN, AUDIT_AVG_QA_MIN, AUDIT_MIN_ORBITS,
                              AUDIT_MIN_ROWS, BBOX, CITY_LAT, CITY_LON, CITY_RADIUS_M, FACILITY_BUFFER_M)
-from plumeline.operators.aggregates import pixels_near_facilities
+from plumeline.operators.aggregates import duplicate_ids, pixels_near_facilities
 from plumeline.operators.spatial import within_radius
 
 
@@ -42,8 +42,8 @@ def audit_pixels(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFF
         round_n(F.min("longitude"), 2).alias("min_lon"), round_n(F.max("longitude"), 2).alias("max_lon"),
         round_n(F.avg("qa_value"), 3).alias("avg_qa"),
         F.avg("ch4_column").alias("avg_ch4"),
-        F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_loc"),
-        (_n() - F.count_distinct("row_id")).alias("dups"))
+        F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_loc"))
+    m = m.withColumn("dups", duplicate_ids(pix).select("dups").scalar())
     near = pixels_near_facilities(pix, fac, radius_m).agg(_n().alias("near")).scalar()
     m = m.withColumn("near", near)
     n = F.col("n")
