@@ -12,7 +12,6 @@ tables give empty tables; each operator's docstring has its own cases.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumeline.llm.runtime import materialize, table
 
@@ -33,13 +32,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every passage of 13 words or more that a document with a smaller id has; no document is dropped."""
-    from plumeline.llm.substring import remove_repeats
+    from plumeline.llm.substring import cut_repeats
 
-    cut = remove_repeats(docs, window=13)
-    if "n_chars" in docs.columns:                              # the column describes the text that is left
-        cut = cut.withColumn("n_chars", F.when(F.col("repeats.n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return cut.drop("repeats")
+    return cut_repeats(docs, window=13)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -319,3 +319,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     done = joined.mapInArrow(lambda it: _remove(it, id_at, text_at, len(columns), window), out)
     return done.select(*[F.col(c).alias(name) for c, name in zip(inner, columns)],
                        F.struct("n_words", "n_removed", "span_starts", "span_ends").alias("repeats"))
+
+
+def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars",
+                **options) -> DataFrame:
+    """``docs`` with repeated passages cut, columns as they were; ``length_col`` (if there) follows the new text."""
+    columns = docs.columns
+    rows = docs.toDF(*[f"d{i}" for i in range(len(columns))])
+    id_at, text_at = (f"d{columns.index(c)}" for c in (id_col, text_col))
+    cut = remove_repeats(rows, id_col=id_at, text_col=text_at, **options)
+    if length_col in columns:
+        length = f"d{columns.index(length_col)}"
+        cut = cut.withColumn(length, F.when(F.col("repeats.n_removed") > 0, F.char_length(text_at).cast(rows.schema[length].dataType))
+                             .otherwise(F.col(length)))
+    return cut.drop("repeats").toDF(*columns)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                      T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 #: Names that the operators use inside; none may clash with a column of the input.
-CLASHES = ["id", "key", "th", "fp", "hits", "found", "n_words", "n_removed", "items", "bucket", "size", "g", "low", "toxic", "c0", "d1", "slot"]
+CLASHES = ["id", "key", "th", "fp", "hits", "found", "n_words", "n_removed", "items", "bucket", "size", "g", "low", "toxic", "c0", "d1", "slot", "repeats", "benchmark_hits", "quality_scores", "chunk"]
 
 
 def words(rng: random.Random, n: int) -> str:

@@ -184,9 +184,9 @@ def test_pipeline_stages_follow_their_operators(spark):
     assert {r["doc_id"] for r in five.select("doc_id").distinct().collect()} == {r[0] for r in rows(four)}
 
 
-def test_pipeline_runs_on_odd_and_empty_tables(spark, scratch, docs, empty):
+def test_pipeline_runs_on_odd_and_empty_tables(spark, scratch, docs, wide, empty):
     base = f"{scratch}/sf"
-    for name, df in (("documents", docs), ("labels", spark.createDataFrame([], "doc_id long, quality int, toxic int")),
+    for name, df in (("documents", wide), ("labels", spark.createDataFrame([], "doc_id long, quality int, toxic int")),
                      ("benchmark", spark.createDataFrame([], "item_id long, text string"))):
         df.write.parquet(f"{base}/{name}.parquet")
     assert corpus_pipeline.run(spark, base).count() > 0

@@ -145,9 +145,11 @@ def test_substring_dedup_matches_brute_force(docs, rows, window, slice_bytes, bu
     assert have == sorted(removed(rows, window))
 
 
-def test_substring_dedup_keeps_columns_and_untouched_texts(wide, rows):
-    out = substring.remove_repeats(wide)
-    assert out.columns == [*wide.columns, "repeats"]
+def test_substring_dedup_keeps_columns_and_untouched_texts(docs, wide, rows):
+    cut = substring.cut_repeats(wide)
+    assert cut.dtypes == wide.dtypes and cut.count() == len(rows)
+    out = substring.remove_repeats(docs)
+    assert out.columns == [*docs.columns, "repeats"]
     same = {(r[0], r[1]) for r in rows}
     for r in out.collect():
         if not r["repeats"]["n_removed"]:
