@@ -195,7 +195,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     linked = roots.join(nodes, roots["node"] == nodes["fp"]).select("fp", "root", "least")
     first = linked.groupBy("root").agg(F.min("least").alias("group_least"))
     linked = linked.join(first, "root").select("fp", "group_least")
-    known = nodes.join(linked, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("least"))
+    # Written, so that the last join has a plain shuffle on both sides and a hot fingerprint can be split.
+    known = materialize(nodes.join(linked, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("least")))
     return rows.join(known, "fp").select("id", "th", "fp", F.col("least.id").alias("first_id"), F.col("least.th").alias("first_th"))
 
 
