@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # the deployment; ``shuffle_partitions`` only matters for local runs and tests.
 _BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",   # written intermediate tables go with their last use
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
