@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumeline.llm.runtime import shuffle_partitions, text_bytes, with_package
-from plumeline.llm.textkernels import (SPACE_WORDS, gaps, pack, rows_of, slices, span_hashes, string_buffers, ungaps,
+from plumeline.llm.textkernels import (SPACE_WORDS, gaps, pack, release_memory, rows_of, slices, span_hashes, string_buffers, ungaps,
                                        unpack, window_hashes, window_starts, word_spans)
 
 NO_ID = (1 << 63) - 1
@@ -175,7 +175,7 @@ def _entries(payloads):
         t = np.repeat(np.arange(len(k)), count)
         keys.append(k.astype(np.int64))
         pos.append((ungaps(at) - ungaps(base)[t]).astype(np.int32))
-        text.append(t + n_texts)
+        text.append((t + n_texts).astype(np.int32))
         n_texts += len(k)
         if rest[0].dtype == np.uint32:
             values.append(rest[0])
@@ -193,6 +193,7 @@ def _meet(found: pa.Table, n_parts: int) -> pa.Table:
     if found.column("bucket")[0].as_py() < 0:
         return _replies(*(np.concatenate(x) for x in zip(*(unpack(p) for p in payloads))), n_parts)
     keys, ids, text, pos, values, flags = _entries(payloads)
+    del payloads
     order = np.argsort(values, kind="stable")
     v = values[order]
     lead = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
@@ -206,7 +207,10 @@ def _meet(found: pa.Table, n_parts: int) -> pa.Table:
     chosen = np.sort(order[hit])
     cuts = _by_text(text[chosen])
     texts = text[chosen][cuts[:-1]] if len(chosen) else np.zeros(0, np.int64)
-    return _replies(keys[texts], ids[texts], np.diff(cuts), pos[chosen], n_parts)
+    replies = _replies(keys[texts], ids[texts], np.diff(cuts), pos[chosen], n_parts)
+    del order, v, lead, size, hit, text, pos, values, flags
+    release_memory()
+    return replies
 
 
 def _positions(value) -> np.ndarray:
@@ -285,7 +289,7 @@ def _remove(batches, id_at: int, text_at: int, n_columns: int, window: int) -> I
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
-                   bucket_words: int = 3_000_000, slice_bytes: int = 8 << 20) -> DataFrame:
+                   bucket_words: int = 3_000_000, slice_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` with repeated passages cut from the text, and a struct ``repeats``.
 
     ``repeats`` holds n_words and n_removed of the input text and the removed word spans.

@@ -7,12 +7,14 @@ one word), not by the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 18                       # bytes of text hashed at a time
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,6 +63,13 @@ def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.n
     return raw, offsets - offsets[0]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on and serve later stages."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(batches, column: int, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows holding about ``limit`` bytes of text (one row at least)."""
     for batch in batches:
@@ -74,6 +83,7 @@ def slices(batches, column: int, limit: int = 1 << 22) -> Iterator[pa.RecordBatc
             j = min(max(j, i + 1), n)
             yield batch.slice(i, j - i)
             i = j
+        release_memory()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
