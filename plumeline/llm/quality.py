@@ -14,7 +14,7 @@ rows kept out of the fit, and a small logistic combination of the calibrated log
 both) gives the probability.
 
 Fitting uses a bounded sample: about ``max_labelled`` labelled and ``max_pool`` unlabelled documents (by a hash of
-their id); words found in a single document of a task's sample are not considered as features. Scoring
+their id); word features of fewer than four labelled documents of the whole sample are not considered. Scoring
 covers every document and its whole text, in one pass without a shuffle.
 
 Defined results: a null text is scored as the empty text. Missing metadata columns, null values and
@@ -322,8 +322,7 @@ def _feature_counts(batches) -> Iterator[pa.RecordBatch]:
         h, c = h[order], c[order]
         start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         h, c = h[start], np.add.reduceat(c, start, axis=0)
-        often = c[:, :2].sum(axis=1) + c[:, 2:].sum(axis=1) > 2
-        yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), *[pa.array(c[often, i]) for i in range(4)]], ["h", "l0", "l1", "t0", "t1"])
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *[pa.array(c[:, i]) for i in range(4)]], ["h", "l0", "l1", "t0", "t1"])
 
 
 def _extract(batches, keys: np.ndarray) -> Iterator[pa.RecordBatch]:

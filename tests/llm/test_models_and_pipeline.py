@@ -80,6 +80,21 @@ def test_unlabelled_documents_are_judged_right(judged):
     assert all(r["keep"] == (r["low"] < 0.5 and r["toxic"] < 0.5) for r in out.values())
 
 
+def test_fitted_features_do_not_depend_on_the_partitions(spark, judged):
+    docs, labels, _ = judged
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before, found = [spark.conf.get(n) for n in names], []
+    try:
+        spark.conf.set(names[1], "false")
+        for n in (1, 200):                                       # the sample comes out of a join with n partitions
+            spark.conf.set(names[0], str(n))
+            found.append(quality.fit(docs.repartition(n), labels).keys.tolist())
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert found[0] and found[0] == found[1]
+
+
 def test_quality_edge_cases(spark, judged, wide, empty):
     docs, labels, _ = judged
     model = quality.fit(docs, labels)
