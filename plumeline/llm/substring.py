@@ -15,7 +15,7 @@ input texts.
 
 Before each shuffle a task keeps one entry per hash for a run of texts and answers the others itself,
 so a passage that occurs in a third of all documents is sent once per run, not once per
-document. Texts are shuffled once, by a document key, and read again for steps 2 and 3.
+document (once per text if these documents share one id that no smaller one of the run precedes). Texts are shuffled once, by a document key, and read again for steps 2 and 3.
 At cluster scale ``bucket_words`` sets a bucket's memory (about 60 bytes a word) and ``slice_bytes`` the
 texts a task packs together; buckets per slice should stay well below its number of words.
 
@@ -66,7 +66,7 @@ def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int)
 
     ``at`` ascending word positions, ``rows`` their texts, ``flags`` (reference block?) or None.
     With flags an entry is answered here if two texts of the slice share its hash; without, if a
-    text with a smaller id does.
+    text with a smaller id does. Texts that tie for the smallest id are all sent, one entry for each key.
     """
     order = np.argsort(hashes, kind="stable")
     sorted_h = hashes[order]
@@ -76,13 +76,16 @@ def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int)
     least = np.minimum.reduceat(ident, lead) if len(lead) else lead
     if flags is None:
         done = ident > np.repeat(least, size)
-        pick = np.where(done, len(at), order)                                 # a text that has the smallest id
-        rep = np.minimum.reduceat(pick, lead) if len(lead) else lead
+        tied = np.flatnonzero(~done)                                          # the texts that have the smallest id
+        tied = tied[np.lexsort((order[tied], keys[rows[order[tied]]], sorted_h[tied]))]
+        own, key = sorted_h[tied], keys[rows[order[tied]]]
+        tied = tied[np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])])] if len(tied) else tied
+        rep, value = order[tied], sorted_h[tied]
     else:
         text = rows[order]
         several = (np.minimum.reduceat(text, lead) < np.maximum.reduceat(text, lead)) if len(lead) else lead > 0
         done = np.repeat(several, size)
-        rep = np.minimum.reduceat(order, lead) if len(lead) else lead
+        rep, value = np.minimum.reduceat(order, lead) if len(lead) else lead, sorted_h[lead]
         flag = np.logical_or.reduceat(flags[order], lead) if len(lead) else lead > 0
     solved = np.sort(order[done])
     if len(solved):
@@ -93,7 +96,7 @@ def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int)
     if not len(rep):
         return
     by_place = np.argsort(rep, kind="stable")
-    rep, value = rep[by_place], sorted_h[lead][by_place]
+    rep, value = rep[by_place], value[by_place]
     bucket = ((value >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
     turn = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[turn], np.arange(n_buckets + 1))

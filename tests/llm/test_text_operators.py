@@ -1,6 +1,7 @@
 """SimHash near-dedup, substring dedup and decontamination against brute force on whole small corpora."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -9,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from plumeline.llm import decontam, simhash, substring
+from tests.llm.conftest import words
 
 SPACED, ALNUM = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BIG = (1 << 63) - 1
@@ -145,6 +147,16 @@ def test_substring_dedup_matches_brute_force(docs, rows, window, slice_bytes, bu
     assert have == sorted(removed(rows, window))
 
 
+def test_substring_dedup_answers_all_texts_that_share_the_smallest_id_of_a_slice(spark):
+    rng = random.Random(4)
+    passage = words(rng, 30)
+    rows = [(1, words(rng, 5) + " " + passage)]
+    rows += [(i, f"{words(rng, 6)} {passage} {words(rng, 6)}") for i in [None, 9] for _ in range(20)]
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), slice_bytes=1500).collect()
+    have = sorted((BIG if r["doc_id"] is None else r["doc_id"], r["repeats"]["n_words"], r["repeats"]["n_removed"], r["text"].split()) for r in got)
+    assert have == sorted(removed(rows))
+
+
 def test_substring_dedup_keeps_columns_and_untouched_texts(docs, wide, rows):
     cut = substring.cut_repeats(wide)
     assert cut.dtypes == wide.dtypes and cut.count() == len(rows)
