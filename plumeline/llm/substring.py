@@ -15,7 +15,8 @@ input texts.
 
 Before each shuffle a task keeps one entry per hash for a run of texts and answers the others itself,
 so a passage that occurs in a third of all documents is sent once per run, not once per
-document (once per text if these documents share one id that no smaller one of the run precedes). Texts are shuffled once, by a document key, and read again for steps 2 and 3.
+document (once per text if these documents share one id that no smaller one of the run precedes). The entries
+answered in a run go as a whole to one of as many groups as there are buckets, evenly over all runs. Texts are shuffled once, by a document key, and read again for steps 2 and 3.
 At cluster scale ``bucket_words`` sets a bucket's memory (about 60 bytes a word) and ``slice_bytes`` the
 texts a task packs together; buckets per slice should stay well below its number of words.
 
@@ -26,10 +27,12 @@ never remove each other's words. Extra columns of ``docs`` pass through unchange
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +70,7 @@ def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int)
     ``at`` ascending word positions, ``rows`` their texts, ``flags`` (reference block?) or None.
     With flags an entry is answered here if two texts of the slice share its hash; without, if a
     text with a smaller id does. Texts that tie for the smallest id are all sent, one entry for each key.
+    ``seq`` sets the group of the entries answered here.
     """
     order = np.argsort(hashes, kind="stable")
     sorted_h = hashes[order]
@@ -123,9 +127,17 @@ def _key_and_id(batch: pa.RecordBatch, key_at: int, id_at: int) -> tuple[np.ndar
     return batch.column(key_at).to_numpy(), batch.column(id_at).cast(pa.int64()).fill_null(NO_ID).to_numpy()
 
 
+def _turns() -> Iterator[int]:
+    """A number for each slice, spread evenly over the slices of all tasks (the same when a task runs again)."""
+    context = TaskContext.get()
+    task = context.partitionId() if context else 0
+    for i in itertools.count():
+        yield ((task * 0x9E3779B97F4A7C15 + i * 0xD1B54A32D192ED03) & ((1 << 64) - 1)) >> 33
+
+
 def _probe(batches, window: int, block: int, n_buckets: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
     """(key, id, text) -> packs of rolling block windows."""
-    for seq, batch in enumerate(slices(batches, 2, slice_bytes)):
+    for seq, batch in zip(_turns(), slices(batches, 2, slice_bytes)):
         keys, ids = _key_and_id(batch, 0, 1)
         *_, first, words = _words(batch.column(2))
         h = window_hashes(words, block)
@@ -223,7 +235,7 @@ def _positions(value) -> np.ndarray:
 def _extend(batches, id_at: int, text_at: int, n_columns: int, window: int, block: int, n_buckets: int,
             slice_bytes: int) -> Iterator[pa.RecordBatch]:
     """(columns, key, hits) -> packs of the full windows around hits."""
-    for seq, batch in enumerate(slices(batches, text_at, slice_bytes)):
+    for seq, batch in zip(_turns(), slices(batches, text_at, slice_bytes)):
         keys, ids = _key_and_id(batch, n_columns, id_at)
         *_, first, words = _words(batch.column(text_at))
         short, whole = window_hashes(words, block), window_hashes(words, window, seed=1)
@@ -301,14 +313,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     block, columns = (window + 1) // 2, docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     id_at, text_at = columns.index(id_col), columns.index(text_col)
-    n_buckets = max(-(-text_bytes(docs, text_col) // (6 * bucket_words)), shuffle_partitions(spark), 1)
+    n_bytes = text_bytes(docs, text_col)
+    n_buckets = max(-(-n_bytes // (6 * bucket_words)), shuffle_partitions(spark), 1)
+    n_parts = max(-(-n_bytes // (24 * bucket_words)), shuffle_partitions(spark), 1)    # an answer takes a quarter of a bucket's entry
     fields = list(rows.schema.fields)
     doc_id, text = F.col(f"c{id_at}"), F.col(f"c{text_at}")
     rows = rows.withColumn("key", F.xxhash64(F.coalesce(doc_id.cast("long"), F.lit(NO_ID)), text).bitwiseAND(F.lit(_KEY)))
     placed = rows.repartition(shuffle_partitions(spark), "key")
     inner = [f"c{i}" for i in range(len(columns))]
 
-    packs, found, n_parts = "bucket int, payload binary", "key long, found array<struct<id:long,pos:binary>>", shuffle_partitions(spark)
+    packs, found = "bucket int, payload binary", "key long, found array<struct<id:long,pos:binary>>"
 
     def answers(entries: DataFrame) -> DataFrame:
         replies = entries.groupBy("bucket").applyInArrow(lambda t: _meet(t, n_parts), packs)
