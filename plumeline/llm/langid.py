@@ -6,6 +6,9 @@ Nyström landmarks L give each text the features K(x, L); a one-versus-rest kern
 them is solved in closed form on a bounded sample. A batch of texts is scored with two matrix products:
 (presence x landmarks) and (features x weights).
 
+A set of hashed n-grams fills up with the length of a text, so a text of more than ``_PIECE`` bytes is cut into
+equal pieces that together hold every n-gram of it. Its margins are the means of the pieces' margins.
+
 Fitting takes at most ``per_label`` labelled rows of each label (those with the smallest hash of their id),
 ``landmarks`` of them as landmarks; their presence bits go to the driver (2^bits / 8 bytes a row). At most
 ``max_labels`` labels are learned, the most frequent ones. Every text is scored whole.
@@ -29,6 +32,7 @@ from plumeline.llm.runtime import with_package
 from plumeline.llm.textkernels import LOWER, slices, string_buffers
 
 _MIX = np.uint32(0x9E3779B1)
+_PIECE = 1 << 13
 
 
 def presence(column: pa.Array, bits: int, max_n: int) -> np.ndarray:
@@ -47,9 +51,27 @@ def presence(column: pa.Array, bits: int, max_n: int) -> np.ndarray:
     return out
 
 
+def pieces(column: pa.Array, max_n: int, size: int = _PIECE) -> tuple[pa.Array, np.ndarray]:
+    """Equal pieces of about ``size`` bytes at most that hold all n-grams of each text, and their number per text."""
+    data, offsets = string_buffers(column)
+    n = np.diff(offsets).astype(np.int64)
+    count = np.maximum(-(-n // size), 1)
+    first = np.cumsum(count) - count
+    row = np.repeat(np.arange(len(n)), count)
+    k = np.arange(len(row)) - first[row]
+    start = offsets[:-1][row] + n[row] * k // count[row]
+    end = np.minimum(offsets[:-1][row] + n[row] * (k + 1) // count[row] + max_n - 1, offsets[1:][row])
+    raw = b"".join(data[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist()))
+    places = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(row), pa.py_buffer(places), pa.py_buffer(raw)), count
+
+
 def _packed(batches, bits: int, max_n: int) -> Iterator[pa.RecordBatch]:
+    """(label, text) -> label and presence bits; of a long text those of its middle piece."""
     for batch in slices(batches, 1, 1 << 20):
-        sets = np.packbits(presence(batch.column(1), bits, max_n), axis=1)
+        parts, count = pieces(batch.column(1), max_n)
+        middle = parts.take(pa.array(np.cumsum(count) - count + count // 2))
+        sets = np.packbits(presence(middle, bits, max_n), axis=1)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["label", "grams"])
 
 
@@ -116,7 +138,9 @@ def _predict(batches, model: StringKernelModel | None, text_at: int) -> Iterator
         column = batch.column(text_at)
         names, score = ["und"] * len(column), np.zeros(len(column))
         if model is not None:
-            f = np.concatenate([model.scores(presence(column.slice(i, 256), model.bits, model.max_n)) for i in range(0, len(column), 256)])
+            parts, count = pieces(column, model.max_n)
+            f = np.concatenate([model.scores(presence(parts.slice(i, 256), model.bits, model.max_n)) for i in range(0, len(parts), 256)])
+            f = np.add.reduceat(f, np.cumsum(count) - count, axis=0) / count[:, None]
             e = np.exp(4 * (f - f.max(axis=1, keepdims=True)))
             best, share = f.argmax(axis=1), e.max(axis=1) / e.sum(axis=1)
             for r, text in enumerate(column.to_pylist()):

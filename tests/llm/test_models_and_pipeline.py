@@ -36,6 +36,17 @@ def test_held_out_language_accuracy(spark):
     assert docs.score.between(0, 1).all()
 
 
+def test_long_held_out_texts_keep_their_language(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents").where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.fit(docs.where(~held), id_col="doc_id", text_col="text", label_col="lang")
+    texts = docs.where(held).toPandas().groupby("lang").text.agg(lambda x: (" ".join(x) * 3)[:3_000_000])
+    assert len(texts) == 4 and texts.map(len).min() > 1_000_000
+    rows = [(lang, text[:n]) for lang, text in texts.items() for n in (1_000, 100_000, 1_000_000, 3_000_000)]
+    out = langid.predict(spark.createDataFrame(rows, "lang string, text string"), model).select("lang", "language.lang_pred").collect()
+    assert len(out) == 16 and all(r["lang"] == r["lang_pred"] for r in out)
+
+
 def test_language_edge_cases(spark, wide, empty):
     model = langid.fit(wide.where("lang is not null"), id_col="doc_id", text_col="text", label_col="lang")
     out = langid.predict(wide, model)
