@@ -9,9 +9,9 @@ them is solved in closed form on a bounded sample. A batch of texts is scored wi
 A set of hashed n-grams fills up with the length of a text, so a text of more than ``_PIECE`` bytes is cut into
 equal pieces that together hold every n-gram of it. Its margins are the means of the pieces' margins.
 
-Fitting takes at most ``per_label`` labelled rows of each label (those with the smallest hash of their id),
-``landmarks`` of them as landmarks; their presence bits go to the driver (2^bits / 8 bytes a row). At most
-``max_labels`` labels are learned, the most frequent ones. Every text is scored whole.
+Fitting takes about ``per_label`` labelled rows of each label (those with the smallest hash of their id and text,
+one at least) and ``landmarks`` of them all, at least ``label_landmarks`` of each label, as landmarks; their presence
+bits go to the driver (2^bits / 8 bytes a row). Every label is learned. Every text is scored whole.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. With no labelled row at all
 every text is ``und``. Rows without a label, and held-out rows, are not used for fitting. Other columns are
@@ -90,47 +90,56 @@ class StringKernelModel:
         return k @ self.weights[:-1] + self.weights[-1]
 
 
-def _fit(labels: list[str], y: np.ndarray, sets: np.ndarray, n_landmarks: int, ridge: float, bits: int, max_n: int) -> StringKernelModel:
+def _fit(labels: list[str], y: np.ndarray, sets: np.ndarray, n_landmarks: int, ridge: float, bits: int, max_n: int,
+         label_landmarks: int = 4) -> StringKernelModel:
+    """``sets``: packed presence bits."""
     take = np.unique(np.linspace(0, len(y) - 1, min(n_landmarks, len(y))).astype(int))
-    marks = sets[take].astype(np.float32)
+    by_label = np.argsort(y, kind="stable")
+    rank = np.empty(len(y), np.int64)
+    rank[by_label] = np.arange(len(y)) - np.searchsorted(y[by_label], y[by_label])
+    lacking = np.bincount(y[take], minlength=len(labels)) < label_landmarks
+    take = np.union1d(take, np.flatnonzero(lacking[y] & (rank < label_landmarks)))
+    marks = np.unpackbits(sets[take], axis=1).astype(np.float32)
     marks /= np.sqrt(np.maximum(marks.sum(axis=1), 1))[:, None]
     model = StringKernelModel(labels, np.ascontiguousarray(marks.T), np.zeros((len(take) + 1, len(labels))), bits, max_n)
-    k = np.concatenate([model.features(sets[i:i + 512]) for i in range(0, len(sets), 512)]).astype(np.float64)
-    target = np.where(y[:, None] == np.arange(len(labels)), 1.0, -1.0)
     # Nyström ridge: minimise |K w + b - t|^2 + ridge w' K_LL w, each label's rows with equal total weight.
     weight = 1.0 / np.bincount(y, minlength=len(labels))[y]
     k_ll = (marks @ marks.T).astype(np.float64)
-    design = np.hstack([k, np.ones((len(k), 1))])
-    penalty = np.zeros((len(take) + 1,) * 2)
-    penalty[:-1, :-1] = ridge * k_ll + 1e-8 * np.eye(len(take))
-    left = design.T @ (design * weight[:, None]) + penalty
-    model.weights = np.linalg.lstsq(left, design.T @ (target * weight[:, None]), rcond=None)[0].astype(np.float32)
+    left, right = np.zeros((len(take) + 1,) * 2), np.zeros((len(take) + 1, len(labels)))
+    left[:-1, :-1] = ridge * k_ll + 1e-8 * np.eye(len(take))
+    for i in range(0, len(sets), 512):
+        k = model.features(np.unpackbits(sets[i:i + 512], axis=1)).astype(np.float64)
+        design = np.hstack([k, np.ones((len(k), 1))])
+        target = np.where(y[i:i + 512, None] == np.arange(len(labels)), 1.0, -1.0)
+        left += design.T @ (design * weight[i:i + 512, None])
+        right += design.T @ (target * weight[i:i + 512, None])
+    model.weights = np.linalg.lstsq(left, right, rcond=None)[0].astype(np.float32)
     model.landmarks = model.landmarks.astype(np.float32)
     return model
 
 
 def fit(labelled: DataFrame, *, id_col: str, text_col: str, label_col: str, per_label: int = 800, landmarks: int = 192,
-        ridge: float = 1e-3, bits: int = 12, max_n: int = 4, max_labels: int = 64) -> StringKernelModel | None:
+        ridge: float = 1e-3, bits: int = 12, max_n: int = 4, label_landmarks: int = 4) -> StringKernelModel | None:
     """Fit on a bounded sample of the labelled rows; None if there are none."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    counts = rows.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    counts = [(r["label"], r["n"]) for r in counts.orderBy(F.desc("n"), "label").limit(max_labels).collect()]
-    if not counts:
-        return None
-    # Rows whose id hash lies under a label's share of the hash range: about ``per_label`` each, no sort of a label.
-    place = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40))
-    share = F.coalesce(*[F.when(F.col(label_col) == name, F.lit(min(1 << 40, (1 << 40) * per_label // n))) for name, n in counts])
-    sample = rows.where(place < share).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"))
+    # Rows whose hash lies under a label's share of the hash range: about ``per_label`` each and one at least, no sort of a label.
+    rows = rows.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"),
+                       F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(1 << 40)).alias("place"))
+    counts = rows.groupBy(F.col("label").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
+    share = F.greatest(F.floor(F.lit(1 << 40) / F.col("n") * per_label), F.col("least") + 1)
+    counts = counts.select("name", share.alias("share"))
+    sample = rows.join(F.broadcast(counts), F.col("label") == F.col("name")).where("place < share").select("label", "text")
     sample = sample.mapInArrow(lambda it: _packed(it, bits, max_n), "label string, grams binary")
-    got = sorted((r["label"], bytes(r["grams"])) for r in sample.limit(4 * per_label * len(counts)).collect())
+    got = sorted((r["label"], bytes(r["grams"])) for r in sample.distinct().collect())
     if not got:
         return None
     order = np.random.Generator(np.random.PCG64(1)).permutation(len(got))
     got = [got[i] for i in order]
     labels = sorted({x for x, _ in got})
-    y = np.array([labels.index(x) for x, _ in got])
-    sets = np.unpackbits(np.frombuffer(b"".join(g for _, g in got), np.uint8).reshape(len(got), -1), axis=1)
-    return _fit(labels, y, sets, landmarks, ridge, bits, max_n)
+    number = {x: i for i, x in enumerate(labels)}
+    y = np.array([number[x] for x, _ in got])
+    sets = np.frombuffer(b"".join(g for _, g in got), np.uint8).reshape(len(got), -1)
+    return _fit(labels, y, sets, landmarks, ridge, bits, max_n, label_landmarks)
 
 
 def _predict(batches, model: StringKernelModel | None, text_at: int) -> Iterator[pa.RecordBatch]:

@@ -47,6 +47,18 @@ def test_long_held_out_texts_keep_their_language(spark):
     assert len(out) == 16 and all(r["lang"] == r["lang_pred"] for r in out)
 
 
+def test_every_label_is_learned(spark):
+    rng = random.Random(8)
+    letters = [rng.sample("abcdefghijklmnopqrstuvwxyz", 4) for _ in range(90)]
+    rows = [(i * 20 + j, f"l{i:02}", " ".join("".join(rng.choices(own, k=5)) for _ in range(30)))
+            for i, own in enumerate(letters) for j in range(8 if i % 2 else 6)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(df, id_col="doc_id", text_col="text", label_col="lang", per_label=4)
+    assert model.labels == [f"l{i:02}" for i in range(90)]
+    out = langid.predict(df, model).select("lang", "language.lang_pred").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.9
+
+
 def test_language_edge_cases(spark, wide, empty):
     model = langid.fit(wide.where("lang is not null"), id_col="doc_id", text_col="text", label_col="lang")
     out = langid.predict(wide, model)
