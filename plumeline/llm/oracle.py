@@ -95,9 +95,42 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+occ AS (SELECT lang, source, doc, unnest(w) AS t FROM d),
+kept AS (SELECT lang, t FROM occ GROUP BY lang, t HAVING count(DISTINCT doc) >= 30),
+counts AS (SELECT lang, source, t, count(*) AS n FROM occ SEMI JOIN kept USING (lang, t) GROUP BY lang, source, t),
+groups AS (SELECT DISTINCT lang, source FROM d),
+dense AS (
+  SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, t)),
+sized AS (SELECT lang, source, t, n, sum(n) OVER (PARTITION BY lang, source) AS big, count(*) OVER (PARTITION BY lang, source) AS v FROM dense),
+own AS (
+  SELECT lang, source, t, n, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (CAST(big AS HUGEINT) + 5 * v) AS BIGINT) AS p FROM sized),
+lang_n AS (SELECT lang, t, sum(n) AS n FROM dense GROUP BY lang, t),
+lang_sized AS (SELECT lang, t, n, sum(n) OVER (PARTITION BY lang) AS big, count(*) OVER (PARTITION BY lang) AS v FROM lang_n),
+lang_p AS (SELECT lang, t, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (CAST(big AS HUGEINT) + 5 * v) AS BIGINT) AS q FROM lang_sized),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM own a JOIN own b USING (lang, t) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, t AS item, p - q AS value FROM own JOIN lang_p USING (lang, t) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": OP1,
     "op4_substring_dedup": OP4,
     "op6_document_fingerprints": OP6,
     "op8_benchmark_decontamination": OP8,
+    "op13_source_divergence": OP13,
 }
