@@ -4,11 +4,12 @@ If no piece of a model has a whitespace marker after another character, merges n
 character to a marker. A marked text (dummy marker in front, every space a marker) can then be cut before each run
 of markers, and each chunk, markers and word, is segmented on its own.
 
-1. Cut. Each task cuts runs of about ``slice_bytes`` of texts into chunks, numbers the distinct chunks of a run and
-   keeps, per run, the texts as lists of these numbers. A run sends each of its distinct chunks once, packed by hash
-   bucket; the packed numbers travel beside them.
+1. Ask. Each task cuts runs of about ``slice_bytes`` of texts into chunks, numbers the distinct chunks of a run and
+   sends each of them once, packed by hash bucket.
 2. Segment. A bucket meets the requests of all runs and segments each distinct chunk once with the library.
-3. Join back. The answers of a run meet its numbers; ids are put together by position and decoded by the library.
+3. Join back. The runs are read once more as lists of chunk numbers, which meet the answers; ids are put together by
+   position and decoded by the library. Reading twice costs less disk than sending the numbers through the buckets;
+   a run whose content differs between the two reads (an input that is not repeatable) stops the job.
 
 No run, bucket or answer grows with the number of documents: buckets are counted from the bytes of all texts, a chunk
 that every text holds is asked for once a run, and a run is about ``slice_bytes`` of text (one text at least).
@@ -27,12 +28,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from plumeline.llm.runtime import shuffle_partitions, text_bytes, with_package
-from plumeline.llm.textkernels import pack, release_memory, slices, string_buffers, unpack
+from plumeline.llm.textkernels import gaps, pack, release_memory, slices, string_buffers, ungaps, unpack
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -98,34 +99,43 @@ def _number(planes: list[np.ndarray]) -> np.ndarray:
 
 def _bucket(chunks: pa.Array, n_buckets: int) -> np.ndarray:
     """Hash bucket of each chunk; where a chunk meets its equals, equality itself is decided on the string."""
-    from xxhash import xxh3_64_intdigest
-
     return np.fromiter((xxh3_64_intdigest(c) % n_buckets for c in chunks.cast(pa.large_binary()).to_pylist()), np.int64, len(chunks))
 
 
-def _cut(batches, path: str, n_buckets: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> per run: its numbers (bucket -1 - run) and its distinct chunks by bucket."""
-    own, context = encoder(path), TaskContext.get()
-    task = context.partitionId() if context else 0
+def _runs(batches, path: str, slice_bytes: int) -> Iterator[tuple]:
+    """Per run of texts: its number, a check of its content, the texts' ids, their chunk counts, the distinct chunks
+    (frequent ones first) and the texts as numbers of these."""
+    own = encoder(path)
     for seq, batch in enumerate(slices(batches, 1, slice_bytes)):
-        run = task << 32 | seq
+        run = batch.column(2)[0].as_py() << 32 | seq
+        check = xxh3_64_intdigest(string_buffers(batch.column(1))[0].tobytes())
         texts = [own.chunks(t or "") for t in batch.column(1).to_pylist()]
         counts = np.array([len(t) for t in texts], np.uint32)
         coded = pa.array(chain.from_iterable(texts), pa.large_string()).dictionary_encode()
         del texts
-        chunks, numbers = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        often = np.argsort(-np.bincount(numbers, minlength=len(chunks)), kind="stable")      # small numbers for frequent chunks
+        numbers = coded.indices.to_numpy().astype(np.int64)
+        often = np.argsort(-np.bincount(numbers, minlength=len(coded.dictionary)), kind="stable")
         rank = np.empty(len(often), np.int64)
         rank[often] = np.arange(len(often))
-        chunks = chunks.take(pa.array(often))
-        ids = batch.column(0).cast(pa.int64()).fill_null(_NO_ID).to_numpy()
-        rows = [(run, -1 - (run * 0x9E3779B1 % n_buckets), pack(ids, counts, *_planes(rank[numbers])))]
-        bucket = _bucket(chunks, n_buckets)
+        yield (run, np.array([check], np.uint64), batch.column(0).cast(pa.int64()).fill_null(_NO_ID).to_numpy(), counts,
+               coded.dictionary.take(pa.array(often)), rank[numbers])
+
+
+def _numbers(batches, path: str, slice_bytes: int) -> Iterator[pa.RecordBatch]:
+    """(id, text, part) -> per run: its texts as numbers."""
+    for run, check, ids, counts, _, numbers in _runs(batches, path, slice_bytes):
+        yield _table([(run, -1, pack(check, ids, counts, *_planes(numbers)))])
+
+
+def _requests(batches, path: str, n_buckets: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
+    """(id, text, part) -> per run: its distinct chunks by bucket."""
+    for run, check, _, _, chunks, _ in _runs(batches, path, slice_bytes):
+        bucket, rows = _bucket(chunks, n_buckets), []
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         for b in np.flatnonzero(np.diff(edges)).tolist():
-            asked = np.sort(order[edges[b]:edges[b + 1]])
-            rows.append((run, b, pack(asked.astype(np.uint32), *_strings(chunks.take(pa.array(asked))))))
+            asked = order[edges[b]:edges[b + 1]]
+            rows.append((run, b, pack(check, gaps(asked), *_strings(chunks.take(pa.array(asked))))))
         yield _table(rows)
 
 
@@ -135,13 +145,11 @@ def _table(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _segment(found: pa.Table, path: str) -> pa.Table:
-    """One bucket: ids of each distinct chunk, packed for the runs that asked. Numbers of runs go through."""
-    if found.column("bucket")[0].as_py() < 0:
-        return found.select(["run", "bucket", "payload"])
+    """One bucket: ids of each distinct chunk, packed for the runs that asked."""
     runs = found.column("run").to_pylist()
     asked = [unpack(p) for p in found.column("payload").to_pylist()]
-    sizes = [len(a[0]) for a in asked]
-    coded = pa.chunked_array([_column(a[1], a[2]) for a in asked]).combine_chunks().dictionary_encode()
+    sizes = [len(a[1]) for a in asked]
+    coded = pa.chunked_array([_column(a[2], a[3]) for a in asked]).combine_chunks().dictionary_encode()
     ids = encoder(path).segment(coded.dictionary.to_pylist())
     many = np.array([len(x) for x in ids], np.int64)
     flat = np.fromiter(chain.from_iterable(ids), np.int64, int(many.sum()))
@@ -152,33 +160,31 @@ def _segment(found: pa.Table, path: str) -> pa.Table:
         own = codes[ends[i] - sizes[i]:ends[i]]
         n = many[own]
         at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        rows.append((run, 0, pack(asked[i][0], n.astype(np.uint32), *_planes(flat[at]))))
+        rows.append((run, 0, pack(*asked[i][:2], n.astype(np.uint8 if n.max() < 256 else np.uint32), *_planes(flat[at]))))
     release_memory()
     return pa.Table.from_batches([_table(rows)])
 
 
 def _join(found: pa.Table, path: str) -> pa.Table:
     """One run: ids of its texts by position, and the texts they decode to."""
-    numbers, answers = None, []
+    check, row_ids, counts, place = None, None, None, None
+    answers, checks = [], set()
     for bucket, payload in zip(found.column("bucket").to_pylist(), found.column("payload").to_pylist()):
         parts = unpack(payload)
         if bucket < 0:
-            numbers = parts
+            check, row_ids, counts, place = parts[0], parts[1], parts[2].astype(np.int64), _number(parts[3:])
         else:
-            answers.append((parts[0].astype(np.int64), parts[1].astype(np.int64), _number(parts[2:])))
-    row_ids, counts, place = numbers[0], numbers[1].astype(np.int64), _number(numbers[2:])
-    if answers:
-        asked, many, flat = (np.concatenate(x) for x in zip(*answers))
-    else:
-        asked = many = flat = np.zeros(0, np.int64)
-    first = np.cumsum(many) - many
+            checks.add(int(parts[0][0]))
+            answers.append((ungaps(parts[1]), parts[2].astype(np.int64), _number(parts[3:])))
+    if check is None or checks - {int(check[0])}:
+        raise RuntimeError("the documents changed between two reads of one job; write them to a table first")
+    asked, many, flat = (np.concatenate(x) for x in zip(*answers)) if answers else (np.zeros(0, np.int64),) * 3
     n_of, at_of = np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
-    n_of[asked], at_of[asked] = many, first
+    n_of[asked], at_of[asked] = many, np.cumsum(many) - many
     n = n_of[place]
     ends = np.cumsum(n)
     ids = flat[np.repeat(at_of[place] - (ends - n), n) + np.arange(int(n.sum()))].astype(np.int32)
-    words = np.concatenate([[0], np.cumsum(counts)])
-    cuts = np.concatenate([[0], ends])[words]
+    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
     own = encoder(path).library
     texts = [own.decode(ids[a:b].tolist()) if b > a else "" for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
     lists = pa.LargeListArray.from_arrays(pa.array(cuts), pa.array(ids))
@@ -197,8 +203,9 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
     """
     spark = with_package(docs.sparkSession)
     n_buckets = max(-(-text_bytes(docs, text_col) // bucket_bytes), shuffle_partitions(spark), 1)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part"))
     kinds = "run long, bucket long, payload binary"
-    asked = rows.mapInArrow(lambda it: _cut(it, model, n_buckets, slice_bytes), kinds)
-    answered = asked.groupBy("bucket").applyInArrow(lambda t: _segment(t, model), kinds)
-    return answered.groupBy("run").applyInArrow(lambda t: _join(t, model), "id long, ids array<int>, decoded string")
+    asked = rows.mapInArrow(lambda it: _requests(it, model, n_buckets, slice_bytes), kinds)
+    answers = asked.groupBy("bucket").applyInArrow(lambda t: _segment(t, model), kinds)
+    numbers = rows.mapInArrow(lambda it: _numbers(it, model, slice_bytes), kinds)
+    return answers.unionByName(numbers).groupBy("run").applyInArrow(lambda t: _join(t, model), "id long, ids array<int>, decoded string")
