@@ -95,6 +95,70 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def _op11() -> str:
+    """Dynamic programme over each conversation's turns; a state holds cost and audit as one sortable text, and the turns."""
+    low = lambda *xs: f"list_sort([{', '.join(xs)}], 'ASC', 'NULLS LAST')[1]"
+    cost = lambda x: f"CAST(substr(({x}).k, 1, 9) AS BIGINT)"
+
+    def add(x: str, more: str, letter: str, line: str = "''", when: str = "true") -> str:
+        return (f"CASE WHEN {when} AND ({x}) IS NOT NULL THEN {{'k': lpad(CAST({cost(x)} + {more} AS VARCHAR), 9, '0') || "
+                f"substr(({x}).k, 10) || '{letter}', 'r': ({x}).r || {line}}} END")
+
+    turn = lambda role, text: f"chr(10) || {role} || ':' || {text}"
+    before_user, cut = low("z.e", "z.s", "z.a"), "(CASE WHEN x.c BETWEEN 'A' AND 'Z' THEN 1 ELSE 0 END)"
+    put = {"u": "'user'", "a": "'assistant'"}
+
+    def step(state: str, came: str, kinds: str, role: str | None) -> str:
+        ways = [add(f"z.{state}", "3", "D"), add(came, cut, "K", turn("x.role", "x.text"), f"x.c IN ({kinds})")]
+        if role:
+            ways.append(add(came, f"2 + {cut}", "R", turn(role, "x.text"), "x.c <> 'd'"))
+        insert = low(f"z.{state}", add(came, "2", "I", turn(role, "''"))) if role else f"z.{state}"
+        return f"'{state}': CASE WHEN x.c = 'i' THEN {insert} ELSE {low(*ways)} END"
+
+    move = ", ".join([f"'e': CASE WHEN x.c = 'i' THEN z.e ELSE {add('z.e', '3', 'D')} END", step("s", "z.e", "'s', 'S'", None),
+                      step("u", before_user, "'u', 'U'", put["u"]), step("a", "z.u", "'a', 'A'", put["a"])])
+    state = "STRUCT(k VARCHAR, r VARCHAR)"
+    start = f"CAST({{'e': {{'k': '000000000', 'r': ''}}, 's': NULL, 'u': NULL, 'a': NULL}} AS STRUCT(e {state}, s {state}, u {state}, a {state}))"
+    gap = "{'c': 'i', 'role': '', 'text': ''}"
+    return f"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crc AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ord(substr(k, i, 1)) AS BIGINT)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS m FROM raw, tab),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+         CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN m = 3 THEN 2 ELSE 1 END)) AS copy FROM crc WHERE m <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ends FROM damaged),
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS prior FROM ordered),
+classed AS (
+  SELECT *, CASE WHEN ends = '' OR again THEN 'd' ELSE
+              CASE WHEN ends IN ('.', '!', '?') THEN lower(kind) ELSE upper(kind) END END AS c
+  FROM (SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS kind FROM marked)),
+convs AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (ends = '') AS blank,
+         count(*) FILTER (ends <> '' AND again) AS duplicate, count(*) FILTER (c BETWEEN 'A' AND 'Z') AS truncated,
+         count(*) FILTER (n > 1 AND left(prior, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal,
+         list({{'c': c, 'role': role, 'text': text}} ORDER BY n) AS turns FROM classed GROUP BY conv_id),
+folded AS (
+  SELECT * EXCLUDE turns, list_reduce(list_concat([{gap}, {gap}], flatten(list_transform(turns, lambda y: [y, {gap}, {gap}]))),
+         lambda z, x: {{{move}}}, {start}) AS z FROM convs),
+best AS (SELECT *, {low("z.e", "z.a")} AS w FROM folded)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce({cost("w")}, 0) AS cost,
+       coalesce(substr(w.k, 10), '') AS audit, sha256(coalesce(substr(w.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN best ON d.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
 OP13 = r"""
 WITH d AS (
   SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
@@ -132,5 +196,6 @@ ORACLE: dict[str, str] = {
     "op4_substring_dedup": OP4,
     "op6_document_fingerprints": OP6,
     "op8_benchmark_decontamination": OP8,
+    "op11_conversation_repair": _op11(),
     "op13_source_divergence": OP13,
 }

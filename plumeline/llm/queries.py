@@ -118,6 +118,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults put in by a checksum of their place; nulls read as one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    text = F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    kept = rows.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), fault.alias("fault")).where("fault <> 0")
+    return kept.select("conv_id", "turn", F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumeline.llm.repair import repair_conversations, repaired_digests
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = repaired_digests(repair_conversations(damaged_conversations(rows)))
+    every = rows.select(F.col("conv_id").alias("conv")).distinct()
+    joined = every.join(done, F.col("conv").eqNullSafe(F.col("conv_id")), "left")
+    longs = [F.coalesce(f"report.{c}", F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select(F.col("conv").alias("conv_id"), *longs, F.coalesce("report.audit", F.lit("")).alias("audit"),
+                         F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -145,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_source_divergence": op13_source_divergence,
 }
