@@ -322,8 +322,9 @@ def repair_conversations(rows: DataFrame, *, conv_col: str = "conv_id", turn_col
     split = not long.isEmpty()
     short = plain.join(long, "conv", "left_anti") if split else plain
     pieces = short.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").mapInArrow(_short, PIECES)
+    pieces = pieces.withColumn("n_pieces", F.lit(1).cast("long"))             # known to the optimizer: filters on it prune this part
     if split:
-        pieces = pieces.unionByName(_long(plain.join(long, "conv", "left_semi"), piece_turns))
+        pieces = pieces.unionByName(materialize(_long(plain.join(long, "conv", "left_semi"), piece_turns)))
     conv = F.when(F.col("conv") != "", F.substr("conv", F.lit(2))).cast(rows.schema[conv_col].dataType)
     return pieces.select(conv.alias(conv_col), "piece", "n_pieces", "turns", "report")
 
