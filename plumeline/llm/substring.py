@@ -8,9 +8,11 @@ input texts.
    non-overlapping reference block of its document. Each map task hashes every rolling block-sized
    window of its texts; those that start at a multiple of the block length are the reference index.
    Hashes go, packed, to hash buckets, where rolling windows meet the reference blocks of other texts.
-2. Extend. Around each hit the windows of full length that contain it are hashed with 96 bits. A window
-   is repeated if a document with a smaller id has the same one; overlapping repeated windows
-   join to maximal exact repeats.
+2. Extend. Around each hit the windows of full length that contain it are hashed with 80 bits: 64 of one window
+   hash and 16 of another. A window is repeated if a document with a smaller id has the same one;
+   overlapping repeated windows join to maximal exact repeats. Words are hashed by a kernel whose values are drawn
+   for each call, and by a seeded library hash beyond 64 bytes, so no text can be written to collide; windows of
+   different words are taken for equal with a chance of about n^2 / 2^81 over n windows around hits.
 3. Remove. The covered words are cut from the text.
 
 Before each shuffle a task keeps one entry per hash for a run of texts and answers the others itself,
@@ -28,7 +30,9 @@ never remove each other's words. Extra columns of ``docs`` pass through unchange
 from __future__ import annotations
 
 import itertools
+import secrets
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +42,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumeline.llm.runtime import shuffle_partitions, text_bytes, with_package
-from plumeline.llm.textkernels import (SPACE_WORDS, gaps, pack, release_memory, rows_of, slices, span_hashes, string_buffers, ungaps,
+from plumeline.llm.textkernels import (SPACE_WORDS, byte_values, gaps, pack, release_memory, rows_of, slices, span_hashes, string_buffers, ungaps,
                                        unpack, window_hashes, window_starts, word_spans)
 
 NO_ID = (1 << 63) - 1
 _KEY = (1 << 48) - 1
 
 
-def _words(column: pa.Array):
+def _words(column: pa.Array, seed: int):
     data, offsets = string_buffers(column)
     starts, ends, first = word_spans(data, offsets, SPACE_WORDS)
-    return data, offsets, starts, ends, first, span_hashes(data, starts, ends)
+    return data, offsets, starts, ends, first, span_hashes(data, starts, ends, _values(seed))
+
+
+@lru_cache(4)
+def _values(seed: int) -> np.ndarray:
+    return byte_values(seed)
+
+
+def _grouped(hashes: np.ndarray, more: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, changes): entries sorted by hash and ``more`` bits, and where a new value starts (but the first)."""
+    order = np.argsort(hashes, kind="stable")
+    h = hashes[order]
+    changes = h[1:] != h[:-1]
+    if more is not None:
+        m = more[order]
+        if (~changes & (m[1:] != m[:-1])).any():
+            order = np.lexsort((more, hashes))
+            h, m = hashes[order], more[order]
+            changes = (h[1:] != h[:-1]) | (m[1:] != m[:-1])
+    return order, changes
 
 
 def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
@@ -64,25 +87,26 @@ def _by_text(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1, [len(rows)]])
 
 
-def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int) -> Iterator[tuple[int, bytes]]:
+def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int, more=None) -> Iterator[tuple[int, bytes]]:
     """Binary packs of one slice: an entry per hash for the buckets, and the entries answered here.
 
-    ``at`` ascending word positions, ``rows`` their texts, ``flags`` (reference block?) or None.
+    ``at`` ascending word positions, ``rows`` their texts, ``flags`` (reference block?) or None; ``more`` bits beside the hash.
     With flags an entry is answered here if two texts of the slice share its hash; without, if a
     text with a smaller id does. Texts that tie for the smallest id are all sent, one entry for each key.
     ``seq`` sets the group of the entries answered here.
     """
-    order = np.argsort(hashes, kind="stable")
+    order, changes = _grouped(hashes, more)
     sorted_h = hashes[order]
-    lead = np.flatnonzero(np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]])) if len(order) else np.zeros(0, np.int64)
+    lead = np.flatnonzero(np.concatenate([[True], changes])) if len(order) else np.zeros(0, np.int64)
     size = np.diff(np.concatenate([lead, [len(order)]]))
     ident = ids[rows[order]]
     least = np.minimum.reduceat(ident, lead) if len(lead) else lead
     if flags is None:
         done = ident > np.repeat(least, size)
         tied = np.flatnonzero(~done)                                          # the texts that have the smallest id
-        tied = tied[np.lexsort((order[tied], keys[rows[order[tied]]], sorted_h[tied]))]
-        own, key = sorted_h[tied], keys[rows[order[tied]]]
+        group = np.repeat(np.arange(len(lead)), size)
+        tied = tied[np.lexsort((order[tied], keys[rows[order[tied]]], group[tied]))]
+        own, key = group[tied], keys[rows[order[tied]]]
         tied = tied[np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])])] if len(tied) else tied
         rep, value = order[tied], sorted_h[tied]
     else:
@@ -112,7 +136,7 @@ def _packs(hashes, at, rows, first, keys, ids, flags, n_buckets: int, seq: int)
         texts = r[cuts[:-1]]
         head = (keys[texts], np.diff(cuts).astype(np.uint16 if len(own) < 1 << 16 else np.uint32), gaps(first[texts]), gaps(at[place]))
         if flags is None:
-            yield b, pack(*head, ids[texts], h)
+            yield b, pack(*head, ids[texts], h, more[place])
         else:
             yield b, pack(*(x.astype(np.uint64) if i == 0 else x for i, x in enumerate(head)),
                           (h & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.packbits(flag[by_place][own]))
@@ -135,11 +159,11 @@ def _turns() -> Iterator[int]:
         yield ((task * 0x9E3779B97F4A7C15 + i * 0xD1B54A32D192ED03) & ((1 << 64) - 1)) >> 33
 
 
-def _probe(batches, window: int, block: int, n_buckets: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
+def _probe(batches, window: int, block: int, n_buckets: int, slice_bytes: int, seed: int) -> Iterator[pa.RecordBatch]:
     """(key, id, text) -> packs of rolling block windows."""
     for seq, batch in zip(_turns(), slices(batches, 2, slice_bytes)):
         keys, ids = _key_and_id(batch, 0, 1)
-        *_, first, words = _words(batch.column(2))
+        *_, first, words = _words(batch.column(2), seed)
         h = window_hashes(words, block)
         rows = rows_of(first)
         use = window_starts(first, block) & (np.diff(first) >= window)[rows]
@@ -183,8 +207,8 @@ def _gather(found: pa.Table) -> pa.Table:
 
 
 def _entries(payloads):
-    """Entries of all packs of a bucket: (keys, ids or None) per text, and per entry text, position, values."""
-    keys, ids, text, pos, values, flags, n_texts = [], [], [], [], [], [], 0
+    """Entries of all packs of a bucket: (keys, ids or None) per text, and per entry text, position, values, flags or more."""
+    keys, ids, text, pos, values, flags, more, n_texts = [], [], [], [], [], [], [], 0
     for p in payloads:
         k, count, base, at, *rest = unpack(p)
         t = np.repeat(np.arange(len(k)), count)
@@ -198,8 +222,9 @@ def _entries(payloads):
         else:
             ids.append(rest[0])
             values.append(rest[1])
+            more.append(rest[2])
     cat = lambda x: np.concatenate(x) if x else None
-    return cat(keys), cat(ids), cat(text), cat(pos), cat(values), cat(flags)
+    return cat(keys), cat(ids), cat(text), cat(pos), cat(values), cat(flags), cat(more)
 
 
 def _meet(found: pa.Table, n_parts: int) -> pa.Table:
@@ -207,12 +232,11 @@ def _meet(found: pa.Table, n_parts: int) -> pa.Table:
     payloads = found.column("payload").to_pylist()
     if found.column("bucket")[0].as_py() < 0:
         return _replies(*(np.concatenate(x) for x in zip(*(unpack(p) for p in payloads))), n_parts)
-    keys, ids, text, pos, values, flags = _entries(payloads)
+    keys, ids, text, pos, values, flags, more = _entries(payloads)
     del payloads
-    order = np.argsort(values, kind="stable")
-    v = values[order]
-    lead = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-    size = np.diff(np.concatenate([lead, [len(v)]]))
+    order, changes = _grouped(values, more)
+    lead = np.flatnonzero(np.concatenate([[True], changes]))
+    size = np.diff(np.concatenate([lead, [len(order)]]))
     if flags is not None:                                     # probes and blocks of two slices or more
         ids = np.zeros(len(keys), np.int64)
         hit = np.repeat((size > 1) & np.logical_or.reduceat(flags[order], lead), size)
@@ -223,7 +247,7 @@ def _meet(found: pa.Table, n_parts: int) -> pa.Table:
     cuts = _by_text(text[chosen])
     texts = text[chosen][cuts[:-1]] if len(chosen) else np.zeros(0, np.int64)
     replies = _replies(keys[texts], ids[texts], np.diff(cuts), pos[chosen], n_parts)
-    del order, v, lead, size, hit, text, pos, values, flags
+    del order, changes, lead, size, hit, text, pos, values, flags, more
     release_memory()
     return replies
 
@@ -233,12 +257,13 @@ def _positions(value) -> np.ndarray:
 
 
 def _extend(batches, id_at: int, text_at: int, n_columns: int, window: int, block: int, n_buckets: int,
-            slice_bytes: int) -> Iterator[pa.RecordBatch]:
+            slice_bytes: int, seed: int) -> Iterator[pa.RecordBatch]:
     """(columns, key, hits) -> packs of the full windows around hits."""
     for seq, batch in zip(_turns(), slices(batches, text_at, slice_bytes)):
         keys, ids = _key_and_id(batch, n_columns, id_at)
-        *_, first, words = _words(batch.column(text_at))
+        *_, first, words = _words(batch.column(text_at), seed)
         short, whole = window_hashes(words, block), window_hashes(words, window, seed=1)
+        more = (window_hashes(words, window, seed=2) >> np.uint64(48)).astype(np.uint16)
         step, hits = np.zeros(len(words) + window + 1, np.int64), batch.column(n_columns + 1).to_pylist()
         for r, value in enumerate(hits):
             lo, n = int(first[r]), int(first[r + 1] - first[r])
@@ -251,7 +276,7 @@ def _extend(batches, id_at: int, text_at: int, n_columns: int, window: int, bloc
             np.add.at(step, lo + b[ok] + 1, -1)
         at = np.flatnonzero(np.cumsum(step)[:len(words)] > 0)
         if len(at):
-            yield _table(list(_packs(whole[at], at, rows_of(first)[at], first, keys, ids, None, n_buckets, seq)))
+            yield _table(list(_packs(whole[at], at, rows_of(first)[at], first, keys, ids, None, n_buckets, seq, more[at])))
 
 
 def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gone: np.ndarray) -> bytes:
@@ -270,11 +295,11 @@ def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gone: np.ndarra
     return b"".join([*parts, data[at:].tobytes()])
 
 
-def _remove(batches, id_at: int, text_at: int, n_columns: int, window: int) -> Iterator[pa.RecordBatch]:
+def _remove(batches, id_at: int, text_at: int, n_columns: int, window: int, seed: int) -> Iterator[pa.RecordBatch]:
     """(columns, key, repeats) -> columns with the new text, n_words, n_removed, removed spans."""
     for batch in slices(batches, text_at):
         column = batch.column(text_at)
-        data, offsets, starts, ends, first, words = _words(column)
+        data, offsets, starts, ends, first, words = _words(column, seed)
         repeats = batch.column(n_columns + 1).to_pylist()
         _, ids = _key_and_id(batch, n_columns, id_at)
         n, removed = np.diff(first), np.zeros(batch.num_rows, np.int64)
@@ -304,13 +329,13 @@ def _remove(batches, id_at: int, text_at: int, n_columns: int, window: int) -> I
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
-                   bucket_words: int = 3_000_000, slice_bytes: int = 4 << 20) -> DataFrame:
+                   bucket_words: int = 3_000_000, slice_bytes: int = 4 << 20, part_bytes: int = 128 << 20) -> DataFrame:
     """``docs`` with repeated passages cut from the text, and a struct ``repeats``.
 
     ``repeats`` holds n_words and n_removed of the input text and the removed word spans.
     """
     spark = with_package(docs.sparkSession)
-    block, columns = (window + 1) // 2, docs.columns
+    block, columns, seed = (window + 1) // 2, docs.columns, secrets.randbits(62)
     rows = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     id_at, text_at = columns.index(id_col), columns.index(text_col)
     n_bytes = text_bytes(docs, text_col)
@@ -319,7 +344,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     fields = list(rows.schema.fields)
     doc_id, text = F.col(f"c{id_at}"), F.col(f"c{text_at}")
     rows = rows.withColumn("key", F.xxhash64(F.coalesce(doc_id.cast("long"), F.lit(NO_ID)), text).bitwiseAND(F.lit(_KEY)))
-    placed = rows.repartition(shuffle_partitions(spark), "key")
+    placed = rows.repartition(max(-(-n_bytes // part_bytes), shuffle_partitions(spark)), "key")
     inner = [f"c{i}" for i in range(len(columns))]
 
     packs, found = "bucket int, payload binary", "key long, found array<struct<id:long,pos:binary>>"
@@ -329,15 +354,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return replies.groupBy("bucket").applyInArrow(_gather, found)
 
     probes = rows.select("key", doc_id.alias("id"), text.alias("text")).mapInArrow(
-        lambda it: _probe(it, window, block, n_buckets, slice_bytes), packs)
+        lambda it: _probe(it, window, block, n_buckets, slice_bytes, seed), packs)
     # Both joins read all columns of ``placed``, so that its one shuffle serves both.
     near = placed.join(answers(probes), "key").select(*inner, "key", "found")
-    windows = near.mapInArrow(lambda it: _extend(it, id_at, text_at, len(inner), window, block, n_buckets, slice_bytes), packs)
+    windows = near.mapInArrow(lambda it: _extend(it, id_at, text_at, len(inner), window, block, n_buckets, slice_bytes, seed), packs)
     joined = placed.join(answers(windows), "key", "left").select(*inner, "key", "found")
     longs = T.ArrayType(T.LongType())
     out = T.StructType(fields + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                                  T.StructField("span_starts", longs), T.StructField("span_ends", longs)])
-    done = joined.mapInArrow(lambda it: _remove(it, id_at, text_at, len(columns), window), out)
+    done = joined.mapInArrow(lambda it: _remove(it, id_at, text_at, len(columns), window, seed), out)
     return done.select(*[F.col(c).alias(name) for c, name in zip(inner, columns)],
                        F.struct("n_words", "n_removed", "span_starts", "span_ends").alias("repeats"))
 

@@ -12,8 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 BLOCK = 1 << 18                       # bytes of text hashed at a time
+LONG = 64                             # longer words go to a library hash
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -116,8 +118,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def byte_values(seed: int) -> np.ndarray:
+    """Byte values of a kernel of its own: a seed drawn for a job cannot be foreseen by its texts."""
+    return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
-    """64-bit hash of the bytes of each span (spans ascending, none empty)."""
+    """64-bit hash of the bytes of each span (spans ascending, none empty).
+
+    Short spans are hashed by a polynomial modulo 2^64. From about a thousand bytes on, such polynomials have colliding
+    texts whatever their base, so spans of more than ``LONG`` bytes go to a library hash, seeded by ``values``.
+    """
     n = len(starts)
     out = np.empty(n, dtype=np.uint64)
     i = 0
@@ -133,7 +144,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values:
         s, e = starts[i:j] - lo, ends[i:j] - lo
         out[i:j] = (acc[e] - acc[s]) * iv[s]
         i = j
-    return mix(out ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    out = mix(out ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for w in np.flatnonzero(ends - starts > LONG).tolist():
+        out[w] = xxh3_64_intdigest(data[starts[w]:ends[w]].tobytes(), int(values[0]))
+    return out
 
 
 def window_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:

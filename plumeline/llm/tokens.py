@@ -1,9 +1,9 @@
 """Token ids of whole texts by a tokenizer file of the ``tokenizers`` library.
 
 A byte-level BPE file cuts a text into pretokens and merges inside each of them, so equal pretokens have
-equal ids. Pretokens are found for a whole batch with array operations, each distinct one is encoded
-once by the library and remembered for the life of the worker (up to ``_KEEP`` of them, then the memory starts
-anew), and the ids of all texts are gathered from that memory. Texts that hold characters beyond
+equal ids. Pretokens are found for a whole batch with array operations, each distinct one (by its string, not by a
+hash) is encoded once by the library and remembered for the life of the worker (up to ``_KEEP`` of them, then the
+memory starts anew), and the ids of all texts are gathered from that memory. Texts that hold characters beyond
 the Latin blocks, other control characters or a special token's string go to the library as they are.
 """
 
@@ -13,10 +13,9 @@ import os
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 
-from plumeline.llm.textkernels import span_hashes
-
-_LIMIT, _KEEP = 0x250, 1_500_000
+_LIMIT, _KEEP = 0x250, 600_000
 _OTHER, _LETTER, _NUMBER, _SPACE, _SLOW = range(5)
 
 
@@ -36,7 +35,6 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-_VALUES = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, _LIMIT + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def pretoken_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -83,30 +81,33 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)                    # sorted pretoken hashes
-        self.at = np.zeros(0, np.int64)                       # their ids: first place and number in ``ids``
+        self.known: dict[str, int] = {}                       # pretoken -> number
+        self.at = np.zeros(0, np.int64)                       # first place and number of its ids in ``ids``
         self.many = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: np.ndarray, strings: list[str]) -> None:
-        if len(self.keys) > _KEEP:
+    def _numbers(self, strings: list[str]) -> np.ndarray:
+        """Numbers of distinct pretokens; new ones are encoded."""
+        if len(self.known) > _KEEP:
             self._forget()
-        found = self._encode(strings)
-        many = np.array([len(x) for x in found], np.int64)
-        at = len(self.ids) + np.cumsum(many) - many
-        self.ids = np.concatenate([self.ids, np.array([y for x in found for y in x], np.uint32)])
-        keys = np.concatenate([self.keys, hashes])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.at, self.many = np.concatenate([self.at, at])[order], np.concatenate([self.many, many])[order]
+        new = [s for s in strings if s not in self.known]
+        if new:
+            found = self._encode(new)
+            many = np.array([len(x) for x in found], np.int64)
+            at = len(self.ids) + np.cumsum(many) - many
+            self.ids = np.concatenate([self.ids, np.array([y for x in found for y in x], np.uint32)])
+            self.at, self.many = np.concatenate([self.at, at]), np.concatenate([self.many, many])
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        return np.array([self.known[s] for s in strings], np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets per text)."""
         joined = "".join(texts)
-        codes = np.minimum(np.frombuffer(joined.encode("utf-32-le"), np.uint32), _LIMIT)
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        codes = np.minimum(points, _LIMIT)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         slow = np.zeros(len(texts), dtype=bool)
         bad = np.flatnonzero(_CLASS[codes] == _SLOW)
@@ -118,24 +119,19 @@ class TextEncoder:
         flat = np.zeros(0, np.uint32)
         if len(codes):
             starts = np.flatnonzero(pretoken_starts(codes, offsets))
-            ends = np.append(starts[1:], len(codes))
             text = np.searchsorted(offsets, starts, side="right") - 1
+            size = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+            places = np.concatenate([[0], np.cumsum(size)])[np.append(starts, len(points))]
+            tokens = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(joined.encode())])
             if slow.any():
                 keep = ~slow[text]
-                starts, ends, text = starts[keep], ends[keep], text[keep]
-            if len(starts):
-                h, where, back = np.unique(span_hashes(codes, starts, ends, _VALUES), return_index=True, return_inverse=True)
-                if len(self.keys) > _KEEP:
-                    self._forget()
-                k = np.minimum(np.searchsorted(self.keys, h), max(len(self.keys) - 1, 0))
-                new = np.ones(len(h), dtype=bool) if not len(self.keys) else self.keys[k] != h
-                if new.any():
-                    w = where[new]
-                    self._learn(h[new], [joined[a:b] for a, b in zip(starts[w].tolist(), ends[w].tolist())])
-                    k = np.searchsorted(self.keys, h)
-                many = self.many[k][back]
+                tokens, text = tokens.filter(pa.array(keep)), text[keep]
+            if len(text):
+                coded = tokens.dictionary_encode()
+                k = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+                many = self.many[k]
                 total = np.cumsum(many)
-                place = np.repeat(self.at[k][back] - (total - many), many) + np.arange(total[-1])
+                place = np.repeat(self.at[k] - (total - many), many) + np.arange(total[-1])
                 flat = self.ids[place]
                 counts = np.bincount(text, weights=many, minlength=len(texts)).astype(np.int64)
         if slow.any():

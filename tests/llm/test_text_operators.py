@@ -241,3 +241,40 @@ def test_query_digest_of_kept_words(spark, docs, rows):
     kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     got = sorted(r[0] for r in out.select(F.sha2(kept, 256)).collect())
     assert got == sorted(hashlib.sha256(" ".join(r[3]).encode()).hexdigest() for r in removed(rows))
+
+
+def _twins(n: int) -> tuple[str, str]:
+    """Two different words of n letters a and b that every polynomial hash modulo 2^64 takes for equal (n >= 2048)."""
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_built_to_collide_are_different_words(spark):
+    from plumeline.llm.substring import remove_repeats
+
+    one, other = _twins(2048)
+    tail = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{other} {tail}"), (3, f"{one} {tail}")], "doc_id long, text string")
+    assert {r.doc_id: r.repeats.n_removed for r in remove_repeats(df).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_token_memory_tells_colliding_words_apart():
+    import public_tokenizers
+
+    from plumeline.llm.tokens import TextEncoder
+
+    own = TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for texts in (list(_twins(2048)), [" ".join(_twins(4096)), "é" * 1500 + " " + "ñ" * 40, "", "日本 x"]):
+        ids, cuts = own.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_colliding_window_hashes_are_told_apart_by_the_other_bits():
+    import numpy as np
+
+    from plumeline.llm.substring import _grouped
+
+    order, changes = _grouped(np.array([7, 7, 3, 7], np.uint64), np.array([1, 2, 9, 1], np.uint16))
+    assert order.tolist() == [2, 0, 3, 1] and changes.tolist() == [True, False, True]
