@@ -35,13 +35,12 @@ def cmd_create_tables(spark, args):
 def cmd_load_batteries(spark, args):
     from plumeline.sources.ingest import load_battery_files
     return load_battery_files(spark, args.paths, mode=args.mode,
-                              skip_loaded_files=getattr(args, "skip_loaded", False))
+                              skip_loaded_files=getattr(args, "skip_loaded", False), gate=getattr(args, "gate", False))
 
 
 def cmd_load_granules(spark, args):
     from plumeline.sources.ingest import load_granules
-    from plumeline.sources.swath import read_granules
-    return load_granules(spark, read_granules(spark, args.paths))
+    return load_granules(spark, args.paths, skip_loaded_files=getattr(args, "skip_loaded", False), gate=getattr(args, "gate", False))
 
 
 def _audit(df):
@@ -109,7 +108,10 @@ def main(argv=None) -> int:
     s = sub.add_parser("create-tables"); s.add_argument("--keep", action="store_true")
     s = sub.add_parser("load-batteries"); s.add_argument("paths", nargs="+"); s.add_argument("--mode", default="as_written")
     s.add_argument("--skip-loaded", action="store_true", help="skip files already in the table")
+    s.add_argument("--gate", action="store_true", help="audit the staged batch first; a bad batch never shows up in bronze")
     s = sub.add_parser("load-granules"); s.add_argument("paths", nargs="+")
+    s.add_argument("--skip-loaded", action="store_true", help="skip files loaded with the same content")
+    s.add_argument("--gate", action="store_true", help="audit the staged batch first; a bad batch never shows up in bronze")
     sub.add_parser("validate-pixels")
     sub.add_parser("validate-facilities")
     sub.add_parser("build-silver")

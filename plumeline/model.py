@@ -88,6 +88,7 @@ FACILITY_SCHEMA = T.StructType([
     T.StructField("gas_vented_1000m3", T.DoubleType()),
     T.StructField("water_prod_m3", T.DoubleType()),
     T.StructField("total_wells", T.IntegerType()),
+    T.StructField("load_no", T.LongType()),              # partition column (load of the ledger)
 ])
 
 # Bronze pixels keep scanline / ground_pixel (the natural key) beside the published columns.
@@ -107,11 +108,12 @@ PIXEL_SCHEMA = T.StructType([
     T.StructField("ground_pixel", T.LongType()),
     T.StructField("ingestion_timestamp", T.TimestampType()),
     T.StructField("measurement_date", T.DateType()),     # partition column (day of measurement)
+    T.StructField("load_no", T.LongType()),              # partition column (load of the ledger)
 ])
 
-# Partition columns of the bronze tables (date filters prune whole folders).
-FACILITY_PARTITIONS = ["reporting_month"]
-PIXEL_PARTITIONS = ["measurement_date"]
+# Partition columns of the bronze tables: date filters prune whole folders, and a load's rows are folders of their own.
+FACILITY_PARTITIONS = ["reporting_month", "load_no"]
+PIXEL_PARTITIONS = ["measurement_date", "load_no"]
 
 # Granule blocks: up to a fixed number of scanlines of one swath file per row, [scanline][ground_pixel].
 SWATH_POINT = T.StructType([

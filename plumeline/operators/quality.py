@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumeline.functions.numeric import round_n
 from plumeline.model import (AUDIT_AVG_CH4_MAX, AUDIT_AVG_CH4_MIN, AUDIT_AVG_QA_MIN, AUDIT_MIN_ORBITS,
                              AUDIT_MIN_ROWS, BBOX, CITY_LAT, CITY_LON, CITY_RADIUS_M, FACILITY_BUFFER_M)
-from plumeline.operators.aggregates import duplicate_ids, pixels_near_facilities
+from plumeline.operators.aggregates import duplicate_ids, duplicate_keys, pixels_near_facilities
 from plumeline.operators.spatial import within_radius
 
 
@@ -84,3 +84,49 @@ def audit_facilities(fac: DataFrame) -> DataFrame:
          F.when(F.col("null_loc") == 0, F.lit("PASSED")).otherwise(F.lit("WARNING"))),
         ("facilities_near_city", F.col("near_city"), F.lit("INFO")),
     ])
+
+
+def pixel_gates(rows: DataFrame) -> DataFrame:
+    """G1-G8 on a staged batch of pixels, before it is published: what makes a batch unfit FAILED, the rest WARNING.
+
+    One pass over the batch; the natural key takes the place of the row id, which a staged row does not have yet.
+    """
+    m = rows.agg(
+        _n().alias("n"), F.avg("qa_value").alias("avg_qa"), F.avg("ch4_column").alias("avg_ch4"),
+        F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_loc"),
+        F.count_if(~(F.col("latitude").between(BBOX["min_lat"], BBOX["max_lat"])
+                     & F.col("longitude").between(BBOX["min_lon"], BBOX["max_lon"]))).alias("outside"),
+        F.count_if(~F.col("qa_value").between(0, 1)).alias("bad_qa"))
+    m = m.withColumn("dups", duplicate_keys(rows, ["file_path", "scanline", "ground_pixel"]).scalar())
+    n = F.col("n")
+
+    def gate(cond, otherwise="FAILED"):
+        return F.when(F.coalesce(cond, F.lit(False)), F.lit("PASSED")).otherwise(F.lit(otherwise))
+
+    return _stack(m, [
+        ("row_count", n, F.when(n == 0, F.lit("FAILED")).when(n < AUDIT_MIN_ROWS, F.lit("WARNING")).otherwise(F.lit("PASSED"))),
+        ("extent_in_bbox", F.col("outside"), gate(F.col("outside") == 0)),
+        ("missing_location", F.col("null_loc"), gate(F.col("null_loc") == 0)),
+        ("qa_in_range", F.col("bad_qa"), gate(F.col("bad_qa") == 0)),
+        ("mean_qa", round_n("avg_qa", 3), gate(F.col("avg_qa") >= AUDIT_AVG_QA_MIN, "WARNING")),
+        ("mean_ch4", round_n("avg_ch4", 2), gate(F.col("avg_ch4").between(AUDIT_AVG_CH4_MIN, AUDIT_AVG_CH4_MAX), "WARNING")),
+        ("duplicate_natural_keys", F.col("dups"), gate(F.col("dups") == 0)),
+    ])
+
+
+def facility_gates(rows: DataFrame) -> DataFrame:
+    """G1, G3 and G6 on a staged batch of facility rows: no row, or a row without coordinates, FAILED."""
+    m = rows.agg(
+        _n().alias("n"), F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_loc"),
+        F.count_if(~F.col("latitude").between(BBOX["min_lat"], BBOX["max_lat"])).alias("outside"),
+        F.count_if(F.col("reporting_month").isNull()).alias("no_month"))
+
+    def gate(name, otherwise="FAILED"):
+        return F.when(F.col(name) == 0, F.lit("PASSED")).otherwise(F.lit(otherwise))
+
+    return _stack(m, [
+        ("row_count", F.col("n"), F.when(F.col("n") == 0, F.lit("FAILED")).otherwise(F.lit("PASSED"))),
+        ("missing_location", F.col("null_loc"), gate("null_loc")),
+        ("missing_month", F.col("no_month"), gate("no_month")),
+        ("latitude_in_bbox", F.col("outside"), gate("outside", "WARNING")),
+    ])

@@ -27,7 +27,7 @@ class CsvLayoutError(ValueError):
     pass
 
 
-def _paths(paths) -> list[str]:
+def paths_of(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
@@ -52,12 +52,12 @@ def header_positions(header_line: str) -> dict[str, int]:
 
 def battery_files(spark: SparkSession, paths) -> DataFrame:
     """(path, source_file) of every file under ``paths``, from the listing (contents are not read)."""
-    listed = spark.read.format("binaryFile").load(_paths(paths)).select("path")
+    listed = spark.read.format("binaryFile").load(paths_of(paths)).select("path")
     return listed.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"))
 
 
 def _lines(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.text(_paths(paths)).select(
+    return spark.read.text(paths_of(paths)).select(
         "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_line_block"), F.monotonically_increasing_id().alias("_line_pos"))
 
@@ -135,7 +135,7 @@ def months_in_names(paths) -> list[str]:
 
     from plumeline.model import REPORT_MONTH_RE
     months, bad = set(), []
-    for p in _paths(paths):
+    for p in paths_of(paths):
         m = re.search(REPORT_MONTH_RE, p.rsplit("/", 1)[-1])
         if m and 1 <= int(m.group(2)) <= 12:
             months.add(f"{m.group(1)}-{m.group(2)}-01")

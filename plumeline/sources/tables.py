@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from plumeline.model import (FACILITY_PARTITIONS, FACILITY_SCHEMA, PIXEL_PARTITIONS, PIXEL_SCHEMA,
                              TABLE_FACILITIES, TABLE_PIXELS)
+from plumeline.session import cut_lineage
 
 LAYERS = ("bronze", "silver", "gold")
 BRONZE_TABLES = {TABLE_FACILITIES: (FACILITY_SCHEMA, FACILITY_PARTITIONS),
@@ -24,19 +25,40 @@ def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def create_table(spark: SparkSession, name: str, schema: T.StructType, partitions: list[str]) -> None:
+    """(Re)create an empty Parquet table with zstd files; every later insert uses the same codec."""
+    writer = empty_like(spark, schema).write.mode("overwrite").format("parquet").option("compression", "zstd")
+    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
+
+
 def create_bronze_tables(spark: SparkSession, replace: bool = True) -> list[str]:
-    """(re)create the bronze tables with their fixed schemas, as Parquet tables partitioned
-    by a date (reporting month, measurement day) so date filters prune whole folders."""
+    """(re)create the bronze tables with their fixed schemas, as Parquet tables partitioned by a date (reporting
+    month, measurement day), so date filters prune whole folders, and by load number. A table made anew
+    starts its ids and its part of the load ledger anew."""
+    from plumeline.sources.ledger import create_ledger, forget
+
     create_layers(spark)
+    create_ledger(spark)
     made = []
     for name, (schema, partitions) in BRONZE_TABLES.items():
         if replace or not spark.catalog.tableExists(name):
-            (empty_like(spark, schema).write.mode("overwrite").format("parquet")
-             .partitionBy(*partitions).saveAsTable(name))
+            create_table(spark, name, schema, partitions)
+            forget(spark, name)
             made.append(name)
     return made
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder: later steps of a job read the same rows."""
+    return cut_lineage(df)
+
+
+def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows brought together by partition value before a write: a value's rows land in few tasks, so few files, while
+    adaptive execution splits a hot value at ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and merges small ones."""
+    return df.hint("rebalance", *keys)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns **by name** in schema order, cast to the schema types; columns
     the frame lacks become NULL. Positional inserts cannot shift columns this way."""
@@ -53,14 +75,16 @@ def append_by_name(df: DataFrame, table: str) -> dict:
     schema = df.sparkSession.table(table).schema
     obs = Observation("load")
     observed = conform(df, schema).observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("append").insertInto(table)
+    keys = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
+    clustered(observed, keys).write.mode("append").insertInto(table)
     return {"table": table, "rows_loaded": int(obs.get["rows"])}
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite", compression: str = "zstd") -> None:
-    """Parquet files with zstd, optionally partitioned (by day or month for pruning)."""
-    w = df.write.mode(mode).option("compression", compression)
+    """Parquet files with zstd, optionally partitioned (by day or month for pruning); rows of a partition value are
+    brought together first, files follow the advisory partition size."""
+    w = clustered(df, partition_by or []).write.mode(mode).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

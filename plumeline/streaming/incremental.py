@@ -3,9 +3,10 @@
 A file-source stream over the landing folder hands each micro-batch the rows of files it has
 not seen; its checkpoint records which files were committed, so re-running a load never appends
 the same file twice (the batch loaders append blindly, as the original scripts do). A swath file's blocks
-may arrive in several landing files and micro-batches; a micro-batch that is retried after a failure skips
-the *pixels* (file, scanline, ground pixel) that are already in the table, so each pixel lands exactly once.
-That test reads only the partitions (days) the micro-batch has pixels for.
+may arrive in several landing files and micro-batches, or twice in one; a micro-batch keeps one row per *pixel* (file,
+scanline, ground pixel) and skips the pixels that are already in the table, so each pixel lands exactly once. That
+test reads only the partitions (days) the micro-batch has pixels for. A micro-batch that died half-way is known
+by its name in the load ledger and taken back before it is tried again.
 ``trigger(availableNow=True)`` processes what is there and stops, so this runs as a scheduled job.
 
 Battery CSVs need their own preamble handling per file, so each micro-batch resolves the set of
@@ -16,13 +17,15 @@ those files. Granule Parquet is appended straight from the stream.
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumeline.model import TABLE_FACILITIES, TABLE_PIXELS
-from plumeline.sources.ingest import bronze_pixel_columns, load_battery_files, number_pixels
-from plumeline.sources.tables import append_by_name, row_count
+from plumeline.operators.medallion import PIXEL_KEY
+from plumeline.sources.ingest import bronze_pixel_columns, load_battery_files, load_pixel_batch
+from plumeline.sources.ledger import take_back
 
 
 def _run(spark: SparkSession, query, table: str) -> None:
@@ -33,20 +36,20 @@ def _run(spark: SparkSession, query, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def append_new_granules(session: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS,
-                        existing: int | None = None) -> dict:
-    """Append the pixels of ``granules`` that are not yet in ``table``, ids continuing after ``existing`` rows
-    (default: the table's row count). Running it again with the same granules appends nothing."""
+def append_new_granules(session: SparkSession, granules: DataFrame, table: str = TABLE_PIXELS, batch: str | None = None) -> dict:
+    """Load the pixels of ``granules`` that are not yet in ``table``, each once however often the batch has it; ids go on
+    after the highest ever given out. Running it again with the same granules loads nothing. ``batch`` names the load in
+    the ledger: a batch of that name that died is taken back first."""
     session.catalog.refreshTable(table)
-    existing = row_count(session, table) if existing is None else existing
     pixels = bronze_pixel_columns(granules)
     days = [r.d for r in pixels.select(F.col("measurement_date").alias("d")).distinct().collect()]   # days of one micro-batch
     if not days:
         return {"table": table, "rows_loaded": 0}
-    key = ["file_path", "scanline", "ground_pixel"]
-    loaded = session.table(table).where(F.col("measurement_date").isin(days)).select(*[F.col(k).alias("_l_" + k) for k in key])
-    same = reduce(lambda a, b: a & b, [pixels[k].eqNullSafe(loaded["_l_" + k]) for k in key])
-    return append_by_name(number_pixels(pixels.join(loaded, same, "left_anti"), existing), table)
+    batch = batch or f"rows:{uuid4()}"
+    take_back(session, table, batch)                          # before its rows could count as loaded
+    loaded = session.table(table).where(F.col("measurement_date").isin(days)).select(*[F.col(k).alias("_l_" + k) for k in PIXEL_KEY])
+    same = reduce(lambda a, b: a & b, [pixels[k].eqNullSafe(loaded["_l_" + k]) for k in PIXEL_KEY])
+    return load_pixel_batch(session, pixels.join(loaded, same, "left_anti"), batch, table)
 
 
 def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
@@ -82,19 +85,14 @@ def ingest_battery_landing(spark: SparkSession, landing_dir: str, checkpoint_dir
 
 def ingest_granule_landing(spark: SparkSession, landing_dir: str, checkpoint_dir: str, schema,
                            table: str = TABLE_PIXELS, max_files_per_trigger: int = 256) -> list[dict]:
-    """Append pixels of not-yet-loaded granule Parquet files under ``landing_dir``; ids continue
-    after the table's row count at the start of each micro-batch."""
+    """Append pixels of not-yet-loaded granule Parquet files under ``landing_dir``; ids go on after the highest id given
+    out for the table."""
     results: list[dict] = []
     granules = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
                 .option("ignoreCorruptFiles", "true").parquet(landing_dir))
 
-    rows = row_count(spark, table)                               # counted once; then carried from batch to batch
-
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        nonlocal rows
-        res = append_new_granules(batch.sparkSession, batch, table, existing=rows)
-        rows += res["rows_loaded"]
-        results.append({"batch": batch_id, **res})
+        results.append({"batch": batch_id, **append_new_granules(batch.sparkSession, batch, table, f"{checkpoint_dir}#{batch_id}")})
 
     q = (granules.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())

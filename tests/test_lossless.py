@@ -50,8 +50,8 @@ def test_pixels_without_an_orbit_are_kept_and_unreadable_files_are_named(spark,
         out.write(src.read()[:200])
     read = swath.read_granules(spark.newSession(), folder).select("*")
     assert read.count() == gran.count()
-    bad = swath.unreadable_files(spark, folder, swath.read_granules(spark, folder)).collect()
-    assert [os.path.basename(r["path"]) for r in bad] == ["truncated.parquet"]
+    bad = swath.file_faults(spark, folder).collect()
+    assert [(os.path.basename(r["path"]), r["reason"]) for r in bad] == [("truncated.parquet", "not_parquet")]
 
 
 def test_columns_are_found_by_name_in_each_file(spark, scratch):
