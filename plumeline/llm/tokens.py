@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-_LIMIT, _KEEP = 0x250, 600_000
+_LIMIT, _KEEP = 0x250, 1_200_000
 _OTHER, _LETTER, _NUMBER, _SPACE, _SLOW = range(5)
 
 
@@ -93,15 +94,20 @@ class TextEncoder:
         """Numbers of distinct pretokens; new ones are encoded."""
         if len(self.known) > _KEEP:
             self._forget()
-        new = [s for s in strings if s not in self.known]
+        out = list(map(self.known.get, strings))
+        new = [i for i, k in enumerate(out) if k is None]
         if new:
-            found = self._encode(new)
-            many = np.array([len(x) for x in found], np.int64)
+            names, at_first = [strings[i] for i in new], len(self.known)
+            found = self._encode(names)
+            many = np.fromiter(map(len, found), np.int64, len(found))
             at = len(self.ids) + np.cumsum(many) - many
-            self.ids = np.concatenate([self.ids, np.array([y for x in found for y in x], np.uint32)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(many.sum()))])
             self.at, self.many = np.concatenate([self.at, at]), np.concatenate([self.many, many])
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        return np.array([self.known[s] for s in strings], np.int64)
+            numbers = range(at_first, at_first + len(new))
+            self.known.update(zip(names, numbers))
+            for i, k in zip(new, numbers):
+                out[i] = k
+        return np.array(out, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets per text)."""
