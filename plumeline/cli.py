@@ -4,6 +4,7 @@
   python -m plumeline.cli load-batteries data/raw/ST60_2025-01.csv ...
   python -m plumeline.cli load-granules data/raw/sentinel5p/          (granule-block Parquet)
   python -m plumeline.cli validate-pixels | validate-facilities
+  python -m plumeline.cli retain [--days N]                          (drop what is out of the window)
   python -m plumeline.cli build-silver | build-gold
   python -m plumeline.cli export-aggregates OUT_DIR                  (the plotted aggregates, as Parquet)
   python -m plumeline.cli ingest-landing LANDING_DIR CHECKPOINT_DIR  (only files not loaded before)
@@ -18,7 +19,7 @@ import argparse
 import json
 import sys
 
-from plumeline.model import TABLE_FACILITIES, TABLE_PIXELS
+from plumeline.model import RETENTION_DAYS, TABLE_FACILITIES, TABLE_PIXELS
 
 
 def _session(args):
@@ -68,6 +69,11 @@ def cmd_validate_facilities(spark, args):
     return _audit(audit_facilities(fac))
 
 
+def cmd_retain(spark, args):
+    from plumeline.sources.retention import apply_retention
+    return {"tables": apply_retention(spark, args.days)}
+
+
 def cmd_build_silver(spark, args):
     from plumeline.operators.medallion import write_facility_tables, write_silver
     return {**write_silver(spark), "facility_tables": write_facility_tables(spark)}
@@ -114,6 +120,7 @@ def main(argv=None) -> int:
     s.add_argument("--gate", action="store_true", help="audit the staged batch first; a bad batch never shows up in bronze")
     sub.add_parser("validate-pixels")
     sub.add_parser("validate-facilities")
+    s = sub.add_parser("retain"); s.add_argument("--days", type=int, default=RETENTION_DAYS)
     sub.add_parser("build-silver")
     sub.add_parser("build-gold")
     s = sub.add_parser("export-aggregates"); s.add_argument("out")

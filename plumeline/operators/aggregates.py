@@ -65,14 +65,29 @@ def monthly_production(fac: DataFrame) -> DataFrame:
     ).orderBy("reporting_month")
 
 
+def bitmap_state(pix: DataFrame) -> DataFrame:
+    """Mergeable state of the coverage counts: rows, first and last time, and bitmaps of the days and orbits, one row per
+    pair of bitmap blocks (32,768 days or orbits each). States of parts of a table merge by ``bitmap_or_agg``."""
+    day, orbit = F.unix_date(F.to_date("measurement_timestamp")).cast("long"), F.col("orbit_number").cast("long")
+    return pix.groupBy(F.bitmap_bucket_number(day).alias("day_block"), F.bitmap_bucket_number(orbit).alias("orbit_block")).agg(
+        _n().alias("n"), F.min("measurement_timestamp").alias("first_date"), F.max("measurement_timestamp").alias("last_date"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("days"), F.bitmap_construct_agg(F.bitmap_bit_position(orbit)).alias("orbits"))
+
+
+def distinct_in(state: DataFrame, block: str, bitmap: str):
+    """Distinct values of one bitmap column of a state, as a scalar subquery."""
+    merged = state.groupBy(block).agg(F.bitmap_or_agg(bitmap).alias("m"))
+    return merged.agg(F.coalesce(F.sum(F.bitmap_count("m")), F.lit(0)).cast("long")).scalar()
+
+
 def pixel_coverage(pix: DataFrame) -> DataFrame:
-    """A1 + A5 + X9."""
-    return pix.agg(
-        _n().alias("total_rows"),
-        F.min("measurement_timestamp").alias("first_date"),
-        F.max("measurement_timestamp").alias("last_date"),
-        F.count_distinct(F.to_date("measurement_timestamp")).alias("unique_dates"),
-        F.count_distinct("orbit_number").alias("unique_orbits"))
+    """A1 + A5 + X9. Distinct days and orbits come from bitmaps: the rows are not expanded per distinct count, and the
+    one aggregate over them is shared by the three results."""
+    state = bitmap_state(pix)
+    return state.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.min("first_date").alias("first_date"),
+                     F.max("last_date").alias("last_date")).select(
+        "total_rows", "first_date", "last_date", distinct_in(state, "day_block", "days").alias("unique_dates"),
+        distinct_in(state, "orbit_block", "orbits").alias("unique_orbits"))
 
 
 def qa_summary(pix: DataFrame, high_qa: float = 0.3) -> DataFrame:

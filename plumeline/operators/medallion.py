@@ -91,11 +91,13 @@ def facility_dim(fac: DataFrame) -> DataFrame:
 
 
 def battery_fact(fac: DataFrame) -> DataFrame:
-    """One row per (facility_id, reporting_month), the latest load (ingestion_date, row_id)."""
+    """One row per (facility_id, reporting_month), the latest load: by ingestion date, then by the load number of the
+    ledger (where the table has one; a corrected file of the same day wins wherever its lines are), then row_id."""
+    load = ["load_no"] if "load_no" in fac.columns else []
     vols = ["oil_prod_m3", "gas_prod_1000m3", "gas_flared_1000m3", "gas_vented_1000m3", "water_prod_m3",
             "total_wells"]
     g = fac.groupBy("facility_id", "reporting_month").agg(
-        F.max(F.struct("ingestion_date", "row_id", *vols)).alias("_r"), _n().alias("n_rows"))
+        F.max(F.struct("ingestion_date", *load, "row_id", *vols)).alias("_r"), _n().alias("n_rows"))
     return g.select("facility_id", "reporting_month", F.col("_r.row_id").alias("row_id"),
                     *[F.col("_r." + v).alias(v) for v in vols], "n_rows")
 

@@ -39,12 +39,14 @@ def sequence_ids(df: DataFrame, order_cols: list, group_cols: list | None = None
     inside = Window.partitionBy(*keys).orderBy(order[-1])
     numbered = rows.withColumn("_n", F.row_number().over(inside).cast("long"))
 
+    # One count per run; the levels above are sums of it, so the rows are read once to be counted and once to be numbered.
+    runs = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) if keys else None
     first_coarse = len(groups)
     offsets = None
     for level in range(first_coarse, len(keys)):
         own, parent = keys[:level + 1], keys[:level]
         before = Window.partitionBy(*parent).orderBy(own[-1]).rowsBetween(Window.unboundedPreceding, -1)
-        counts = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_c"))
+        counts = runs if own == keys else runs.groupBy(*own).agg(F.sum("_c").alias("_c"))
         here = counts.select(*own, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
         if offsets is None:
             offsets = here

@@ -18,6 +18,7 @@ from plumeline.operators.sequence import id_block, sequence_ids
 from plumeline.operators.spatial import within_radius
 from plumeline.plans import fixtures as fx
 from plumeline.sources import swath
+from plumeline.sources.retention import retained
 from plumeline.sources.tables import conform
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,16 +73,31 @@ def rejected_granules(spark, d):
     return swath.granule_load_report(fx.granules(spark, d))
 
 
-def append_row_ids(spark, d):
-    """Two landing batches (days 1-15, then the rest of the month) appended in order; each batch
-    numbers its rows after the rows already loaded. One range-partitioned pass numbers both
-    batches (ids restart per batch); the second batch is offset by the first batch's row count."""
+def _batched(spark, d):
+    """Fixture pixels as two landing batches: days 1-15, then the rest of the month."""
     pix = _pix(spark, d).select("file_path", "scanline", "ground_pixel", "measurement_timestamp")
-    batched = pix.withColumn("load_batch", F.when(F.dayofmonth("measurement_timestamp") <= 15, 1).otherwise(2))
-    numbered = sequence_ids(batched, ["file_path", "scanline", "ground_pixel"], group_cols=["load_batch"], out="_n")
-    existing = batched.where(F.col("load_batch") == 1).agg(F.count(F.lit(1))).scalar()
-    row_id = (F.col("_n") + F.when(F.col("load_batch") == 2, existing).otherwise(F.lit(0))).cast("long")
-    return numbered.select(row_id.alias("row_id"), "load_batch", "file_path", "scanline", "ground_pixel")
+    return pix.withColumn("load_batch", F.when(F.dayofmonth("measurement_timestamp") <= 15, 1).otherwise(2))
+
+
+def append_row_ids(spark, d):
+    """Two landing batches appended in order; the second goes on after the rows of the first. The batch is the
+    first level of the order, so one numbering gives both."""
+    numbered = sequence_ids(_batched(spark, d), ["load_batch", "file_path", "scanline", "ground_pixel"], out="row_id")
+    return numbered.select("row_id", "load_batch", "file_path", "scanline", "ground_pixel")
+
+
+def ids_after_retention(spark, d):
+    """W1 + D8: the first batch, retention (30 days before its newest measurement), then the second batch, whose ids go on
+    after the highest id ever given out, not after the rows that are left."""
+    numbered = sequence_ids(_batched(spark, d), ["load_batch", "file_path", "scanline", "ground_pixel"], out="row_id")
+    newest = _batched(spark, d).where("load_batch = 1").agg(F.max("measurement_timestamp")).scalar()
+    stays = (F.col("load_batch") == 2) | (F.col("measurement_timestamp") >= newest - F.expr("INTERVAL 30 DAYS"))
+    return numbered.where(stays).select("row_id", "load_batch", "file_path", "scanline", "ground_pixel")
+
+
+def retained_pixels(spark, d):
+    """What retention leaves of the bronze pixels."""
+    return retained(_pix(spark, d)).select("row_id", "measurement_timestamp", "ch4_column", "file_path", "scanline", "ground_pixel")
 
 
 def file_row_numbers(spark, d):
@@ -223,5 +239,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     pixels_near_facilities, overlap_summary, grid_mean_005, grid_mean_01, qa_histogram, ch4_histogram,
     facility_preview, audit_pixels, audit_facilities, silver_pixels, facility_dim, battery_fact,
     facility_pixel_agg, ch4_hotspots, enhancement_vs_activity, activity_correlation, month_in_file_name,
-    typed_projection, preferred_season_pixels,
+    typed_projection, preferred_season_pixels, ids_after_retention, retained_pixels,
 ]}

@@ -147,6 +147,19 @@ select row_number() over (partition by load_batch order by file_path, scanline,
        load_batch, file_path, scanline, ground_pixel
 from b"""
 
+Q["ids_after_retention"] = """
+, b as (select file_path, scanline, ground_pixel, measurement_timestamp,
+               case when day(measurement_timestamp) <= 15 then 1 else 2 end as load_batch from bronze_pix),
+loaded as (select *, row_number() over (partition by load_batch order by file_path, scanline, ground_pixel) as own from b)
+select case when load_batch = 2 then (select max(own) from loaded where load_batch = 1) else 0 end + own as row_id,
+       load_batch, file_path, scanline, ground_pixel
+from loaded
+where load_batch = 2 or measurement_timestamp >= (select max(measurement_timestamp) from b where load_batch = 1) - interval '30' day"""
+
+Q["retained_pixels"] = """
+select row_id, measurement_timestamp, ch4_column, file_path, scanline, ground_pixel from bronze_pix
+where measurement_timestamp >= (select max(measurement_timestamp) from bronze_pix) - interval '365' day"""
+
 Q["file_row_numbers"] = """
 select f as source_file, row_id, row_number() over (partition by f order by row_id) as file_row
 from (select case when row_id % 97 <> 0 then source_file end as f, row_id from geo

@@ -2,7 +2,7 @@
 
 File layout: line 1 a title, line 2 the header, line 3 units, data from line 4. Columns are found by name
 in each file's own header, in any order; files of one load may have different layouts. Files are
-split across tasks like any text; the first lines of a file are found from their position within
+split across tasks like any text, quoted fields may hold line breaks (``csv_records``); the first lines of a file are found from their position within
 its first split, never by a global row position. A file is identified by its full path.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from plumeline.functions.names import month_from_name
 from plumeline.functions.numeric import is_fractional, lenient_double, lenient_int
 from plumeline.model import BATTERY_CSV_COLUMNS, REQUIRED_CSV_COLUMN
+from plumeline.sources.csv_records import csv_records
 
 NUMERIC_DOUBLE = ("oil_prod_m3", "gas_prod_1000m3", "gas_flared_1000m3", "gas_vented_1000m3", "water_prod_m3")
 NUMERIC_INT = ("total_wells",)
@@ -62,8 +63,11 @@ def _lines(spark: SparkSession, paths) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_line_block"), F.monotonically_increasing_id().alias("_line_pos"))
 
 
-def read_battery_files(spark: SparkSession, paths, bad_files: str = "raise") -> tuple[DataFrame, DataFrame]:
-    """(typed rows, files): rows of all good files, and (path, source_file, header, reason) of every file.
+def read_battery_files(spark: SparkSession, paths, bad_files: str = "raise") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(typed rows, files, unclosed): rows of all good files, (path, source_file, header, reason) of every file, and
+    (path, source_file, value) of the first line of a record that its file ends without closing the quotes of.
+
+    A record may span lines inside a quoted field, over the borders of splits (``csv_records``).
 
     ``reason`` is NULL for a good file, ``no_required_column`` if line 2 lacks the location column (or there is
     no line 2) and ``no_month_in_name`` if the file name carries none. With ``bad_files="raise"``
@@ -94,10 +98,11 @@ def read_battery_files(spark: SparkSession, paths, bad_files: str = "raise") ->
             raise ValueError(f"Could not extract reporting month from file name(s): {[r['path'] for r in bad]}")
     good = files.where(F.col("reason").isNull()).select(F.col("path").alias("_file"), "_first", "_at")
     width = max([w for _, w, _ in layouts], default=1)
-    body = lines.join(good, lines["_path"] == good["_file"]).where(
-        ((F.col("_line_block") > 0) | (F.col("_line_pos") > F.col("_first") + 2)) & (F.trim("value") != ""))
+    body = lines.join(good, lines["_path"] == good["_file"]).where((F.col("_line_block") > 0) | (F.col("_line_pos") > F.col("_first") + 2))
+    body, unclosed = csv_records(body)
+    body = body.where(F.trim("value") != "")
     names = [f"c{i}" for i in range(width)]
-    parsed = body.withColumn("_row", F.from_csv("value", ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"}))
+    parsed = body.withColumn("_row", F.from_csv("value", ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE", "escape": "\""}))
     cells = parsed.withColumn("_cells", F.array(*[F.col(f"_row.{n}") for n in names]))
 
     cols = []
@@ -116,7 +121,7 @@ def read_battery_files(spark: SparkSession, paths, bad_files: str = "raise") ->
     rows = rows.select(*[c for c in rows.columns if c not in ("_path", "source_file", "_line_block", "_line_pos")],
                        "_path", "source_file", month_from_name("source_file").alias("reporting_month"),
                        F.current_date().alias("ingestion_date"), "_line_block", "_line_pos")
-    return rows, files.select("path", "source_file", "header", "reason")
+    return rows, files.select("path", "source_file", "header", "reason"), unclosed.select(F.col("_path").alias("path"), "source_file", "value")
 
 
 def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -> DataFrame:
@@ -125,7 +130,7 @@ def read_battery_csv(spark: SparkSession, paths, with_line_order: bool = True) -
     Adds ``source_file``, ``reporting_month`` (from the file name), ``ingestion_date`` and
     ``_line_block`` / ``_line_pos`` (file order) for per-file row numbers.
     """
-    rows, _ = read_battery_files(spark, paths)
+    rows, _, _ = read_battery_files(spark, paths)
     return rows if with_line_order else rows.drop("_path", "_line_block", "_line_pos")
 
 

@@ -26,7 +26,7 @@ def battery_rows(spark: SparkSession, paths, mode: str = "as_written", bad_files
     path. ``bad_files``: "raise" for a file without the required columns or month, or "reject" to
     report it as one reject row.
     """
-    raw, files = read_battery_files(spark, paths, bad_files)
+    raw, files, unclosed = read_battery_files(spark, paths, bad_files)
     geo = with_location(raw, "bty_location_raw", mode)
     located = geo.where(F.col("latitude").isNotNull() & ~F.col("_fractional_total_wells"))
     rejects = geo.where(F.col("latitude").isNull() | F.col("_fractional_total_wells")).select(
@@ -36,6 +36,8 @@ def battery_rows(spark: SparkSession, paths, mode: str = "as_written", bad_files
     none = F.lit(None).cast("string")
     rejects = rejects.unionByName(files.where(F.col("reason").isNotNull()).select(
         F.col("path").alias("source_path"), "source_file", none.alias("facility_id"), none.alias("bty_location_raw"), "reason"))
+    rejects = rejects.unionByName(unclosed.select(F.col("path").alias("source_path"), "source_file", none.alias("facility_id"),
+                                                  F.col("value").alias("bty_location_raw"), F.lit("unclosed_quote").alias("reason")))
     numbered = sequence_ids(located, ["_line_block", id_block("_line_pos"), "_line_pos"], group_cols=["_path"], out="row_id")
     return numbered.withColumnRenamed("_path", "source_path").drop("_line_block", "_line_pos", "_fractional_total_wells"), rejects
 

@@ -33,10 +33,15 @@ def _paths(paths) -> list[str]:
 
 
 def granule_files(spark: SparkSession, paths) -> DataFrame:
-    """(path, size) of every granule file under ``paths``, from the listing (contents are not read)."""
+    """(path, size) of every granule file under ``paths``, from the listing (contents are not read). A scan gives no row
+    for a file without bytes; those come from the names that Spark listed for it."""
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
               .load(_paths(paths)))
-    return listed.select("path", F.col("length").alias("size"))
+    sized = listed.select("path", F.col("length").alias("size"))
+    same = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    named = spark.createDataFrame([(f,) for f in listed.inputFiles()], "path string")
+    silent = named.join(sized.select(same("path").alias("seen")), same("path") == F.col("seen"), "left_anti")
+    return sized.unionByName(silent.withColumn("size", F.lit(0).cast("long")))
 
 
 def content_hashes(granules: DataFrame) -> DataFrame:
