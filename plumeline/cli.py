@@ -5,7 +5,7 @@
   python -m plumeline.cli load-granules data/raw/sentinel5p/          (granule-block Parquet)
   python -m plumeline.cli validate-pixels | validate-facilities
   python -m plumeline.cli retain [--days N]                          (drop what is out of the window)
-  python -m plumeline.cli build-silver | build-gold
+  python -m plumeline.cli build-silver | build-gold | refresh        (refresh: only the days of new loads)
   python -m plumeline.cli export-aggregates OUT_DIR                  (the plotted aggregates, as Parquet)
   python -m plumeline.cli ingest-landing LANDING_DIR CHECKPOINT_DIR  (only files not loaded before)
   python -m plumeline.cli ingest-granule-landing LANDING_DIR CHECKPOINT_DIR
@@ -84,6 +84,11 @@ def cmd_build_gold(spark, args):
     return write_hotspots(spark)
 
 
+def cmd_refresh(spark, args):
+    from plumeline.sources.refresh import refresh_hotspots, refresh_silver
+    return {"tables": [refresh_silver(spark), refresh_hotspots(spark)]}
+
+
 def cmd_export_aggregates(spark, args):
     from plumeline.operators import aggregates as A
     from plumeline.sources.tables import write_parquet
@@ -123,6 +128,7 @@ def main(argv=None) -> int:
     s = sub.add_parser("retain"); s.add_argument("--days", type=int, default=RETENTION_DAYS)
     sub.add_parser("build-silver")
     sub.add_parser("build-gold")
+    sub.add_parser("refresh")
     s = sub.add_parser("export-aggregates"); s.add_argument("out")
     s = sub.add_parser("ingest-landing"); s.add_argument("landing"); s.add_argument("checkpoint")
     s.add_argument("--mode", default="as_written")

@@ -9,7 +9,7 @@ millions of copies never meets in one task as rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,21 +47,22 @@ def dedupe_keep_min(df: DataFrame, key: list, order_col: str) -> DataFrame:
     return agg.select(*key, *[F.col("_r." + c).alias(c) for c in [order_col] + rest]).select(*df.columns)
 
 
-def silver_pixels(pix: DataFrame) -> DataFrame:
+def silver_pixels(pix: DataFrame, newest: Column | None = None) -> DataFrame:
     """D1 + D7 + D8: the last 365 days before the newest measurement of the input, qa >= 0.5, CH4 in the valid
     range, one row per (file, scanline, ground_pixel) keeping the lowest row_id, and a flag for the
     preferred June-August season.
 
     Retention comes first: older rows are not deduplicated at all (of copies with different times only
     those inside the window compete), and on a table partitioned by ``measurement_date`` it prunes folders.
+    ``newest`` is the newest measurement to count from, if ``pix`` is only a part of the table.
     """
     cols = ["row_id", "measurement_timestamp", "ch4_column", "qa_value", "latitude", "longitude",
             "orbit_number", "file_path", "scanline", "ground_pixel"]
     recent = pix
     if "measurement_date" in pix.columns:                        # the partition column of the bronze table
-        newest_day = pix.agg(F.max("measurement_date")).scalar()
+        newest_day = pix.agg(F.max("measurement_date")).scalar() if newest is None else F.to_date(newest)
         recent = pix.where(F.col("measurement_date") >= F.date_sub(newest_day, RETENTION_DAYS))
-    newest = recent.agg(F.max("measurement_timestamp")).scalar()
+    newest = recent.agg(F.max("measurement_timestamp")).scalar() if newest is None else newest
     recent = recent.where(F.col("measurement_timestamp") >= newest - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
     s = dedupe_keep_min(ch4_in_range(qa_at_least(recent, QA_SILVER)).select(*cols), list(PIXEL_KEY), "row_id")
     month = F.month("measurement_timestamp")
@@ -132,6 +133,22 @@ def ch4_hotspots(pix: DataFrame, min_pixels: int = MIN_PIXELS_PER_CELL) -> DataF
     return ranked.withColumn("hotspot_rank", F.rank().over(Window.orderBy(F.col("avg_ch4").desc())).cast("long"))
 
 
+def cell_states(pix: DataFrame, *by: str) -> DataFrame:
+    """Mergeable state of the hotspot cells: gold pixels and their CH4 sum per 0.1-degree cell (and ``by``, e.g. the day)."""
+    return gold_pixels(pix).groupBy(*by, round_n("latitude", 1).alias("lat_grid"), round_n("longitude", 1).alias("lon_grid")).agg(
+        F.count("ch4_column").alias("n"), F.sum("ch4_column").alias("s"), _n().alias("n_pixels"))
+
+
+def hotspots_of(states: DataFrame, min_pixels: int = MIN_PIXELS_PER_CELL) -> DataFrame:
+    """D6 from cell states of any parts of the table: the same rows as ``ch4_hotspots`` over all their pixels."""
+    cells = states.groupBy("lat_grid", "lon_grid").agg(F.sum("n_pixels").alias("n_pixels"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    regional = states.agg(F.sum("s") / F.sum("n")).scalar()
+    found = cells.where(F.col("n_pixels") >= F.lit(min_pixels)).select(
+        "lat_grid", "lon_grid", "n_pixels", (F.col("s") / F.col("n")).alias("avg_ch4"))
+    ranked = found.withColumn("enhancement", round_n(F.col("avg_ch4") - regional, 4))
+    return ranked.withColumn("hotspot_rank", F.rank().over(Window.orderBy(F.col("avg_ch4").desc())).cast("long"))
+
+
 def enhancement_vs_activity(pix: DataFrame, fac: DataFrame, radius_m: float = FACILITY_BUFFER_M) -> DataFrame:
     """Per facility and month, CH4 of the pixel centres within ``radius_m`` (mean, and enhancement over the
     regional mean of the month) beside the activity reported for that month (flared + vented gas, produced gas

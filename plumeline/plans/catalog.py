@@ -224,6 +224,12 @@ def ch4_hotspots(spark, d):
     return M.ch4_hotspots(_pix(spark, d))
 
 
+def hotspots_from_day_states(spark, d):
+    """D6 from mergeable states: counts and sums per day and cell, merged and ranked."""
+    pix = _pix(spark, d).withColumn("day", F.to_date("measurement_timestamp"))
+    return M.hotspots_of(M.cell_states(pix, "day"))
+
+
 def enhancement_vs_activity(spark, d):
     return M.enhancement_vs_activity(_pix(spark, d), _fac(spark, d))
 
@@ -240,4 +246,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     facility_preview, audit_pixels, audit_facilities, silver_pixels, facility_dim, battery_fact,
     facility_pixel_agg, ch4_hotspots, enhancement_vs_activity, activity_correlation, month_in_file_name,
     typed_projection, preferred_season_pixels, ids_after_retention, retained_pixels,
+    hotspots_from_day_states,
 ]}

@@ -377,6 +377,8 @@ from near join bfact on near.facility_id = bfact.facility_id and near.month = bf
 join regional on near.month = regional.month)
 """
 
+Q["hotspots_from_day_states"] = Q["ch4_hotspots"]
+
 Q["enhancement_vs_activity"] = _ENHANCEMENT + "select * from eva"
 
 Q["activity_correlation"] = _ENHANCEMENT + """

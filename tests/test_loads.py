@@ -180,6 +180,37 @@ def test_retention_drops_days_and_ids_do_not_come_again(bronze):
     assert res["rows_loaded"] == 2 and len(set(ids)) == len(ids) and {13, 14} <= set(ids)
 
 
+def test_refresh_rewrites_the_days_of_new_loads_only(bronze):
+    from plumeline.operators import medallion as M
+    from plumeline.sources import refresh
+
+    def full():
+        pix = bronze.table(TABLE_PIXELS)
+        return [sorted(map(str, df.select(*sorted(df.columns)).collect())) for df in
+                (M.silver_pixels(pix), M.ch4_hotspots(pix, 5))]
+
+    def now():
+        tables_ = (bronze.table("silver.sentinel5p_ch4_cleaned").drop("day"), bronze.table("gold.regional_ch4_hotspots"))
+        return [sorted(map(str, df.select(*sorted(df.columns)).collect())) for df in tables_]
+
+    for name in ("silver.sentinel5p_ch4_cleaned", "gold.regional_ch4_hotspots", refresh.CELL_DAYS, refresh.MARKS):
+        bronze.sql(f"DROP TABLE IF EXISTS {name}")
+    ingest.load_granules(bronze, granules(bronze, [("a.nc", 0, [0, 1], 12), ("b.nc", 0, [1, 2], 12)]))
+    assert refresh.refresh_silver(bronze)["days"] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    refresh.refresh_hotspots(bronze)
+    assert now() == full()
+    before = {**files_of(bronze, "silver.sentinel5p_ch4_cleaned"), **files_of(bronze, refresh.CELL_DAYS)}
+    # A new file on a new day, and the same pixels of b.nc once more, now also measured on that day.
+    ingest.load_granules(bronze, granules(bronze, [("c.nc", 0, [5], 12), ("b.nc", 0, [5, 2], 14)]))
+    assert refresh.refresh_silver(bronze)["days"] == ["2024-01-02", "2024-01-03", "2024-01-06"]
+    assert refresh.refresh_hotspots(bronze)["days"] == ["2024-01-01", "2024-01-03", "2024-01-06"]
+    assert now() == full() and len(now()[1]) > 0
+    after = {**files_of(bronze, "silver.sentinel5p_ch4_cleaned"), **files_of(bronze, refresh.CELL_DAYS)}
+    assert {f for f in before if after.get(f) == before[f]} == {f for f in before if f in after} != set()
+    assert refresh.refresh_silver(bronze)["days"] == []
+    assert now() == full()
+
+
 def test_writes_are_zstd_clustered_and_split_hot_days(bronze, scratch):
     import pyarrow.parquet as pq
 
