@@ -160,7 +160,7 @@ def test_substring_dedup_answers_all_texts_that_share_the_smallest_id_of_a_slice
 def test_substring_entries_answered_in_a_slice_go_to_many_groups(spark):
     text = words(random.Random(6), 40)
     docs = spark.range(64).repartition(16).selectExpr("id AS key", "id", f"'{text}' AS text")
-    packs = docs.mapInArrow(lambda it: substring._probe(it, 13, 7, 8, 4 << 20), "bucket int, payload binary")
+    packs = docs.mapInArrow(lambda it: substring._probe(it, 13, 7, 8, 4 << 20, 3), "bucket int, payload binary")
     assert packs.where("bucket < 0").select("bucket").distinct().count() >= 4
 
 
