@@ -14,6 +14,8 @@ rows follow each other. Ids and texts of any size are allowed; other columns are
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -85,32 +87,56 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "merkle", F.struct(root(F.col("merkle.sections")).alias("root"), F.col("merkle.sections").alias("sections")))
 
 
+def _longs(values: list[int]) -> Column:
+    """A constant array; one literal in the plan whatever its length."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _bounds(rows: DataFrame, bucket_rows: int, sampled: int) -> list[tuple[int, int]]:
+    """Least (key, th) of each bucket, ascending; the first bucket takes everything below.
+
+    The bounds cut a sample of the pairs evenly: about ``sampled`` distinct pairs at most, chosen by their hash and
+    weighted by their rows. They decide the balance of the buckets only. At most ``sampled`` / 4 buckets.
+    """
+    n = rows.count()
+    share = (1 << 40) * min(sampled, n) // max(n, 1)
+    got = rows.where(F.pmod(F.xxhash64("key", "th"), F.lit(1 << 40)) < share).groupBy("key", "th").agg(F.count(F.lit(1)).alias("n"))
+    got = sorted(tuple(r) for r in got.collect())
+    step = sum(r[2] for r in got) / max(min(-(-n // bucket_rows), sampled // 4), 1)
+    bounds, passed = [(-(1 << 63),) * 2], 0
+    for key, th, rows_of in got:
+        if passed >= step * len(bounds):
+            bounds.append((key, th))
+        passed += rows_of
+    return bounds
+
+
 def with_next_text(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 512,
-                   quantiles: int = 64) -> DataFrame:
+                   sampled: int = 200_000) -> DataFrame:
     """(id, text, next_text) with the text of the next row by ascending id; the last row gets the first's.
 
-    Rows fall into id ranges: ``quantiles`` ranges of about equal counts (approximate quantiles of the ids, a bounded
-    driver value), each cut evenly into buckets of about ``bucket_rows``. Each bucket is ordered by itself; the
+    Rows fall into ranges of (id, text hash) of about ``bucket_rows`` rows, or as many as keep the ranges within
+    ``sampled`` / 4, however the ids lie and however many rows share one. Each bucket is ordered by itself; the
     first row of every bucket is also sent to the bucket before it, which closes the gaps. Texts are
     shuffled once.
     """
     top = (1 << 63) - 1
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(top)).alias("key"), F.col(id_col).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    n, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx("key", [i / quantiles for i in range(quantiles + 1)], 10_000)).first()
-    cuts = sorted(set(cuts or [0]))
-    parts = max(-(-n // (bucket_rows * quantiles)), 1)
-    # Number of the quantile range, then the place inside it; both rise with the key.
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    q = F.greatest(F.size(F.filter(bounds, lambda c: c <= F.col("key"))), F.lit(1))
-    low = F.element_at(bounds, q).cast("double")
-    high = F.coalesce(F.try_element_at(bounds, q + 1).cast("double"), low)
-    inside = F.when(high > low, F.floor((F.col("key").cast("double") - low) / (high - low) * parts)).otherwise(F.lit(0))
-    bucket = (q.cast("long") * (parts + 1) + F.least(F.greatest(inside, F.lit(0)), F.lit(parts))).alias("bucket")
-    rows = rows.select("key", "id", "th", "text", bucket)
+    bounds = _bounds(rows, bucket_rows, sampled)
+    keys, ths = [b[0] for b in bounds], [b[1] for b in bounds]
+    run = max(math.isqrt(len(bounds)), 1)
+
+    def reached(ks: Column, ts: Column, skip: Column) -> Column:
+        return F.size(F.filter(ks, lambda k, i: (k < F.col("key")) | ((k == F.col("key")) & (F.get(ts, skip + i) <= F.col("th")))))
+
+    # Bounds reached, in two steps: whole runs of bounds first, then inside the last run begun.
+    rows = rows.withColumn("skip", (reached(_longs(keys[::run]), _longs(ths[::run]), F.lit(0)) - 1) * run)
+    bucket = F.col("skip") + reached(F.slice(_longs(keys), F.col("skip") + 1, F.lit(run)), _longs(ths), F.col("skip"))
+    rows = rows.select("key", "id", "th", "text", bucket.cast("long").alias("bucket"))
 
     firsts = rows.groupBy("bucket").agg(F.min(F.struct("key", "th")).alias("f"))
-    order = Window.orderBy("bucket")                              # one row per bucket
+    order = Window.orderBy("bucket")                              # one row per bucket, at most sampled / 4
     firsts = firsts.select("f", F.lag("bucket").over(order).alias("before"), F.max("bucket").over(
         Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last"))
     firsts = firsts.select(F.col("f.key").alias("key"), F.col("f.th").alias("th"), F.coalesce("before", "last").alias("to"),
