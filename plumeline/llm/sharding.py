@@ -13,7 +13,8 @@ holds more than a chunk. Slots are then translated back down the levels by joins
 
 Defined results: a null text has size 1 and is grouped with empty texts. Size is the UTF-8 length plus
 one. Rows keep null ids and repeats; every row has its own slot number. Ties between equal spreads
-are broken by group hash, so the result does not depend on task order. Extra columns are ignored.
+are broken by group hash, so the shards do not depend on task order. Slots follow no order of the ids: rows
+are numbered in buckets by a row number, so an id that many rows share is spread like any other. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -107,18 +108,18 @@ def group_slots(groups: DataFrame, k: int, chunk: int = 4096) -> DataFrame:
     return placed.join(maps, "chunk").select("g", F.col("slots")[F.col("slot")].alias("shard"))
 
 
-def number_rows(rows: DataFrame, key: str, order: str, bucket_rows: int = 50_000) -> DataFrame:
+def number_rows(rows: DataFrame, key: str, unique: str, bucket_rows: int = 50_000) -> DataFrame:
     """``rows`` with ``slot``: gapless from 0 inside each ``key``, without gathering a key in one task.
 
     Rows are numbered inside (key, bucket) and shifted by the counts of the buckets before; the only
-    ordered pass over a whole key sees one row per bucket.
+    ordered pass over a whole key sees one row per bucket. Buckets go by ``unique``, which no two rows share.
     """
     n = max(-(-rows.count() // bucket_rows), 1)
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(order), F.lit(n)))
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(unique), F.lit(n)))
     counts = rows.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(key, "_bucket").orderBy(order)
+    inside = Window.partitionBy(key, "_bucket").orderBy(unique)
     return (rows.withColumn("slot", F.row_number().over(inside).cast("long") - 1)
             .join(F.broadcast(shift) if n <= 10_000 else shift, [key, "_bucket"])
             .withColumn("slot", F.col("slot") + F.col("_before")).drop("_bucket", "_before"))
@@ -129,6 +130,7 @@ def byte_shards(docs: DataFrame, shards: int = 8, *, id_col: str = "doc_id", tex
     """(id, size, text_crc32, g, shard, slot) per row; rows of one text ``g`` share a shard."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = materialize(docs.select(F.col(id_col).alias("id"), (F.octet_length(text).cast("long") + 1).alias("size"),
-                                   F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("g")))
+                                   F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("g"),
+                                   F.monotonically_increasing_id().alias("_row")))          # fixed once written
     groups = group_slots(rows.groupBy("g").agg(F.sum("size").alias("size")), shards, chunk)
-    return number_rows(rows.join(groups, "g"), "shard", "id")
+    return number_rows(rows.join(groups, "g"), "shard", "_row").drop("_row")
