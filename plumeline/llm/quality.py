@@ -13,9 +13,11 @@ and these become training rows of the *other* view. Afterwards each view's margi
 rows kept out of the fit, and a small logistic combination of the calibrated log odds (each, and the surer of
 both) gives the probability.
 
-Fitting uses a bounded sample: about ``max_labelled`` labelled and ``max_pool`` unlabelled documents (by a hash of
-their id); word features of fewer than four labelled documents of the whole sample are not considered. Scoring
-covers every document and its whole text, in one pass without a shuffle.
+Fitting uses a bounded sample: about ``max_labelled`` labelled and ``max_pool`` unlabelled ids (by a hash of the id), one
+document of each (of an id that repeats, the one with the smallest text hash), so the rows collected stay within the bounds
+however often an id occurs. Word features of fewer than four labelled documents of the whole sample are not considered; of
+the others each judgement keeps its ``features`` most telling ones (a parameter). Scoring covers every document and its
+whole text, in one pass without a shuffle.
 
 Defined results: a null text is scored as the empty text. Missing metadata columns, null values and
 unknown sources count as "none". Label rows that share a doc_id are merged (smallest quality, largest toxic);
@@ -359,7 +361,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = rows.join(marks, F.col("id") == F.col("label_id"), "left")
     labelled = F.col("low").isNotNull() | F.col("toxic").isNotNull()
     rows = rows.where((labelled & (place("id") < wanted)) | (~labelled & (place("id") < pool)))
-    sample = materialize(rows.select("id", "text", "low", "toxic", "source", "lang"))
+    one = rows.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text", "low", "toxic", "source", "lang")).alias("r"))
+    sample = materialize(one.select("id", *[f"r.{c}" for c in ("text", "low", "toxic", "source", "lang")]))
 
     counts = sample.where(labelled).select("text", "low", "toxic").mapInArrow(_feature_counts, "h long, l0 long, l1 long, t0 long, t1 long")
     counts = counts.groupBy("h").agg(*[F.sum(c).cast("double").alias(c) for c in ("l0", "l1", "t0", "t1")])
