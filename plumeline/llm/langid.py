@@ -10,8 +10,10 @@ A set of hashed n-grams fills up with the length of a text, so a text of more th
 equal pieces that together hold every n-gram of it. Its margins are the means of the pieces' margins.
 
 Fitting takes about ``per_label`` labelled rows of each label (those with the smallest hash of their id and text,
-one at least) and ``landmarks`` of them all, at least ``label_landmarks`` of each label, as landmarks; their presence
-bits go to the driver (2^bits / 8 bytes a row). Every label is learned. Every text is scored whole.
+one at least; fewer of each where the labels are so many that they would pass ``max_rows`` together) and ``landmarks``
+of them all, at least ``label_landmarks`` of each label, as landmarks; their presence bits go to the driver
+(2^bits / 8 bytes a row). Every label is learned. Every text is learned and scored whole: the set of a long
+labelled text holds the n-grams that at least half of its pieces have.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. With no labelled row at all
 every text is ``und``. Rows without a label, and held-out rows, are not used for fitting. Other columns are
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumeline.llm.runtime import with_package
+from plumeline.llm.runtime import materialize, with_package
 from plumeline.llm.textkernels import LOWER, slices, string_buffers
 
 _MIX = np.uint32(0x9E3779B1)
@@ -66,12 +68,26 @@ def pieces(column: pa.Array, max_n: int, size: int = _PIECE) -> tuple[pa.Array,
     return pa.LargeStringArray.from_buffers(len(row), pa.py_buffer(places), pa.py_buffer(raw)), count
 
 
+def whole_sets(column: pa.Array, bits: int, max_n: int, size: int = _PIECE) -> np.ndarray:
+    """Packed presence bits of each text; of a text of several pieces, the places that at least half of them have."""
+    parts, count = pieces(column, max_n, size)
+    first = np.cumsum(count) - count
+    out = np.zeros((len(column), max((1 << bits) // 8, 1)), np.uint8)
+    short = np.flatnonzero(count == 1)
+    for i in range(0, len(short), 512):
+        out[short[i:i + 512]] = np.packbits(presence(parts.take(pa.array(first[short[i:i + 512]])), bits, max_n), axis=1)
+    for r in np.flatnonzero(count > 1):
+        held = np.zeros(1 << bits, np.int64)
+        for i in range(0, count[r], 256):
+            held += presence(parts.slice(first[r] + i, min(256, count[r] - i)), bits, max_n).sum(axis=0, dtype=np.int64)
+        out[r] = np.packbits(2 * held >= count[r])
+    return out
+
+
 def _packed(batches, bits: int, max_n: int) -> Iterator[pa.RecordBatch]:
-    """(label, text) -> label and presence bits; of a long text those of its middle piece."""
+    """(label, text) -> label and presence bits of the whole text."""
     for batch in slices(batches, 1, 1 << 20):
-        parts, count = pieces(batch.column(1), max_n)
-        middle = parts.take(pa.array(np.cumsum(count) - count + count // 2))
-        sets = np.packbits(presence(middle, bits, max_n), axis=1)
+        sets = whole_sets(batch.column(1), bits, max_n)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["label", "grams"])
 
 
@@ -119,16 +135,20 @@ def _fit(labels: list[str], y: np.ndarray, sets: np.ndarray, n_landmarks: int, r
 
 
 def fit(labelled: DataFrame, *, id_col: str, text_col: str, label_col: str, per_label: int = 800, landmarks: int = 192,
-        ridge: float = 1e-3, bits: int = 12, max_n: int = 4, label_landmarks: int = 4) -> StringKernelModel | None:
+        ridge: float = 1e-3, bits: int = 12, max_n: int = 4, label_landmarks: int = 4, max_rows: int = 64_000) -> StringKernelModel | None:
     """Fit on a bounded sample of the labelled rows; None if there are none."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     # Rows whose hash lies under a label's share of the hash range: about ``per_label`` each and one at least, no sort of a label.
     rows = rows.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"),
                        F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(1 << 40)).alias("place"))
     counts = rows.groupBy(F.col("label").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
-    share = F.greatest(F.floor(F.lit(1 << 40) / F.col("n") * per_label), F.col("least") + 1)
+    counts = materialize(counts)
+    n_labels = counts.count()
+    each = min(per_label, max(max_rows // max(n_labels, 1), 1))
+    share = F.greatest(F.floor(F.lit(1 << 40) / F.col("n") * each), F.col("least") + 1)
     counts = counts.select("name", share.alias("share"))
-    sample = rows.join(F.broadcast(counts), F.col("label") == F.col("name")).where("place < share").select("label", "text")
+    counts = F.broadcast(counts) if n_labels <= max_rows else counts
+    sample = rows.join(counts, F.col("label") == F.col("name")).where("place < share").select("label", "text")
     sample = sample.mapInArrow(lambda it: _packed(it, bits, max_n), "label string, grams binary")
     got = sorted((r["label"], bytes(r["grams"])) for r in sample.distinct().collect())
     if not got:
