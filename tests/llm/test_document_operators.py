@@ -101,11 +101,11 @@ def next_texts(rows):
     return sorted(rows, key=lambda r: ((1 << 63) - 1 if r[0] is None else r[0]))
 
 
-@pytest.mark.parametrize("bucket_rows,quantiles", [(512, 64), (1, 3), (4, 2)])
-def test_next_document_and_edits(spark, rows, bucket_rows, quantiles):
+@pytest.mark.parametrize("bucket_rows,sampled", [(512, 200_000), (1, 1000), (4, 30)])
+def test_next_document_and_edits(spark, rows, bucket_rows, sampled):
     unique = list({r[0]: r for r in rows if r[0] is not None}.values()) + [(10 ** 15, "far away", None, None, None), (-5, "first", None, None, None)]
     df = spark.createDataFrame([(r[0], r[1]) for r in unique], "doc_id long, text string").repartition(5)
-    got = {r["id"]: r for r in merkle.with_next_text(df, bucket_rows=bucket_rows, quantiles=quantiles)
+    got = {r["id"]: r for r in merkle.with_next_text(df, bucket_rows=bucket_rows, sampled=sampled)
            .withColumn("edited", merkle.edited_text(F.col("text"), F.col("next_text"))).collect()}
     order = next_texts(unique)
     assert len(got) == len(order)
@@ -122,6 +122,31 @@ def test_next_document_with_null_and_repeated_ids(spark, docs, rows):
     assert all(r["next_text"] is not None for r in got)
 
 
+@pytest.mark.parametrize("ids", ["blocks", "hot"])
+def test_buckets_follow_the_rows_not_the_ids(spark, ids):
+    """Ids in far blocks, and one id on a third of the rows: buckets stay near the wanted size and no neighbour is lost."""
+    if ids == "blocks":
+        rows = [((b << 33) + i, f"text {b} {i}") for b in range(10) for i in range(200)]
+    else:
+        rows = [(7 if i % 3 == 0 else 1000 + i, f"text {i}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed = df.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("th"), "text")
+    order = sorted((r["key"], r["th"], r["text"]) for r in keyed.collect())
+    bounds = merkle._bounds(keyed, 50, 100_000)
+    at = [sum(b <= r[:2] for b in bounds) for r in order]
+    assert max(np.bincount(at)) <= 100 and len(bounds) <= len(rows) // 50 + 1
+    got = {r["text"]: (r["id"], r["next_text"]) for r in merkle.with_next_text(df, bucket_rows=50).collect()}
+    assert len(got) == len(rows)
+    for a, b in zip(order, order[1:] + order[:1]):
+        assert got[a[2]] == (a[0], b[2])
+
+
+def test_fingerprints_of_an_empty_and_a_wide_table(empty, wide, docs):
+    assert merkle.with_next_text(empty).count() == 0 and merkle.fingerprints(empty).count() == 0
+    want = sorted(str(tuple(r)) for r in merkle.with_next_text(docs).collect())
+    assert sorted(str(tuple(r)) for r in merkle.with_next_text(wide).collect()) == want
+
+
 def test_equal_texts_have_equal_roots_and_others_differ(docs, rows):
     out = merkle.fingerprints(docs.select("doc_id", "text")).select("text", "merkle.root").collect()
     by_text = defaultdict(set)
@@ -240,6 +265,19 @@ def test_sharding_an_empty_table(empty):
     assert sharding.byte_shards(empty, 4).count() == 0
 
 
+def test_slots_of_a_hot_id_and_of_a_wide_table(spark, wide, rows):
+    assert sharding.byte_shards(wide, 4).count() == len(rows)
+    hot = [(7 if i % 3 == 0 else i, "same" if i % 6 == 0 else f"text {i}") for i in range(600)]
+    df = spark.createDataFrame(hot, "doc_id long, text string").repartition(4)
+    slots = defaultdict(list)
+    for r in sharding.byte_shards(df, 4).collect():
+        slots[r["shard"]].append(r["slot"])
+    assert sum(map(len, slots.values())) == 600 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    numbered = sharding.number_rows(spark.range(600).select(F.lit(1).alias("k"), F.lit(7).alias("id"), F.col("id").alias("_row")), "k", "_row", 20)
+    assert sorted(r["slot"] for r in numbered.collect()) == list(range(600))
+    assert numbered.drop("slot").columns == ["k", "id", "_row"]
+
+
 def test_digest_of_the_edit_contract(spark):
     out = spark.createDataFrame([("äbcdefgh", "zé")], "a string, b string").select(
         F.sha2(merkle.edited_text(F.col("a"), F.col("b")), 256)).first()[0]

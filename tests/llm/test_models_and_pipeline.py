@@ -59,6 +59,26 @@ def test_every_label_is_learned(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.9
 
 
+def test_long_labelled_texts_are_learned_whole():
+    """The set of a long text: places of at least half of its pieces, not of one piece."""
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = [words(rng, 40), "", words(rng, 60) + " " + "zq" * 300 + " " + words(rng, 60)]
+    for size, several in ((1 << 13, False), (64, True)):
+        sets = np.unpackbits(langid.whole_sets(pa.array(texts), 12, 4, size), axis=1)
+        for text, got in zip(texts, sets):
+            parts, _ = langid.pieces(pa.array([text]), 4, size)
+            grams = np.stack([langid.presence(pa.array([p]), 12, 4)[0] for p in parts.to_pylist()])
+            assert several == (len(grams) > 1) or len(text) < 64
+            assert (got == (2 * grams.sum(axis=0, dtype=int) >= len(grams))).all()
+
+
+def test_sample_of_many_labels_is_bounded(spark):
+    df = spark.createDataFrame([(i, f"wort {i} und {i % 50}", f"l{i % 50}") for i in range(2000)], "doc_id long, text string, lang string")
+    model = langid.fit(df, id_col="doc_id", text_col="text", label_col="lang", max_rows=100, label_landmarks=1)
+    assert len(model.labels) == 50 and model.landmarks.shape[1] <= 192
+
+
 def test_language_edge_cases(spark, wide, empty):
     model = langid.fit(wide.where("lang is not null"), id_col="doc_id", text_col="text", label_col="lang")
     out = langid.predict(wide, model)
@@ -118,6 +138,23 @@ def test_fitted_features_do_not_depend_on_the_partitions(spark, judged):
     assert found[0] and found[0] == found[1]
 
 
+def test_sample_is_bounded_when_ids_repeat(spark, monkeypatch):
+    """One labelled id on most rows gives one sampled row, the others are sampled within the bound."""
+    seen = []
+    keep = quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df: seen.append(keep(df)) or seen[-1])
+    rng = random.Random(8)
+    rows = [(1, f"{i} " + words(rng, 5), "en", "web") for i in range(3000)] + [(i, words(rng, 8), "en", "web") for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0) for i in range(1, 400)], "doc_id long, quality long, toxic long")
+    for bound in (100, 10_000):
+        seen.clear()
+        quality.fit(docs, labels, max_labelled=bound, max_pool=100, rounds=1)
+        got = seen[0].groupBy("id").count().collect()
+        assert all(r["count"] == 1 for r in got) and len(got) <= (160 if bound == 100 else 399)
+    assert {r["id"] for r in got} == set(range(1, 400))
+
+
 def test_quality_edge_cases(spark, judged, wide, empty):
     docs, labels, _ = judged
     model = quality.fit(docs, labels)
