@@ -204,22 +204,21 @@ def ch4_histogram(pix: DataFrame, bins: int = HIST_BINS, lo: float = CH4_MIN_VAL
     bin is closed; equal bounds widen to +-0.5. Every bin is reported, empty ones with 0. The
     range mean is carried on each row."""
     vals = ch4_in_range(pix, "ch4_column", lo, hi).select("ch4_column")
-    # One scalar subquery (run once, reused) gives the data bounds and the mean.
     stats = vals.agg(F.struct(F.min("ch4_column").alias("mn"), F.max("ch4_column").alias("mx"),
                               F.avg("ch4_column").alias("mean")).alias("s")).scalar()
-    mn, mx, mean = stats["mn"], stats["mx"], stats["mean"]
-    b_lo = F.when(mn == mx, mn - F.lit(0.5)).otherwise(mn)
-    b_hi = F.when(mn == mx, mx + F.lit(0.5)).otherwise(mx)
-    width = b_hi - b_lo
-    bucket = F.least(F.floor((F.col("ch4_column") - b_lo) / width * F.lit(float(bins))) + F.lit(1), F.lit(bins))
-    counts = vals.groupBy(bucket.cast("int").alias("bin")).agg(_n().alias("pixel_count"))
-    all_bins = (pix.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-                .where(mn.isNotNull()))
-    edges = all_bins.select(
-        "bin",
-        (b_lo + width * (F.col("bin") - F.lit(1)).cast("double") / F.lit(float(bins))).alias("bin_lo"),
-        (b_lo + width * F.col("bin").cast("double") / F.lit(float(bins))).alias("bin_hi"),
-        mean.alias("mean_ch4"))
+
+    def with_bounds(df: DataFrame) -> DataFrame:
+        """``df`` with the bounds and the mean as columns; one reference to the subquery, read once per row."""
+        mn, mx = F.col("_s.mn"), F.col("_s.mx")
+        low = F.when(mn == mx, mn - F.lit(0.5)).otherwise(mn)
+        high = F.when(mn == mx, mx + F.lit(0.5)).otherwise(mx)
+        return df.withColumn("_s", stats).withColumns({"_lo": low, "_hi": high}).withColumn("_width", F.col("_hi") - F.col("_lo"))
+
+    place = F.floor((F.col("ch4_column") - F.col("_lo")) / F.col("_width") * F.lit(float(bins))) + F.lit(1)
+    counts = with_bounds(vals).groupBy(F.least(place, F.lit(bins)).cast("int").alias("bin")).agg(_n().alias("pixel_count"))
+    edge = lambda k: F.col("_lo") + F.col("_width") * k.cast("double") / F.lit(float(bins))
+    edges = with_bounds(pix.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))).where("_lo is not null").select(
+        "bin", edge(F.col("bin") - F.lit(1)).alias("bin_lo"), edge(F.col("bin")).alias("bin_hi"), F.col("_s.mean").alias("mean_ch4"))
     return (edges.join(counts, "bin", "left")
             .select("bin", "bin_lo", "bin_hi", F.coalesce("pixel_count", F.lit(0)).cast("long").alias("pixel_count"),
                     "mean_ch4")

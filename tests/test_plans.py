@@ -32,3 +32,18 @@ def test_plan_properties(spark, name):
             read = {c.split(":")[0] for c in schema.split(",")}
             assert not (read & unused), (name, table, read & unused)
     assert scans >= 1 and "ExistingRDD" not in plan, name          # every query reads the events or orders table
+
+
+def test_shape_of_costly_plans(spark):
+    """Few references to the histogram's bounds, no expanded rows in coverage counts, numbering scans its source twice at most."""
+    def final(name):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+    assert final("ch4_histogram")[0].count("scalar-subquery#") <= 6
+    assert "Expand" not in final("pixel_coverage")[1]
+    assert "Expand" not in final("duplicate_audit")[1]
+    for name in ("append_row_ids", "file_row_numbers"):
+        plan = final(name)[1]
+        assert plan[plan.find("Final Plan"):plan.find("Initial Plan")].count("FileScan parquet") <= 2, name
