@@ -156,18 +156,21 @@ def enhancement_vs_activity(pix: DataFrame, fac: DataFrame, radius_m: float = FA
     month = F.to_date(F.date_trunc("month", "measurement_timestamp")).alias("month")
     per_centre = (pix.groupBy(round_n("latitude", 1).alias("lat_center"), round_n("longitude", 1).alias("lon_center"), month)
                   .agg(_n().alias("n"), F.sum("ch4_column").alias("s")))
-    regional = per_centre.groupBy("month").agg((F.sum("s") / F.sum("n")).alias("regional_mean"))
-    centres = per_centre.select("lat_center", "lon_center").distinct()
+    # The pixels are read once: a window sees one row per centre of a month, and the months travel with their centre.
+    of_month = Window.partitionBy("month")
+    regional = (F.sum("s").over(of_month) / F.sum("n").over(of_month)).alias("regional_mean")
+    centres = per_centre.select("*", regional).groupBy("lat_center", "lon_center").agg(
+        F.collect_list(F.struct("month", "n", "s", "regional_mean")).alias("months"))
     fac_pts = fac.select("facility_id", "latitude", "longitude").dropna().distinct()
     pairs = distance_inner_join(fac_pts, centres, radius_m, "latitude", "longitude", "lat_center", "lon_center")
-    pairs = pairs.select("facility_id", F.col("r_lat_center").alias("lat_center"), F.col("r_lon_center").alias("lon_center")).distinct()
-    near = pairs.join(per_centre, ["lat_center", "lon_center"]).groupBy("facility_id", "month").agg(
-        _n().alias("n_centres"), F.sum("n").alias("n_pixels_near"), F.sum("s").alias("_s"))
+    pairs = pairs.select("facility_id", "r_lat_center", "r_lon_center", "r_months").distinct()
+    near = pairs.select("facility_id", F.inline("r_months")).groupBy("facility_id", "month").agg(
+        _n().alias("n_centres"), F.sum("n").alias("n_pixels_near"), F.sum("s").alias("_s"), F.max("regional_mean").alias("regional_mean"))
     emitted = F.col("gas_flared_1000m3") + F.col("gas_vented_1000m3")
     activity = battery_fact(fac).select("facility_id", F.col("reporting_month").alias("month"), emitted.alias("emitted_1000m3"),
                                         F.col("gas_prod_1000m3").alias("produced_1000m3"))
     mean_near = F.col("_s") / F.col("n_pixels_near")
-    return near.join(activity, ["facility_id", "month"]).join(regional, "month").select(
+    return near.join(activity, ["facility_id", "month"]).select(
         "facility_id", "month", "n_centres", "n_pixels_near", round_n(mean_near, 3).alias("mean_ch4_near"),
         round_n(mean_near - F.col("regional_mean"), 3).alias("enhancement"), "emitted_1000m3", "produced_1000m3",
         round_n(F.col("emitted_1000m3") / F.nullif(F.col("produced_1000m3"), F.lit(0.0)), 6).alias("emission_ratio"))
