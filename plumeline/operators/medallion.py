@@ -109,12 +109,13 @@ def facility_pixel_agg(pix: DataFrame, fac: DataFrame, radius_m: float = FACILIT
     lat_c, lon_c = round_n("latitude", 1).alias("lat_center"), round_n("longitude", 1).alias("lon_center")
     month = F.to_date(F.date_trunc("month", "measurement_timestamp")).alias("month")
     per_cm = pix.groupBy(lat_c, lon_c, month).agg(_n().alias("n_pixels"), F.sum("ch4_column").alias("_sum"))
-    centres = per_cm.select("lat_center", "lon_center").distinct()
+    # The pixels are read once: the months travel with their centre through the join, as a part of its key.
+    centres = per_cm.groupBy("lat_center", "lon_center").agg(F.collect_list(F.struct("month", "n_pixels", "_sum")).alias("months"))
     fac_pts = fac.select("facility_id", "latitude", "longitude").dropna().distinct()
     pairs = distance_inner_join(centres, fac_pts, radius_m, "lat_center", "lon_center", "latitude", "longitude")
-    per_centre = pairs.groupBy("lat_center", "lon_center").agg(
+    per_centre = pairs.groupBy("lat_center", "lon_center", "months").agg(
         F.count_distinct("r_facility_id").alias("n_facilities"), F.min("distance_m").alias("_near"))
-    return per_cm.join(per_centre, ["lat_center", "lon_center"], "inner").select(
+    return per_centre.select("lat_center", "lon_center", "n_facilities", "_near", F.inline("months")).select(
         "lat_center", "lon_center", "month", "n_pixels",
         (F.col("_sum") / F.col("n_pixels")).alias("mean_ch4"),
         "n_facilities", round_n(F.col("_near") / F.lit(1000.0), 3).alias("nearest_km"))

@@ -47,7 +47,7 @@ def test_shape_of_costly_plans(spark):
     for name in ("append_row_ids", "file_row_numbers"):
         plan = final(name)[1]
         assert plan[plan.find("Final Plan"):plan.find("Initial Plan")].count("FileScan parquet") <= 2, name
-    for name in ("enhancement_vs_activity", "activity_correlation"):
+    for name in ("facility_pixel_agg", "enhancement_vs_activity", "activity_correlation"):
         plan = final(name)[1]
         plan = plan[plan.find("Final Plan"):plan.find("Initial Plan")]
         assert len(re.findall(r"FileScan parquet[^\n]*events\.parquet", plan)) == 1, name
