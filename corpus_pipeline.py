@@ -11,9 +11,12 @@ tables give empty tables; each operator's docstring has its own cases.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from plumeline.llm.runtime import materialize, table
+from plumeline.llm.runtime import table
+from plumeline.session import ensure_checkpoint_dir
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,11 +68,31 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def write_stage(docs: DataFrame, folder: str) -> DataFrame:
+    """Write a stage's rows as Parquet and return them as read back; row groups of 32 MB bound a task's write buffer."""
+    docs.write.option("parquet.block.size", 32 << 20).parquet(folder)
+    return docs.sparkSession.read.schema(docs.schema).parquet(folder)
+
+
+def remove_stage(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; what a stage returns is written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents table; each stage's rows are written as Parquet and read again as the next one's docs.
+
+    The files lie in a folder of this call under ``spark.checkpoint.dir``; a stage's files go when the next stage's are
+    written. Those of the last but one stay, as the returned rows are read from them.
+    """
+    base = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
-            docs = materialize(docs)
+            folder = f"{base}/stage-{number + 1}"
+            docs = write_stage(docs, folder)
+            if before:
+                remove_stage(spark, before)
+            before = folder
     return docs
